@@ -99,8 +99,7 @@ def dom_of_text(html: str | None) -> dict | None:
     return builder.finished()
 
 
-@F.pandas_udf(DOM_TYPE)
-def _dom(html: pd.Series) -> pd.DataFrame:
+def _dom_batch(html: pd.Series) -> pd.DataFrame:
     empty = {"text": None, "nodes": None}
     return pd.DataFrame([dom_of_text(h) or empty for h in html], columns=["text", "nodes"])
 
@@ -110,8 +109,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def page_dom(html: Column) -> Column:
-    """HTML -> ``struct<text, nodes>``; NULL text and nodes for NULL input."""
-    return _dom(html)
+    """HTML -> ``struct<text, nodes>``; NULL text and nodes for NULL input.
+
+    The call is marked non-deterministic so that the optimizer neither repeats
+    it nor moves it into the lambda functions that read its result.
+    """
+    return F.pandas_udf(_dom_batch, DOM_TYPE).asNondeterministic()(html)
 
 
 def page_elements(pages: DataFrame, html: str = "html") -> DataFrame:

@@ -263,6 +263,16 @@ def jsonld_offer(html: Column, url: Column) -> Column:
     return let(products_of(html), from_products)
 
 
+def jsonld_offers(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
+    """One row per page with a priced JSON-LD offer: page columns without the
+    HTML plus the offer fields. The generator keeps the optimizer from
+    evaluating the offer once per field."""
+    keep = [c for c in pages.columns if c not in (html, url)]
+    offer = jsonld_offer(F.col(html), F.col(url))
+    priced = F.filter(F.array(offer), lambda o: o["found"])
+    return pages.select(*keep, url, F.inline(priced))
+
+
 def breadcrumbs_of(html: Column) -> Column:
     """Category path of the first breadcrumb block, without its first crumb."""
     blocks = F.filter(
@@ -294,22 +304,33 @@ def static_offer(
     defaults (price 0, in stock, not discounted) fill the gaps."""
     keep = [c for c in pages.columns if c not in (html, url)]
     product = F.try_element_at(products_of(F.col(html)), F.lit(1))
+    fields = let(
+        product,
+        lambda p: F.struct(
+            get(p, "$.name").alias("name"),
+            get(p, "$.brand.name").alias("brand"),
+            get(p, "$.description").alias("description"),
+            get(p, "$.gtin").alias("gtin"),
+            get(p, "$.mpn").alias("sku"),
+            breadcrumbs_of(F.col(html)).alias("category_tree"),
+            F.to_json(p).alias("metadata"),
+            p.isNotNull().alias("found"),
+        ),
+    )
     return (
         pages.select(
             *keep,
             F.col(url).alias("url"),
-            product.alias("_p"),
-            breadcrumbs_of(F.col(html)).alias("category_tree"),
+            F.inline(F.filter(F.array(fields), lambda f: f["found"])),
         )
-        .where(F.col("_p").isNotNull())
         .select(
             *keep,
             "url",
-            get(F.col("_p"), "$.name").alias("name"),
-            get(F.col("_p"), "$.brand.name").alias("brand"),
-            get(F.col("_p"), "$.description").alias("description"),
-            get(F.col("_p"), "$.gtin").alias("gtin"),
-            get(F.col("_p"), "$.mpn").alias("sku"),
+            "name",
+            "brand",
+            "description",
+            "gtin",
+            "sku",
             "category_tree",
             F.array().cast("array<string>").alias("images"),
             F.lit(0.0).alias("price"),
@@ -317,6 +338,6 @@ def static_offer(
             F.lit(False).alias("is_discounted"),
             F.lit("in_stock").alias("availability"),
             F.array().cast("array<struct<key: string, value: string>>").alias("specifications"),
-            F.to_json(F.col("_p")).alias("metadata"),
+            "metadata",
         )
     )

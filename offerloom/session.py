@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str, cores: int | str = 8) -> SparkSession:
@@ -18,6 +18,8 @@ def local_session(app: str, cores: int | str = 8) -> SparkSession:
         .config("spark.driver.memory", os.environ.get("OFFERLOOM_DRIVER_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        # call-site capture costs a JVM round trip per column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .getOrCreate()
@@ -40,3 +42,16 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         base = tempfile.mkdtemp(prefix="offerloom-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Use all cores for work that is heavy per row.
+
+    A small file gives few input splits; only then the narrow rows are
+    redistributed before the heavy step. With as many splits as cores, which
+    is any large input, the plan is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *(columns or []))

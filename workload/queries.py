@@ -1,4 +1,4 @@
 """Imports every query module, so that their queries are registered."""
 
-from workload import scalars  # noqa: F401
+from workload import extraction, scalars  # noqa: F401
 from workload.registry import ORACLES, QUERIES  # noqa: F401

@@ -3,7 +3,9 @@ engines, so a query and its twin can share an input definition."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+from offerloom.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,7 +38,7 @@ AVAILABILITY_SNAKE = (
 
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts with the URL, domain, currency and codes of their shop page."""
-    return table(spark, sf_dir, "part").selectExpr(
+    return spread(table(spark, sf_dir, "part")).selectExpr(
         "*",
         f"{URL} AS url",
         f"{DOMAIN} AS domain",
@@ -159,7 +161,7 @@ def home_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         '<a href="#top">up</a><a href="//cdn.example.se/s/' || CAST(l_suppkey AS STRING) || '">s</a>' ||
         '<a href="../p/' || CAST(l_partkey AS STRING) || '">again</a></main>' ||
         '<footer><a href="/about">About</a></footer></body></html>'"""
-    return numbered_lines(spark, sf_dir).selectExpr(
+    return spread(numbered_lines(spark, sf_dir)).selectExpr(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", f"{HOME} AS url", f"{html} AS html"
     )
 
