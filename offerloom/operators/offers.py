@@ -165,8 +165,10 @@ def to_warehouse_row(offers: DataFrame) -> DataFrame:
     )
 
 
-def project_to(offers: DataFrame, schema: T.StructType) -> DataFrame:
+def project_to(offers: DataFrame, schema: str | T.StructType) -> DataFrame:
     """Columns of the target table only; absent ones are NULL."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
     return offers.select(
         *[
             (F.col(f.name) if f.name in offers.columns else F.lit(None))

@@ -1,14 +1,7 @@
-"""Schemas of inputs and tables."""
+"""Schemas of inputs and tables, as DDL text (readers take it as is)."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-
-def schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
 CATEGORY = "STRUCT<name: STRING, url: STRING>"
 SPECIFICATION = "STRUCT<key: STRING, value: STRING>"
 REVIEWS = (
@@ -21,7 +14,7 @@ JOB_CONTEXT = (
 )
 
 # Captured pages: the input of all extraction.
-PAGES = schema(
+PAGES = (
     "request_url STRING, url STRING, html STRING, status INT, fetched_at TIMESTAMP"
 )
 
@@ -33,8 +26,8 @@ _COMMON = f"""
     category_tree ARRAY<{CATEGORY}>, fetched_at TIMESTAMP, retailer_domain STRING,
     metadata STRING
 """
-LISTINGS = schema(_COMMON)
-OFFERS = schema(
+LISTINGS = _COMMON
+OFFERS = (
     _COMMON
     + f""", availability STRING, images ARRAY<STRING>,
     specifications ARRAY<{SPECIFICATION}>, reviews {REVIEWS},
@@ -43,8 +36,7 @@ OFFERS = schema(
 )
 
 # Stored rows: nested fields as JSON text, lists as lists of JSON text.
-WAREHOUSE = schema(
-    """
+WAREHOUSE = """
     url STRING, name STRING, brand STRING, brand_url STRING, description STRING,
     price BIGINT, currency STRING, is_discounted BOOLEAN, original_price BIGINT,
     gtin STRING, sku STRING, mpn STRING, popularity_index BIGINT,
@@ -54,41 +46,33 @@ WAREHOUSE = schema(
     specifications ARRAY<STRING>, reviews STRING, matching_type STRING,
     variant_group_url STRING, variant INT, job_id STRING
 """
-)
 
 # Requests, as posted: names are those of the messages.
-REQUEST_BATCH = schema(
-    f"""
+REQUEST_BATCH = f"""
     productDetails ARRAY<STRUCT<url: STRING, userData: STRUCT<
         jobId: STRING, url: STRING, name: STRING, brand: STRING, label: STRING,
         popularityIndex: BIGINT, categoryUrl: STRING, matchingType: STRING,
         fetchedAt: STRING>>>,
     jobContext {JOB_CONTEXT}
 """
-)
 REQUESTS = {
     "category": (
-        schema(
-            f"url STRING, retailerDomain STRING, country STRING, jobContext {JOB_CONTEXT}"
-        ),
+        f"url STRING, retailerDomain STRING, country STRING, jobContext {JOB_CONTEXT}",
         "LIST",
     ),
     "search": (
-        schema(f"query STRING, retailer STRING, jobContext {JOB_CONTEXT}"),
+        f"query STRING, retailer STRING, jobContext {JOB_CONTEXT}",
         "SEARCH",
     ),
     "leaf_category": (
-        schema(
-            "intermediate_categories ARRAY<STRING>, known_category_urls ARRAY<STRING>,"
-            f" jobContext {JOB_CONTEXT}"
-        ),
+        "intermediate_categories ARRAY<STRING>, known_category_urls ARRAY<STRING>,"
+        f" jobContext {JOB_CONTEXT}",
         "INTERMEDIATE_CATEGORY",
     ),
 }
-CATEGORY_DIM = schema(f"url STRING, category_tree ARRAY<{CATEGORY}>")
+CATEGORY_DIM = f"url STRING, category_tree ARRAY<{CATEGORY}>"
 # An offer dump carries the message names; unknown fields are ignored.
-OFFER_DUMP = schema(
-    f"""
+OFFER_DUMP = f"""
     url STRING, name STRING, brand STRING, brandUrl STRING, description STRING,
     price BIGINT, currency STRING, isDiscounted BOOLEAN, originalPrice BIGINT,
     gtin STRING, sku STRING, mpn STRING, popularityIndex BIGINT,
@@ -97,4 +81,3 @@ OFFER_DUMP = schema(
     availability STRING, images ARRAY<STRING>, specifications ARRAY<{SPECIFICATION}>,
     matchingType STRING, variantGroupUrl STRING, variant INT, jobId STRING
 """
-)

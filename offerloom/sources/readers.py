@@ -8,7 +8,7 @@ from offerloom import schemas
 
 
 def read_pages(
-    spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None
+    spark: SparkSession, path: str, fmt: str = "parquet", schema: str | T.StructType | None = None
 ) -> DataFrame:
     """Captured pages (Parquet or JSON lines)."""
     return spark.read.format(fmt).schema(schema or schemas.PAGES).load(path)
