@@ -124,6 +124,12 @@ def normalise_url(url: Column, base: Column | None = None) -> Column:
 _WEB = r"(?s)^(?i:(https?))://([^/?#\\]+)([^?#]*)([?#].*)?$"
 
 
+# An address that is written the browser's way already.
+_CLEAN = (
+    r"^https?://[a-z0-9.\-]+/[\x21\x23-\x3B\x3D\x3F-\x5B\x5D-\x5F\x61-\x7A\x7C\x7E]*\z"
+)
+
+
 def _rewrite(url: Column) -> Column:
     def part(i: int) -> Column:
         return F.regexp_extract(url, _WEB, i)
@@ -137,7 +143,10 @@ def _rewrite(url: Column) -> Column:
     path = F.translate(part(3), "\\", "/")
     path = F.when(path == "", F.lit("/")).otherwise(let(path, _fold_dots))
     whole = F.concat(scheme, F.lit("://"), host, path, part(4))
-    return F.when(url.rlike(_WEB), let(whole, _escape)).otherwise(url)
+    clean = url.rlike(_CLEAN) & ~F.contains(url, F.lit("/."))
+    return (
+        F.when(clean, url).when(url.rlike(_WEB), let(whole, _escape)).otherwise(url)
+    )
 
 
 def absolute_if_rooted(url: Column, page_url: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from offerloom.functions.availability import snake
 from offerloom.functions.missing import blank_to_null
-from offerloom.functions.urls import domain_of
+from offerloom.functions.urls import domain_of, let
 from offerloom.operators.elements import page_dom
 from offerloom.operators.markup import microdata_offer, opengraph_offer, plugin_offer
 from offerloom.operators.structured import jsonld_offer
@@ -79,19 +79,21 @@ def auto_extract(
         F.when(dom["nodes"].isNotNull() & on["woocommerce"], plugin_offer(dom, F.col(url))).alias("_plugin"),
     )
     best = F.coalesce(*[winner(F.col(c)) for c in ("_json", "_micro", "_og", "_plugin")])
-    return (
-        second.select(*keep, best.alias("_o"))
-        .select(
-            *keep,
-            F.col("_o.strategy").alias("strategy"),
-            blank_to_null(F.col("_o.name")).alias("name"),
-            F.col("_o.gtin").alias("gtin"),
-            F.col("_o.mpn").alias("mpn"),
-            F.nullif(F.col("_o.price"), F.lit(0.0)).alias("price"),
-            F.col("_o.currency").alias("currency"),
-            snake(F.col("_o.availability")).alias("availability"),
-            F.col("_o.images").alias("images"),
-            F.col("_o.metadata").alias("metadata"),
-            F.when(F.col("_o").isNull(), F.lit("PriceLiteUnavailableError")).alias("reject_reason"),
+
+    def record(o: Column) -> Column:
+        return F.struct(
+            o["strategy"].alias("strategy"),
+            blank_to_null(o["name"]).alias("name"),
+            o["gtin"].alias("gtin"),
+            o["mpn"].alias("mpn"),
+            F.nullif(o["price"], F.lit(0.0)).alias("price"),
+            o["currency"].alias("currency"),
+            snake(o["availability"]).alias("availability"),
+            o["images"].alias("images"),
+            o["metadata"].alias("metadata"),
+            F.when(o.isNull(), F.lit("PriceLiteUnavailableError")).alias("reject_reason"),
         )
-    )
+
+    # one generated row per page: later filters on a field must not make the
+    # optimizer evaluate all strategies a second time
+    return second.select(*keep, F.inline(F.array(let(best, record))))

@@ -1,9 +1,9 @@
 """Exact row numbers inside groups of any size.
 
 ``row_number() over (partition by group)`` sends a whole group to one task.
-Here a group is cut along a coarse integer key (a page number, a line block),
-rows are counted per cut, and the counts are summed up in three levels, so no
-window ever sees more than one cut of rows or one block of counts.
+Here a group is cut along a coarse integer key (a page number, a rank), rows
+are counted per cut, and the counts are summed up in two levels. No window ever
+sees more than one cut of rows or one block of counts.
 """
 
 from __future__ import annotations
@@ -17,44 +17,49 @@ def number_rows(
     coarse: str,
     fine: list[str | Column],
     alias: str,
+    width: int = 256,
     block: int = 4096,
 ) -> DataFrame:
     """Add ``alias`` = 1..n per group, in order of ``coarse``, then ``fine``.
 
-    ``group`` and ``coarse`` must not be NULL, and ``(coarse, fine)`` must be a
-    total order of the group, else equal rows may swap numbers.
+    A cut holds the rows of ``width`` consecutive values of ``coarse``, a block
+    the counts of ``block`` consecutive cuts. ``(coarse, fine)`` must be a total
+    order of the group, else equal rows may swap numbers. ``group`` and
+    ``coarse`` must be present: an inner join on them lets all three branches
+    share one shuffle of an aggregated input.
     """
 
-    def running(part: DataFrame, within: list[str], key: str, n: str, out: str) -> DataFrame:
-        before = (
+    def before(n: str, within: list[str], key: str) -> Column:
+        frame = (
             Window.partitionBy(*within)
             .orderBy(key)
             .rowsBetween(Window.unboundedPreceding, -1)
         )
-        return part.withColumn(out, F.coalesce(F.sum(n).over(before), F.lit(0)))
+        return F.coalesce(F.sum(n).over(frame), F.lit(0))
 
-    cuts = df.groupBy(*group, F.col(coarse).alias("_cut")).agg(F.count("*").alias("_n"))
-    cuts = cuts.withColumn("_block", F.floor(F.col("_cut") / block))
-    blocks = cuts.groupBy(*group, "_block").agg(F.sum("_n").alias("_bn"))
-    blocks = blocks.withColumn("_super", F.floor(F.col("_block") / block))
-    supers = blocks.groupBy(*group, "_super").agg(F.sum("_bn").alias("_sn"))
-
-    supers = running(supers, group, "_super", "_sn", "_s0").drop("_sn")
-    blocks = running(blocks, [*group, "_super"], "_block", "_bn", "_b0").drop("_bn")
-    blocks = blocks.join(supers, [*group, "_super"]).select(
-        *group, "_block", (F.col("_s0") + F.col("_b0")).alias("_b0")
+    rows = df.withColumn("_cut", F.floor(F.col(coarse) / width))
+    cuts = (
+        rows.groupBy(*group, "_cut")
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_block", F.floor(F.col("_cut") / block))
+    )
+    blocks = (
+        cuts.groupBy(*group, "_block")
+        .agg(F.sum("_n").alias("_n"))
+        .select(*group, "_block", before("_n", group, "_block").alias("_b0"))
+    )
+    starts = (
+        cuts.withColumn("_c0", before("_n", [*group, "_block"], "_cut"))
+        .join(blocks, [*group, "_block"])
+        .select(*group, "_cut", (F.col("_b0") + F.col("_c0")).alias("_start"))
     )
-    cuts = running(cuts, [*group, "_block"], "_cut", "_n", "_c0")
-    cuts = cuts.join(blocks, [*group, "_block"]).select(
-        *group,
-        F.col("_cut").alias(coarse),
-        (F.col("_b0") + F.col("_c0")).alias("_c0"),
+    inside = F.row_number().over(
+        Window.partitionBy(*group, "_cut").orderBy(coarse, *fine)
     )
-    inside = F.row_number().over(Window.partitionBy(*group, coarse).orderBy(*fine))
     return (
-        df.join(cuts, [*group, coarse], "left")
-        .withColumn(alias, (inside + F.coalesce(F.col("_c0"), F.lit(0))).cast("bigint"))
-        .drop("_c0")
+        rows.join(starts, [*group, "_cut"])
+        .withColumn(alias, (inside + F.col("_start")).cast("bigint"))
+        .drop("_cut", "_start")
     )
 
 

@@ -25,8 +25,9 @@ def to_messages(
     """``(job, part, n_rows, payload)`` with at most ``size`` rows a payload,
     in order of the integer column ``order``, then ``tie``."""
     record = F.struct(*[c for c in rows.columns if c != job])
-    cut = rows.withColumn("_cut", F.floor(F.col(order) / size))
-    numbered = number_rows(cut, [job], "_cut", [order, *tie], "_n")
+    # rows without an order value come last
+    placed = rows.withColumn("_at", F.coalesce(F.col(order), F.lit(2**62)).cast("bigint"))
+    numbered = number_rows(placed, [job], "_at", tie, "_n")
     job_context = F.struct(F.col(job).alias("jobId")) if context is None else context
     return (
         numbered.select(
