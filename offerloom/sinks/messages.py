@@ -52,7 +52,7 @@ def to_messages(
 
 
 # A popularity or update payload takes a whole job in the usual case.
-WHOLE_JOB = 50_000
+WHOLE_JOB = 10_000
 
 
 def popularity_message(rows: DataFrame, size: int = WHOLE_JOB, job: str = "job_id") -> DataFrame:

@@ -1,21 +1,19 @@
 """Stream jobs.
 
-State is keyed by single products or URLs, never by a whole run: a run may hold
-a large share of all rows.
+State is keyed by single URLs, never by a whole run: a run may hold a large
+share of all rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from offerloom.operators.cascade import auto_extract
 from offerloom.operators.offers import clean_offer, stamp_offer
-from offerloom.operators.ranking import number_rows
+from offerloom.operators.ranking import first_per_key, number_rows
 from offerloom.sinks.messages import popularity_message, publishable, to_messages
 from offerloom.sinks.tables import write_offers
 
@@ -84,71 +82,68 @@ def publish_batches(
     )
 
 
-def _first_sight(
-    key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    """First position of a product, once; later batches add nothing."""
-    best = None
-    for frame in frames:
-        for page, position in zip(frame["page_number"], frame["position"]):
-            here = (int(page), int(position))
-            best = here if best is None or here < best else best
-    if state.exists or best is None:
-        return
-    state.update((True,))
-    yield pd.DataFrame(
-        {"run": [key[0]], "url": [key[1]], "page_number": [best[0]], "position": [best[1]]}
-    )
-
-
 def stream_popularity(
-    cards: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+    cards: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    buckets: int = 64,
 ) -> StreamingQuery:
     """First-sight rank of products per run, carried on across batches.
 
-    State holds one flag per ``(run, url)``. New products of a batch are
-    numbered behind those of earlier batches; the number of products per run is
-    kept per batch under ``<path>/counts``, ranks go to ``<path>/ranks``. Both
-    are overwritten per batch id, so a replay leaves no trace.
+    New products of a batch are numbered behind those of earlier batches. Ranks
+    go to ``<path>/ranks`` and the number of new products per run to
+    ``<path>/counts``, both overwritten per batch id, so a replayed batch leaves
+    no trace. The ranks of earlier batches are the memory of the stream; they
+    are laid out by a hash of the run, and a batch reads the folders of its own
+    runs only. No state is kept per run, which may hold any share of the rows.
     """
-    fresh = (
-        cards.select("run", "url", "page_number", "position")
-        .groupBy("run", "url")
-        .applyInPandasWithState(
-            _first_sight,
-            "run bigint, url string, page_number bigint, position bigint",
-            "seen boolean",
-            "append",
-            GroupStateTimeout.NoTimeout,
-        )
-    )
+    keys = ["run_bucket", "run", "url"]
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()
-        try:
-            counts = batch.groupBy("run").agg(F.count("*").alias("n"))
-            counts.write.mode("overwrite").parquet(f"{path}/counts/batch_id={batch_id}")
-            ranked = number_rows(
-                batch, ["run"], "page_number", ["position", "url"], "popularity_index"
+        seen = batch.select(
+            F.pmod(F.xxhash64("run"), F.lit(buckets)).cast("int").alias("run_bucket"),
+            "run",
+            "url",
+            "page_number",
+            "position",
+        )
+        fresh = first_per_key(seen, keys, ["page_number", "position"])
+        before = None
+        if batch_id > 0:
+            types = dict(batch.dtypes)
+            history = spark.read.schema(
+                f"run {types['run']}, url string, batch_id bigint, run_bucket int"
+            ).parquet(f"{path}/ranks")
+            touched = [r[0] for r in seen.select("run_bucket").distinct().collect()]
+            earlier = history.where(
+                (F.col("batch_id") < batch_id) & F.col("run_bucket").isin(touched)
             )
+            fresh = fresh.join(earlier.select(*keys), keys, "left_anti")
             before = (
-                spark.read.parquet(f"{path}/counts")
+                spark.read.schema(f"run {types['run']}, n bigint, batch_id bigint")
+                .parquet(f"{path}/counts")
                 .where(F.col("batch_id") < batch_id)
                 .groupBy("run")
                 .agg(F.sum("n").alias("_before"))
             )
-            ranked.join(before, "run", "left").withColumn(
-                "popularity_index",
-                F.col("popularity_index") + F.coalesce("_before", F.lit(0)),
-            ).drop("_before").write.mode("overwrite").parquet(
-                f"{path}/ranks/batch_id={batch_id}"
-            )
-        finally:
-            batch.unpersist()
+        ranked = number_rows(
+            fresh, ["run"], "page_number", ["position", "url"], "popularity_index"
+        )
+        if before is not None:
+            shifted = F.col("popularity_index") + F.coalesce("_before", F.lit(0))
+            ranked = ranked.join(before, "run", "left").withColumn("popularity_index", shifted)
+        out = f"{path}/ranks/batch_id={batch_id}"
+        ranked.select(
+            "run", "url", "page_number", "position", "popularity_index", "run_bucket"
+        ).write.mode("overwrite").partitionBy("run_bucket").parquet(out)
+        spark.read.schema(f"run {dict(batch.dtypes)['run']}").parquet(out).groupBy("run").agg(
+            F.count("*").alias("n")
+        ).write.mode("overwrite").parquet(f"{path}/counts/batch_id={batch_id}")
 
     return (
-        fresh.writeStream.foreachBatch(each)
+        cards.writeStream.foreachBatch(each)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

@@ -201,7 +201,7 @@ def to_messages(spark, sf_dir):
     return _read_back(sinks.to_messages(_ranked(spark, sf_dir), "popularity_index", ["url"], 100))
 
 
-@query("snk3_popularity_message", _messages_sql(50_000))
+@query("snk3_popularity_message", _messages_sql(10_000))
 def popularity_message(spark, sf_dir):
     return _read_back(sinks.popularity_message(_ranked(spark, sf_dir)))
 
