@@ -8,6 +8,11 @@ from pyspark.sql import Column, functions as F
 KNOWN_COUNTRIES = ("se", "dk", "ch", "fr", "it", "de", "no", "nl", "be")
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
+# Addresses, paths and origins that are written the browser's way already.
+_SAFE = r"[\x21\x23-\x3B\x3D\x3F-\x5B\x5D-\x5F\x61-\x7A\x7C\x7E]"
+_CLEAN = rf"^https?://[a-z0-9.\-]+/{_SAFE}*\z"
+_CLEAN_ROOTED = rf"^/(?!/){_SAFE}*\z"
+_CLEAN_ORIGIN = r"^https?://[a-z0-9.\-]+(?:[/?#]|\z)"
 # Characters a browser escapes when it writes a URL out.
 _UNSAFE = r"\x00-\x20\"<>`{}\x7F-\uFFFF\x{10000}-\x{10FFFF}"
 
@@ -94,40 +99,54 @@ def normalise_url(url: Column, base: Column | None = None) -> Column:
     characters are percent-encoded. URLs of other schemes stay as they are.
     NULL when neither the URL nor the base is absolute.
     """
-    u = F.regexp_replace(url, r"^[\x00-\x20]+|[\x00-\x20]+$|[\t\n\r]", "")
-    if base is None:
-        absolute = F.when(u.rlike(_SCHEME), u)
-    else:
-        no_fragment = F.substring_index(base, "#", 1)
-        no_query = strip_query(no_fragment)
-        origin = origin_of(base)
-        folder = F.coalesce(
-            F.nullif(
-                F.regexp_extract(no_query, r"^([^:/]*://[^/]+/(?:.*/)?)", 1), F.lit("")
-            ),
-            F.concat(origin, F.lit("/")),
+    trimmed = F.when(
+        url.rlike(r"[\x00-\x20]"),
+        F.regexp_replace(url, r"^[\x00-\x20]+|[\x00-\x20]+$|[\t\n\r]", ""),
+    ).otherwise(url)
+
+    def absolute(u: Column) -> Column:
+        if base is None:
+            return F.when(u.rlike(_SCHEME), u)
+        return F.when(u.rlike(_SCHEME), u).otherwise(
+            let(origin_of(base), lambda origin: _joined(u, base, origin))
         )
-        resolved = (
-            F.when(u.rlike(_SCHEME), u)
-            .when(F.startswith(u, F.lit("//")), F.concat(F.substring_index(base, ":", 1), F.lit(":"), u))
-            .when(F.startswith(u, F.lit("/")), F.concat(origin, u))
-            .when(F.startswith(u, F.lit("?")), F.concat(no_query, u))
-            .when(F.startswith(u, F.lit("#")) | (u == ""), F.concat(no_fragment, u))
-            .otherwise(F.concat(folder, u))
+
+    # most links need no work beyond one or two pattern tests
+    no_dots = ~F.contains(url, F.lit("/."))
+    quick = F.when(no_dots & url.rlike(_CLEAN), url)
+    if base is not None:
+        quick = quick.when(
+            no_dots & url.rlike(_CLEAN_ROOTED) & base.rlike(_CLEAN_ORIGIN),
+            F.concat(F.regexp_extract(base, r"^https?://[^/?#]+", 0), url),
         )
-        absolute = F.when(u.rlike(_SCHEME) | (origin != ""), resolved)
+    return quick.otherwise(let(let(trimmed, absolute), _rewrite))
 
-    return let(absolute, _rewrite)
 
+def _joined(u: Column, base: Column, origin: Column) -> Column:
+    """A relative URL below the page URL ``base``; NULL for a base without a
+    host."""
+    no_fragment = F.substring_index(base, "#", 1)
+    no_query = strip_query(no_fragment)
+    folder = F.coalesce(
+        F.nullif(F.regexp_extract(no_query, r"^([^:/]*://[^/]+/(?:.*/)?)", 1), F.lit("")),
+        F.concat(origin, F.lit("/")),
+    )
 
-# scheme, host[:port], path, query and fragment of a web address
-_WEB = r"(?s)^(?i:(https?))://([^/?#\\]+)([^?#]*)([?#].*)?$"
+    def starts(text: str) -> Column:
+        return F.startswith(u, F.lit(text))
 
+    joined = (
+        F.when(starts("//"), F.concat(F.substring_index(base, ":", 1), F.lit(":"), u))
+        .when(starts("/"), F.concat(origin, u))
+        .when(starts("?"), F.concat(no_query, u))
+        .when(starts("#") | (u == ""), F.concat(no_fragment, u))
+        .otherwise(F.concat(folder, u))
+    )
+    return F.when(origin != "", joined)
 
-# An address that is written the browser's way already.
-_CLEAN = (
-    r"^https?://[a-z0-9.\-]+/[\x21\x23-\x3B\x3D\x3F-\x5B\x5D-\x5F\x61-\x7A\x7C\x7E]*\z"
-)
+
+# scheme, host[:port], path, query and fragment of a web address
+_WEB = r"(?s)^(?i:(https?))://([^/?#\\]+)([^?#]*)([?#].*)?$"
 
 
 def _rewrite(url: Column) -> Column:
@@ -143,10 +162,7 @@ def _rewrite(url: Column) -> Column:
     path = F.translate(part(3), "\\", "/")
     path = F.when(path == "", F.lit("/")).otherwise(let(path, _fold_dots))
     whole = F.concat(scheme, F.lit("://"), host, path, part(4))
-    clean = url.rlike(_CLEAN) & ~F.contains(url, F.lit("/."))
-    return (
-        F.when(clean, url).when(url.rlike(_WEB), let(whole, _escape)).otherwise(url)
-    )
+    return F.when(url.rlike(_WEB), let(whole, _escape)).otherwise(url)
 
 
 def absolute_if_rooted(url: Column, page_url: Column) -> Column:

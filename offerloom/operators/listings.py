@@ -68,6 +68,32 @@ def listings(
     )
 
 
+# Page number and position share one BIGINT: 40 bits and 23 bits.
+_POSITION_BITS = 23
+_PAGE_BITS = 40
+
+
+def first_sight(cards: DataFrame, keys: list[str], page: str, position: str) -> DataFrame:
+    """The first card per key, by page and position.
+
+    Cards without further columns are compared by one packed number, which a
+    hash aggregation can hold; a value out of range fails the job.
+    """
+    if set(cards.columns) != {*keys, page, position}:
+        return first_per_key(cards, keys, [page, position])
+    p, i = F.col(page).cast("bigint"), F.col(position).cast("bigint")
+    fits = p.between(0, 2**_PAGE_BITS - 1) & i.between(0, 2**_POSITION_BITS - 1)
+    packed = F.when(fits | p.isNull() | i.isNull(), F.shiftleft(p, _POSITION_BITS) + i).otherwise(
+        F.raise_error(F.lit("page number or position out of range"))
+    )
+    first = cards.groupBy(*keys).agg(F.min(packed).alias("_at"))
+    return first.select(
+        *keys,
+        F.shiftright("_at", _POSITION_BITS).alias(page),
+        F.col("_at").bitwiseAND(2**_POSITION_BITS - 1).alias(position),
+    )
+
+
 def popularity_rank(
     cards: DataFrame,
     run: str = "run",
@@ -81,7 +107,7 @@ def popularity_rank(
     ranks are built from counts per page, so one run may hold any share of the
     rows.
     """
-    first = first_per_key(cards, [run, url], [page, position])
+    first = first_sight(cards, [run, url], page, position)
     return number_rows(first, [run], page, [position, url], "popularity_index")
 
 
@@ -95,7 +121,7 @@ def popularity_by_page(
 ) -> DataFrame:
     """Distinct products per run ranked by ``(page - 1) * page_size + position``
     of the card seen first."""
-    first = first_per_key(cards, [run, url], [page, position])
+    first = first_sight(cards, [run, url], page, position)
     rank = (F.col(page) - 1) * page_size + F.col(position)
     return first.withColumn("popularity_index", rank.cast("bigint"))
 

@@ -17,13 +17,13 @@ def number_rows(
     coarse: str,
     fine: list[str | Column],
     alias: str,
-    width: int = 256,
-    block: int = 4096,
+    width_bits: int = 8,
+    block_bits: int = 12,
 ) -> DataFrame:
     """Add ``alias`` = 1..n per group, in order of ``coarse``, then ``fine``.
 
-    A cut holds the rows of ``width`` consecutive values of ``coarse``, a block
-    the counts of ``block`` consecutive cuts. ``(coarse, fine)`` must be a total
+    A cut holds the rows of ``2**width_bits`` consecutive values of the integer
+    ``coarse``, a block the counts of ``2**block_bits`` consecutive cuts. ``(coarse, fine)`` must be a total
     order of the group, else equal rows may swap numbers. ``group`` and
     ``coarse`` must be present: an inner join on them lets all three branches
     share one shuffle of an aggregated input.
@@ -37,11 +37,11 @@ def number_rows(
         )
         return F.coalesce(F.sum(n).over(frame), F.lit(0))
 
-    rows = df.withColumn("_cut", F.floor(F.col(coarse) / width))
+    rows = df.withColumn("_cut", F.shiftright(F.col(coarse), width_bits))
     cuts = (
         rows.groupBy(*group, "_cut")
         .agg(F.count("*").alias("_n"))
-        .withColumn("_block", F.floor(F.col("_cut") / block))
+        .withColumn("_block", F.shiftright(F.col("_cut"), block_bits))
     )
     blocks = (
         cuts.groupBy(*group, "_block")

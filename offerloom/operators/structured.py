@@ -207,23 +207,29 @@ def _first_text(*candidates: Column) -> Column:
     return F.coalesce(*[blank_to_null(c) for c in candidates])
 
 
-def _price_at(offer: Column, path: str) -> Column:
-    """Price at a path; a number 0 and empty text count as absent."""
+def _price(offer: Column) -> Column:
+    """Price of an offer: the first stated value that is neither the number 0
+    nor empty text, read as a number."""
 
-    def read(v: Column) -> Column:
+    def stated(v: Column) -> Column:
         text = F.try_variant_get(v, "$", "string")
-        number = F.try_variant_get(v, "$", "double")
-        is_text = F.schema_of_variant(v) == "STRING"
-        return F.when(is_text & (text != ""), parse_price_safe(text)).when(
-            ~is_text & (number != 0), number
+        blank = (text == "") | (
+            (F.schema_of_variant(v) != "STRING") & (F.try_variant_get(v, "$", "double") == 0)
         )
+        return F.when(~F.coalesce(blank, text.isNull()), v)
+
+    def read(v: Column) -> Column:
+        return F.when(
+            F.schema_of_variant(v) == "STRING",
+            let(F.try_variant_get(v, "$", "string"), parse_price_safe),
+        ).otherwise(F.try_variant_get(v, "$", "double"))
 
-    return let(F.try_variant_get(offer, path, "variant"), read)
+    values = F.array(*[F.try_variant_get(offer, p, "variant") for p in PRICE_PATHS])
+    return let(F.get(F.filter(F.transform(values, stated), lambda v: v.isNotNull()), 0), read)
 
 
 def offer_fields(product: Column, offer: Column) -> Column:
     """Offer struct from a product and its offer, by priority lists."""
-    price = F.coalesce(*[_price_at(offer, p) for p in PRICE_PATHS])
     gtin = _first_text(
         *[get(offer, f"$.{k}") for k in GTIN_FIELDS],
         *[get(product, f"$.{k}") for k in GTIN_FIELDS],
@@ -231,7 +237,7 @@ def offer_fields(product: Column, offer: Column) -> Column:
     availability = _first_text(
         *[F.substring_index(get(offer, p), "/", -1) for p in AVAILABILITY_PATHS]
     )
-    return F.struct(
+    build = lambda price: F.struct(
         F.lit("schema-json").alias("strategy"),
         F.coalesce(price != 0, F.lit(False)).alias("found"),
         get(product, "$.name").alias("name"),
@@ -243,6 +249,7 @@ def offer_fields(product: Column, offer: Column) -> Column:
         F.array().cast("array<string>").alias("images"),
         F.to_json(product).alias("metadata"),
     )
+    return let(_price(offer), build)
 
 
 def jsonld_offer(html: Column, url: Column) -> Column:

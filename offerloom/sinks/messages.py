@@ -21,13 +21,21 @@ def to_messages(
     job: str = "job_id",
     field: str = "productListings",
     context: Column | None = None,
+    ranked: bool = False,
 ) -> DataFrame:
     """``(job, part, n_rows, payload)`` with at most ``size`` rows a payload,
-    in order of the integer column ``order``, then ``tie``."""
+    in order of the integer column ``order``, then ``tie``.
+
+    ``ranked`` says that ``order`` is 1..n per job already, as popularity ranks
+    are; the rows then need no numbering.
+    """
     record = F.struct(*[c for c in rows.columns if c != job])
-    # rows without an order value come last
-    placed = rows.withColumn("_at", F.coalesce(F.col(order), F.lit(2**62)).cast("bigint"))
-    numbered = number_rows(placed, [job], "_at", tie, "_n")
+    if ranked:
+        numbered = rows.withColumn("_n", F.col(order).cast("bigint"))
+    else:
+        # rows without an order value come last
+        at = F.coalesce(F.col(order), F.lit(2**62)).cast("bigint")
+        numbered = number_rows(rows.withColumn("_at", at), [job], "_at", tie, "_n")
     job_context = F.struct(F.col(job).alias("jobId")) if context is None else context
     return (
         numbered.select(
@@ -55,9 +63,11 @@ def to_messages(
 WHOLE_JOB = 10_000
 
 
-def popularity_message(rows: DataFrame, size: int = WHOLE_JOB, job: str = "job_id") -> DataFrame:
+def popularity_message(
+    rows: DataFrame, size: int = WHOLE_JOB, job: str = "job_id", ranked: bool = False
+) -> DataFrame:
     """Popularity data of a job."""
-    return to_messages(rows, "popularity_index", ["url"], size, job)
+    return to_messages(rows, "popularity_index", ["url"], size, job, ranked=ranked)
 
 
 def update_message(

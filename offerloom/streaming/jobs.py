@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from offerloom.operators.cascade import auto_extract
+from offerloom.operators.listings import first_sight
 from offerloom.operators.offers import clean_offer, stamp_offer
-from offerloom.operators.ranking import first_per_key, number_rows
+from offerloom.operators.ranking import number_rows
 from offerloom.sinks.messages import popularity_message, publishable, to_messages
 from offerloom.sinks.tables import write_offers
 
@@ -87,7 +88,7 @@ def stream_popularity(
     path: str,
     checkpoint: str,
     trigger: dict | None = None,
-    buckets: int = 64,
+    buckets: int = 16,
 ) -> StreamingQuery:
     """First-sight rank of products per run, carried on across batches.
 
@@ -109,7 +110,7 @@ def stream_popularity(
             "page_number",
             "position",
         )
-        fresh = first_per_key(seen, keys, ["page_number", "position"])
+        fresh = first_sight(seen, keys, "page_number", "position")
         before = None
         if batch_id > 0:
             types = dict(batch.dtypes)
@@ -137,7 +138,7 @@ def stream_popularity(
         out = f"{path}/ranks/batch_id={batch_id}"
         ranked.select(
             "run", "url", "page_number", "position", "popularity_index", "run_bucket"
-        ).write.mode("overwrite").partitionBy("run_bucket").parquet(out)
+        ).hint("rebalance", "run_bucket").write.mode("overwrite").partitionBy("run_bucket").parquet(out)
         spark.read.schema(f"run {dict(batch.dtypes)['run']}").parquet(out).groupBy("run").agg(
             F.count("*").alias("n")
         ).write.mode("overwrite").parquet(f"{path}/counts/batch_id={batch_id}")

@@ -203,7 +203,7 @@ def to_messages(spark, sf_dir):
 
 @query("snk3_popularity_message", _messages_sql(10_000))
 def popularity_message(spark, sf_dir):
-    return _read_back(sinks.popularity_message(_ranked(spark, sf_dir)))
+    return _read_back(sinks.popularity_message(_ranked(spark, sf_dir), ranked=True))
 
 
 @query(
