@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from offerloom.functions.identifiers import product_id
-from offerloom.functions.urls import origin_of
+from offerloom.functions.urls import PRODUCT_URL_PATTERNS, origin_of
 from offerloom.operators.fields import RULE_TYPE
 
 # A rule table up to this many rules is broadcast; a larger one is joined.
@@ -204,12 +204,6 @@ NO_FIXED_CURRENCY = (
     "lanna.fi",
 )
 PAGE_SIZES = {"homeroom.se": 58, "nordiskarum.se": 12, "trademax.se": 36}
-PRODUCT_URLS = {
-    "trademax.se": r"p\d+",
-    "chilli.se": r"p\d+",
-    "furniturebox.se": r"p\d+",
-    "bygghemma.se": r"p-\d+",
-}
 SEARCH_URLS = {
     "amazon.de": "https://www.amazon.de/s?k=%s",
     "trademax.se": "https://www.trademax.se/search?q=%s",
@@ -257,7 +251,7 @@ def default_registry() -> Registry:
                 domain,
                 currency=CURRENCIES.get(domain),
                 page_size=PAGE_SIZES.get(domain),
-                product_url=PRODUCT_URLS.get(domain),
+                product_url=PRODUCT_URL_PATTERNS.get(domain),
                 search_url=SEARCH_URLS.get(domain),
                 search_limit=SEARCH_LIMITS.get(domain),
                 disabled_strategies=DISABLED_STRATEGIES.get(domain, ()),
