@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from offerloom.functions.missing import blank_to_null
-from offerloom.functions.prices import first_number
+from offerloom.functions.identifiers import sku_of
+from offerloom.functions.prices import first_number, parse_price_as, parse_price_safe
 from offerloom.functions.text import leading_number, squash, trim_text
 from offerloom.functions.urls import clean_image, let, strip_query
 from offerloom.operators.elements import attr, has_class, inside, text_of
@@ -533,3 +534,48 @@ def rule_extract(pages: DataFrame, rules: DataFrame, html: str = "html", url: st
         .withColumn("missing", missing_required(F.col("fields"), F.col("rules")))
         .drop("_dom", "rules")
     )
+
+
+def rule_offers(pages: DataFrame, registry, html: str = "html", url: str = "url") -> DataFrame:
+    """Offers of the pages whose domain has field rules.
+
+    Texts found by the rules become offer fields in the styles the profile
+    names; without a price style the generic price reading is used. Pages that
+    lack a required field carry ``reject_reason``.
+    """
+    spark = pages.sparkSession
+    rows = rule_extract(pages, registry.rules_frame(spark), html, url)
+    domain = F.col("domain")
+
+    def text(name: str) -> Column:
+        return F.try_element_at("fields", F.lit(name))
+
+    def price(name: str) -> Column:
+        styled = registry.by_style(domain, "price_style", lambda s: parse_price_as(text(name), s))
+        known = registry.lookup(domain, "price_style").isNotNull()
+        return F.when(known, styled).otherwise(parse_price_safe(text(name)))
+
+    sku = registry.by_style(domain, "sku_style", lambda s: sku_of(text("sku_text"), s))
+    stock = registry.by_style(
+        domain, "availability_rule", lambda r: availability_rule(r, text("availability_text"))
+    )
+    keep = [c for c in rows.columns if c not in ("fields", "missing")]
+    return (
+        rows.select(
+            *keep,
+            text("name").alias("name"),
+            text("brand").alias("brand"),
+            text("brand_url").alias("brand_url"),
+            text("description").alias("description"),
+            price("price_text").alias("price"),
+            price("original_price_text").alias("original_price"),
+            registry.lookup(domain, "currency").cast("string").alias("currency"),
+            F.coalesce(sku, text("sku_text")).cast("string").alias("sku"),
+            stock.cast("string").alias("availability"),
+            F.when(
+                F.size("missing") > 0,
+                F.concat(F.lit("Cannot extract "), F.array_join("missing", ", ")),
+            ).alias("reject_reason"),
+        )
+        .withColumn("is_discounted", F.col("original_price").isNotNull())
+    )

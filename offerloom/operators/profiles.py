@@ -58,6 +58,9 @@ class Profile:
     product_url: str | None = None
     search_url: str | None = None
     search_limit: int | None = None
+    price_style: str | None = None
+    sku_style: str | None = None
+    availability_rule: str | None = None
     disabled_strategies: tuple[str, ...] = ()
     rules: tuple[Rule, ...] = ()
 
@@ -108,6 +111,19 @@ class Registry:
             return F.lit(None)
         return F.try_element_at(F.create_map(*pairs), domain)
 
+    def by_style(self, domain: Column, attribute: str, apply: Callable[[str], Column]) -> Column:
+        """A column that depends on a style named in the domain's profile;
+        NULL for domains without one."""
+        domains: dict[str, list[str]] = {}
+        for p in self.profiles.values():
+            if getattr(p, attribute) is not None:
+                domains.setdefault(getattr(p, attribute), []).append(p.domain)
+        if not domains:
+            return F.lit(None)
+        return F.coalesce(
+            *[F.when(domain.isin(names), apply(style)) for style, names in domains.items()]
+        )
+
     def disabled(self) -> dict[str, tuple[str, ...]]:
         return {
             p.domain: p.disabled_strategies
@@ -209,7 +225,62 @@ SEARCH_URLS = {
     "trademax.se": "https://www.trademax.se/search?q=%s",
 }
 SEARCH_LIMITS = {"amazon.de": 8}
+# How a shop writes prices, SKUs and stock texts.
+PRICE_STYLES = {
+    "bernomobler.se": "blank_thousands_whole",
+    "connox.dk": "listed_price",
+    "ebuy24.dk": "dot_thousands_whole",
+    "gardenstore.se": "blank_thousands_whole",
+    "gigameubel.nl": "dot_thousands",
+    "jensen-company.dk": "dot_thousands",
+    "k-rauta.se": "single_number",
+    "nordiskarum.se": "blank_thousands_whole",
+}
+SKU_STYLES = {"ebuy24.dk": "after_first_dash", "nordiskarum.se": "drop_label"}
+AVAILABILITY_RULES = {
+    "ebuy24.dk": "in_stock_mark",
+    "k-rauta.se": "not_available",
+    "nordiskarum.se": "in_stock_default",
+}
 RULES = {
+    "bernomobler.se": (
+        Rule("name", cls="product-single__title", under_class="product-grid__content", required=True),
+        Rule("description", cls="rte", under_class="product-grid__content"),
+        Rule("price_text", tag="span", under_class="product-block--price", required=True),
+    ),
+    "connox.dk": (
+        Rule("name", tag="h1", under_class="product-details", required=True),
+        Rule("brand", tag="a", cls="product-manufacturer-link", under_class="product-details", take="title"),
+        Rule("brand_url", tag="a", cls="product-manufacturer-link", under_class="product-details", take="href"),
+        Rule("original_price_text", tag="s", under_class="price-value"),
+    ),
+    "ebuy24.dk": (
+        Rule("name", tag="h1", cls="m-product-title", required=True),
+        Rule("description", tag="div", cls="description", under_class="m-product-additional-info"),
+        Rule("price_text", cls="m-product-price", required=True),
+        Rule("original_price_text", cls="m-product-price-before-discount"),
+        Rule("sku_text", cls="m-product-itemNumber-value"),
+        Rule("availability_text", tag="link", attr="itemprop", attr_value="availability", take="href", required=True),
+    ),
+    "gardenstore.se": (
+        Rule("description", tag="div", cls="description"),
+        Rule("price_text", tag="span", cls="price", under_class="price-final_price"),
+        Rule("original_price_text", tag="span", attr="data-price-type", attr_value="oldPrice", under_class="product-info-price"),
+        Rule("review_score_text", tag="span", cls="avg-score", under_class="yotpo-main-widget"),
+        Rule("review_count_text", tag="span", cls="reviews-qa-label", under_class="yotpo-main-widget"),
+    ),
+    "gigameubel.nl": (
+        Rule("name", tag="h1", cls="page-title"),
+        Rule("brand", tag="h4", under_class="sidebar-lg-sticky"),
+        Rule("description", tag="div", cls="cms-content", under_class="product"),
+        Rule("price_text", tag="span", attr="data-price-type", attr_value="finalPrice", under_class="product-info-main", required=True),
+        Rule("original_price_text", tag="span", attr="data-price-type", attr_value="oldPrice", under_class="product-info-main"),
+    ),
+    "jensen-company.dk": (
+        Rule("brand", tag="div", cls="product-brand"),
+        Rule("sku_text", tag="div", cls="value", under_class="sku"),
+        Rule("description", tag="div", cls="description"),
+    ),
     "k-rauta.se": (
         Rule("brand", tag="a", cls="product-heading__brand-name"),
         Rule("name", tag="h1", cls="product-heading__product-name", required=True),
@@ -226,15 +297,18 @@ RULES = {
         Rule("price_text", cls="sf-price__regular", under_class="product__info", required=True),
         Rule("price_text", cls="sf-price__special", under_class="product__info", rank=1),
     ),
-    "ebuy24.dk": (
-        Rule("name", tag="h1", cls="m-product-title", required=True),
-        Rule("sku_text", cls="m-product-itemNumber-value"),
-        Rule("availability_text", tag="link", attr="itemprop", attr_value="availability", take="href", required=True),
+    "norliving.dk": (
+        Rule("name", tag="h1", cls="product-info__title", under_class="product", required=True),
+        Rule("price_text", tag="sale-price", under_class="product", required=True),
+        Rule("original_price_text", tag="compare-at-price", under_class="product"),
     ),
-    "jensen-company.dk": (
-        Rule("brand", tag="div", cls="product-brand"),
-        Rule("sku_text", tag="div", cls="value", under_class="sku"),
-        Rule("description", tag="div", cls="description"),
+    "trendrum.se": (
+        Rule("price_text", tag="span", cls="currentprice", under_class="productPrices"),
+    ),
+    "unoliving.com": (
+        Rule("brand", tag="h2", cls="pdp__brand__title", under_class="product-info-main"),
+        Rule("price_text", tag="span", attr="data-price-type", attr_value="finalPrice", under_class="product-info-main", take="data-price-amount", required=True),
+        Rule("original_price_text", tag="span", attr="data-price-type", attr_value="oldPrice", under_class="product-info-main", take="data-price-amount"),
     ),
 }
 
@@ -254,6 +328,9 @@ def default_registry() -> Registry:
                 product_url=PRODUCT_URL_PATTERNS.get(domain),
                 search_url=SEARCH_URLS.get(domain),
                 search_limit=SEARCH_LIMITS.get(domain),
+                price_style=PRICE_STYLES.get(domain),
+                sku_style=SKU_STYLES.get(domain),
+                availability_rule=AVAILABILITY_RULES.get(domain),
                 disabled_strategies=DISABLED_STRATEGIES.get(domain, ()),
                 rules=RULES.get(domain, ()),
             )

@@ -338,6 +338,32 @@ def rule_extract(spark, sf_dir):
     )
 
 
+@query(
+    "ext17_rule_offers",
+    f"""SELECT p_partkey AS page_id, CASE WHEN p_size % 5 <> 0 THEN p_name END AS name, p_brand AS brand,
+        floor(p_retailprice) AS price, CASE WHEN p_size % 2 = 0 THEN floor(p_retailprice) + 100 END AS original_price,
+        p_size % 2 = 0 AS is_discounted, 'SEK' AS currency,
+        CASE WHEN p_size % 3 = 0 THEN 'out_of_stock' ELSE 'in_stock' END AS availability,
+        CASE WHEN p_size % 5 = 0 THEN 'Cannot extract name' END AS reject_reason FROM part""",
+)
+def rule_offers(spark, sf_dir):
+    """Pages of one known shop; every fifth size lacks the name."""
+    from offerloom.operators.profiles import default_registry
+
+    body = """
+        '<div class="product-page__top-info"><a class="product-heading__brand-name"> ' || p_brand || ' </a>' ||
+        CASE WHEN p_size % 5 = 0 THEN '' ELSE '<h1 class="product-heading__product-name">' || p_name || '</h1>' END ||
+        CASE WHEN p_size % 2 = 0 THEN '<s class="price-view__before-discount">' || CAST(floor(p_retailprice) + 100 AS STRING) || ' kr</s>' ELSE '' END ||
+        '<b class="price-view__sale-price-container">' || CAST(floor(p_retailprice) AS STRING) || ' kr/ st</b></div>' ||
+        '<span class="availability__message">' || CASE WHEN p_size % 3 = 0 THEN 'Ej tillgänglig' ELSE 'Finns' END || '</span>'"""
+    pages = parts(spark, sf_dir).selectExpr(
+        "p_partkey AS page_id", "'https://www.k-rauta.se/produkt/' || p_partkey AS url", f"{body} AS html"
+    )
+    return fd.rule_offers(pages, default_registry()).select(
+        "page_id", "name", "brand", "price", "original_price", "is_discounted", "currency", "availability", "reject_reason"
+    )
+
+
 def _spec_doms(spark, sf_dir):
     return spec_pages(spark, sf_dir).select("page_id", "url", el.page_dom(html()).alias("dom"))
 
