@@ -34,21 +34,18 @@ def scrape_details(
     """
     registry = registry or default_registry()
     judged = classify_pages(pages, registry.outcome_rules)
-    failed = judged.where(F.col("error").isNotNull()).select(
-        "request_url", "url", F.col("error").alias("reject_reason")
-    )
-    good = judged.where(F.col("error").isNull()).drop("error", "status")
-    extracted = stamp_offer(auto_extract(good, registry.disabled()), F.col("fetched_at"))
-    unpriced = F.col("reject_reason").isNotNull()
-    merged = merge_offer(extracted.where(~unpriced).drop("reject_reason"), requests, "request_url")
+    # a failed page goes through without its HTML, so one pass serves all rows
+    readable = judged.withColumn("html", F.when(F.col("error").isNull(), F.col("html")))
+    extracted = auto_extract(readable.drop("status"), registry.disabled())
+    reason = F.coalesce("error", "reject_reason")
+    extracted = stamp_offer(extracted, F.col("fetched_at")).withColumn("reject_reason", reason)
+    merged = merge_offer(extracted.drop("error"), requests, "request_url")
     cleaned = clean_offer(merged, registry)
+    if "variant_group_url" not in cleaned.columns:
+        cleaned = cleaned.withColumn("variant_group_url", F.lit(None).cast("string"))
     ok = F.col("reject_reason").isNull()
     offers = cleaned.where(ok).drop("reject_reason")
-    if "variant_group_url" not in offers.columns:
-        offers = offers.withColumn("variant_group_url", F.lit(None).cast("string"))
-    rejected = failed.unionByName(
-        extracted.where(unpriced).select("request_url", "url", "reject_reason")
-    ).unionByName(cleaned.where(~ok).select("request_url", "url", "reject_reason"))
+    rejected = cleaned.where(~ok).select("request_url", "url", "reject_reason")
     asked = requests.select(F.col("request_url").alias("url"))
     return Details(offers, rejected, coverage(asked, offers))
 
