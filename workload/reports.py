@@ -198,7 +198,9 @@ def _messages_sql(size):
 
 @query("snk2_to_messages", _messages_sql(100))
 def to_messages(spark, sf_dir):
-    return _read_back(sinks.to_messages(_ranked(spark, sf_dir), "popularity_index", ["url"], 100))
+    return _read_back(
+        sinks.to_messages(_ranked(spark, sf_dir), "popularity_index", ["url"], 100, ranked=True)
+    )
 
 
 @query("snk3_popularity_message", _messages_sql(10_000))

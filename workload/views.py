@@ -196,7 +196,7 @@ STYLE = "(l_orderkey + l_linenumber)"
 def price_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices of lines with their whole and fractional part as text pieces."""
     return (
-        numbered_lines(spark, sf_dir)
+        spread(numbered_lines(spark, sf_dir))
         .selectExpr("l_orderkey", "l_linenumber", "l_partkey", f"{CENTS} AS cents", f"{STYLE} AS style")
         .selectExpr(
             "*",
