@@ -80,6 +80,11 @@ class _Nodes(HTMLParser):
         self.parts.append(data)
         self.length += len(data)
 
+    def parse_marked_section(self, i, report=1):
+        # "<![...>" is a comment up to the next ">", whatever it holds
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else -1
+
     def _close(self, depth: int) -> None:
         for pos in self.open[depth:]:
             self.nodes[pos]["finish"] = self.length

@@ -125,3 +125,16 @@ def test_breadcrumbs_and_static_offer(spark):
     row = st.static_offer(df).first()
     assert (row.name, row.brand, row.sku, row.price, row.currency) == ("Lamp", "B", "7", 0.0, "SEK")
     assert [(c.name, c.url) for c in row.category_tree] == [("A", "https://s.se/a")]
+
+
+def test_malformed_html_never_fails():
+    import random
+
+    rng = random.Random(1)
+    for _ in range(20_000):
+        text = "".join(rng.choice("<>/!?[]-='\"& abp\n") for _ in range(rng.randint(1, 25)))
+        dom = el.dom_of_text(text)
+        for n in dom["nodes"]:
+            assert 0 <= n["begin"] <= n["finish"] <= len(dom["text"])
+    dom = el.dom_of_text("<p>a<![CDATA[x]]>b<![foo bar>c</p>")
+    assert dom["text"] == "abc"
