@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from offerloom.llm import packing, simhash
+from offerloom.llm import decontamination, packing, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +30,107 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spans_sql(kind: str, ordinal: int) -> str:
+    """DuckDB rows (doc, spans of one kind): gaps and matches alternate."""
+    pattern = secrets.PATTERNS[kind].replace("'", "''")
+    value = f"regexp_extract(hit, '{pattern}', 2)" if kind == "assign" else "hit"
+    return f"""
+    SELECT rid, owner, repo, {ordinal} AS ord, '{kind}' AS kind, start, start + len(hit) AS stop, hit, {value} AS value
+    FROM (
+        SELECT rid, owner, repo, hits[i] AS hit,
+               list_sum(list_transform(gaps[1:i], lambda x: len(x)))::BIGINT
+               + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: len(x))), 0)::BIGINT AS start
+        FROM (
+            SELECT rid, owner, repo, hits, gaps, unnest(range(1, len(hits) + 1)) AS i
+            FROM (
+                SELECT rid, owner, repo, regexp_extract_all(text, '{pattern}') AS hits,
+                       regexp_split_to_array(text, '{pattern}') AS gaps
+                FROM docs
+            )
+        )
+    ) WHERE {f"len(value) >= {secrets.VALUE}" if kind == "assign" else "true"}"""
+
+
+OP6 = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, source AS owner,
+           concat_ws('/', source, lang) AS repo
+    FROM documents
+), spans AS ({" UNION ALL ".join(_spans_sql(k, i) for i, k in enumerate(secrets.PATTERNS))}
+), hashed AS (
+    SELECT *, sha256(value) AS hash,
+           len(list_distinct(string_split(value, ''))) >= {secrets.DISTINCT_CHARS} AS varied
+    FROM spans
+), shared AS (SELECT hash, count(DISTINCT owner) AS owners FROM hashed GROUP BY hash
+), judged AS (
+    SELECT rid, ord, kind || ':' || start || ':' || stop AS span, start, stop, owners >= {secrets.EXAMPLE_OWNERS} AS example,
+           varied AND owners < {secrets.EXAMPLE_OWNERS} AS live
+    FROM hashed JOIN shared USING (hash)
+), per AS (
+    SELECT rid,
+           count(*) FILTER (ord = 0) AS n_assign, count(*) FILTER (ord = 1) AS n_access, count(*) FILTER (ord = 2) AS n_hex,
+           coalesce(string_agg(span, ',' ORDER BY start, ord) FILTER (ord < 3), '') AS base,
+           string_agg(span, ',' ORDER BY start, ord) AS spans, count(*) FILTER (live) AS n_live,
+           count(*) FILTER (example) AS n_example,
+           coalesce(string_agg(span, ',' ORDER BY start, ord) FILTER (live), '') AS live_spans
+    FROM judged GROUP BY rid
+)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+       coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_example, 0)::BIGINT AS n_example,
+       coalesce(live_spans, '') AS live_spans
+FROM docs LEFT JOIN per USING (rid)
+"""
+
+
+def owner_columns() -> dict:
+    """Who owns a document: its source, whose languages are taken for repositories."""
+    return {"owner": F.col("source"), "repo": F.concat_ws("/", "source", "lang")}
+
+
+@query("op6_secrets", OP6)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(table(spark, sf_dir, "documents"), **owner_columns())
+
+
+OP7 = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS rid, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '{decontamination.WORD}') AS words
+    FROM documents
+), items AS (
+    SELECT item_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '{decontamination.WORD}') AS words
+    FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, words[i:i + {decontamination.WINDOW - 1}] AS w
+    FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - {decontamination.WINDOW - 2}, 2))) AS i
+          FROM items WHERE len(words) > 0)
+), sizes AS (SELECT DISTINCT len(w) AS n FROM windows
+), grams AS (
+    SELECT rid, n, i, words[i:i + n - 1] AS w
+    FROM (SELECT rid, n, words, unnest(range(1, len(words) - n + 2)) AS i FROM docs, sizes)
+), hits AS (SELECT rid, i, n, item_id FROM grams JOIN windows USING (w)
+), covered AS (
+    SELECT rid, count(DISTINCT p) AS n_hit
+    FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT rid, i, n FROM hits)) GROUP BY rid
+), listed AS (
+    SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY rid
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (rid) LEFT JOIN listed USING (rid)
+"""
+
+
+@query("op7_decontamination", OP7)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op8_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
