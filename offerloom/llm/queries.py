@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerloom.llm import decontamination, packing, secrets, simhash
+from offerloom.llm import decontamination, packing, secrets, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,6 +83,11 @@ FROM docs LEFT JOIN per USING (rid)
 """
 
 
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def owner_columns() -> dict:
     """Who owns a document: its source, whose languages are taken for repositories."""
     return {"owner": F.col("source"), "repo": F.concat_ws("/", "source", "lang")}
