@@ -181,10 +181,10 @@ def mask_secrets(docs: DataFrame, owner: Column, repo: Column, owners: int = EXA
     text = F.when(F.col(live.columns[1]).isNull(), F.col("text")).otherwise(
         _masked(F.col("text"), F.col(live.columns[1]))
     )
-    changed = {"text": text}
+    masked = masked.withColumn("text", text)
     if "n_chars" in docs.columns:
-        length = F.char_length(text).cast(docs.schema["n_chars"].dataType)
+        length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
         moved = F.col("n_chars").isNotNull() & F.col(live.columns[1]).isNotNull()
-        changed["n_chars"] = F.when(moved, length).otherwise(F.col("n_chars"))
-    masked = masked.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
+        masked = masked.withColumn("n_chars", F.when(moved, length).otherwise(F.col("n_chars")))
+    masked = masked.select(*docs.columns)
     return docs.where(~some).union(masked)
