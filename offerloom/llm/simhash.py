@@ -3,10 +3,10 @@
 The 64 bits are cut into ``bits + 1`` consecutive segments on a ring. If two
 fingerprints differ in at most ``bits`` places, some start exists from which
 every chain of l segments differs in at most ``l * bits / (bits + 1)`` places.
-So a chain of one segment must agree, a chain of two may differ in one place,
-and the whole ring in ``bits``. The chains are counted, not paired: a
-fingerprint goes on only while another one shares its chain, one shuffle with
-map-side counts per chain length. The survivors take the full Hamming check
+With two bits, a chain of one segment must agree, a chain of two may differ in
+one place, and the whole ring in two. Chains are counted, not paired: a
+fingerprint goes on only if another one shares a chain with it, which takes
+map-side counts and one semi-join. The survivors take the full Hamming check
 through the points half-way between them: fingerprints two places apart have a
 common neighbour one place away from both, and at most 65 fingerprints lie
 around one point, so no group grows with the data and no pair is enumerated
@@ -70,31 +70,29 @@ def _part(fp: Column, shift: int, width: int) -> Column:
     return F.shiftrightunsigned(fp, shift).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def _shared(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key another fingerprint has as well."""
-    held = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*keys)
-    return rows.join(held, keys, "left_semi")
-
-
 def candidates(prints: DataFrame, bits: int) -> DataFrame:
-    """Distinct fingerprints ``(fp)`` that pass the chains of one and two segments."""
+    """Distinct fingerprints ``(fp)`` that share a chain with another one.
+
+    A chain of one segment has to agree. Where the budget of two segments is
+    one place, the chain's key holds the first one and the second one with one
+    place masked, for each place: equal for chains within the budget. Keys are
+    hashed; a collision lets a fingerprint through to the full check only.
+    """
     ring = _segments(bits)
     fp = F.col("fp")
-    starts = F.array(*[F.struct(F.lit(i).alias("i"), _part(fp, *s).alias("here")) for i, s in enumerate(ring)])
-    one = _shared(prints.select("fp", F.inline(starts)), ["i", "here"])
-    if bits < 2:
-        return one.select("fp").distinct()
-    # the next segment with one place masked: equal for segments at most one place apart there
-    masked = F.lit(None)
-    for i in reversed(range(len(ring))):
+    chains = []
+    for i, here in enumerate(ring):
         shift, width = ring[(i + 1) % len(ring)]
-        part = _part(fp, shift, width)
-        masks = F.array(*[
-            F.struct(F.lit(b).alias("b"), part.bitwiseAND(F.lit(~(1 << b))).alias("next")) for b in range(width)
-        ])
-        masked = F.when(F.col("i") == i, masks).otherwise(masked)
-    two = one.select("fp", "i", "here", F.inline(masked))
-    return _shared(two, ["i", "here", "b", "next"]).select("fp").distinct()
+        first = [F.lit(i), _part(fp, *here)]
+        if bits < 2:
+            chains.append(F.xxhash64(*first))
+            continue
+        after = _part(fp, shift, width)
+        for b in range(width):
+            chains.append(F.xxhash64(*first, F.lit(b), after.bitwiseAND(F.lit(~(1 << b)))))
+    rows = prints.select("fp", F.explode(F.array(*chains)).alias("chain"))
+    shared = rows.groupBy("chain").agg(F.count("*").alias("n")).where("n > 1").select("chain")
+    return rows.join(shared, "chain", "left_semi").select("fp").distinct()
 
 
 def links(prints: DataFrame, bits: int) -> DataFrame:
