@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerloom.llm import decontamination, language, packing, secrets, simhash, toxicity
+from offerloom.llm import decontamination, language, language_model, packing, secrets, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,6 +88,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_language(table(spark, sf_dir, "documents"))
 
 
+@query("op3_language_model")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_texts(table(spark, sf_dir, "documents"))
+
+
 @query("op5_toxicity")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
