@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerloom.llm import decontamination, language, language_model, packing, secrets, simhash, toxicity
+from offerloom.llm import decontamination, language, language_model, packing, secrets, simhash, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,6 +88,46 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_language(table(spark, sf_dir, "documents"))
 
 
+# The rules, and the labels of hosts whose pages the list names.
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+LISTED_LABELS = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+LISTED_HOST = rf"(^|\.)({'|'.join(LISTED_LABELS)})(\.|$)"
+
+
+def _rule_sql(what: int) -> str:
+    cases = ""
+    for rule in sorted(URL_RULES, key=lambda r: -len(r[1] + r[2])):
+        v, h, p = rule
+        out = h + p if what else v
+        cases += f" WHEN (host = '{h}' OR host LIKE '%.{h}') AND starts_with(path, '{p}') THEN '{out}'"
+    return f"CASE{cases} END"
+
+
+OP2 = f"""
+WITH p AS (
+    SELECT page_id,
+           translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path
+    FROM pages
+), q AS (SELECT *, regexp_matches(host, '{LISTED_HOST}') AS listed, {_rule_sql(1)} AS rule, {_rule_sql(0)} AS fixed FROM p)
+SELECT page_id, host, path, rule, coalesce(fixed, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict, listed FROM q
+"""
+
+
+@query("op2_url_filter", OP2)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    host, path = urls.host_of(F.col("url")), urls.path_of(F.col("url"))
+    listed = pages.where(host.rlike(LISTED_HOST)).select(F.concat(host, path).alias("key"))
+    return urls.judge_urls(pages, URL_RULES, listed)
+
+
 @query("op3_language_model")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_texts(table(spark, sf_dir, "documents"))
