@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerloom.llm import decontamination, language, language_model, neighbours, packing, secrets, simhash, toxicity, urls
+from offerloom.llm import decontamination, language, language_model, neighbours, packing, secrets, simhash, token_counts, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -133,6 +133,26 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_texts(table(spark, sf_dir, "documents"))
 
 
+def document_edits() -> Column:
+    """Four edits per document, drawn from its id and text: a cut, a repeat of its start, a new start, a new end."""
+    size = F.coalesce(F.char_length("text"), F.lit(0)).cast("long")
+    place = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    edits = [
+        (F.pmod(place, size + 1), F.lit(25), F.lit("")),
+        (F.pmod(place * 31, size + 1), F.lit(0), F.substring(F.coalesce("text", F.lit("")), 1, 40)),
+        (F.lit(0), F.lit(3), F.lit("Edited: ")),
+        (size * 2, F.lit(0), F.lit(" the end")),
+    ]
+    return F.array(*[
+        F.struct(a.cast("long").alias("start"), b.cast("long").alias("remove"), c.alias("insert")) for a, b, c in edits
+    ])
+
+
+@query("op4_token_counts")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents").withColumn("edits", document_edits()))
+
+
 @query("op5_toxicity")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
