@@ -65,9 +65,13 @@ def _projection(width: int) -> np.ndarray:
     return np.random.default_rng([SEED, width]).normal(size=(width, COORDINATES))
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector by the power of two that brings its largest number near one: exact, and squares stay finite."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=-1, keepdims=True))[1])
+
+
 def _projected(vectors: np.ndarray) -> np.ndarray:
-    largest = np.abs(vectors).max(axis=1, keepdims=True)  # keeps tiny and huge values from under- and overflow
-    scaled = vectors / largest
+    scaled = _scaled(vectors)
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True) @ _projection(vectors.shape[1])
 
 
@@ -122,7 +126,7 @@ def _search(k: int, quantile: float):
     def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(queries) and len(rows):
-            vectors = np.array(rows["vector"].tolist(), dtype=np.float64)
+            vectors = _scaled(np.array(rows["vector"].tolist(), dtype=np.float64))
             points = np.array(rows["point"].tolist(), dtype=np.float64)
             ids, uids = rows["vec_id"].to_numpy(), rows["uid"].to_numpy()
             norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
@@ -132,7 +136,7 @@ def _search(k: int, quantile: float):
             for uid, vec_id, vector, point, known in zip(
                 queries["uid"], queries["vec_id"], queries["vector"], queries["point"], queries["known"]
             ):
-                vector = np.asarray(vector, dtype=np.float64)
+                vector = _scaled(np.asarray(vector, dtype=np.float64))
                 norm = math.sqrt(np.einsum("i,i->", vector, vector))
                 near = _box_distances(np.asarray(point), low, high)
                 order = np.argsort(near, kind="stable")
