@@ -24,7 +24,7 @@ DISABLED_STRATEGIES = {
 COMPARISON_SITES = ("pricerunner", "prisjakt", "idealo", "google")
 
 # What a page must mention for a markup strategy to have a chance.
-_MARKUP_HINT = r"itemprop|property\s*=|woocommerce-Price-amount"
+_MARKUP_HINT = r"(?i)itemprop|property\s*=|woocommerce-price-amount"
 
 
 def is_comparison_site(domain: Column) -> Column:

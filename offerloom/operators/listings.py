@@ -108,7 +108,18 @@ def popularity_rank(
     rows.
     """
     first = first_sight(cards, [run, url], page, position)
-    return number_rows(first, [run], page, [position, url], "popularity_index")
+    # a cut is 4096 places of one page, so that an endless page is cut as well
+    place = F.shiftleft(F.col(page).cast("bigint"), _POSITION_BITS) + F.col(position).cast("bigint")
+    ranked = number_rows(
+        first.withColumn("_place", place),
+        [run],
+        "_place",
+        [F.col(page).asc_nulls_last(), F.col(position).asc_nulls_last(), url],
+        "popularity_index",
+        width_bits=12,
+        block_bits=_POSITION_BITS,
+    )
+    return ranked.drop("_place")
 
 
 def popularity_by_page(

@@ -165,6 +165,11 @@ class Registry:
         }
 
 
+def _without_redirect_mark(url: Column) -> Column:
+    """The first ``/?redirect=301`` of a URL is dropped."""
+    return F.regexp_replace(url, r"^(.*?)/\?redirect=301", "$1")
+
+
 def _canonical_asin(url: Column) -> Column:
     return F.concat(origin_of(url), F.lit("/-/en/dp/"), product_id(url, "asin"))
 
@@ -336,6 +341,7 @@ def default_registry() -> Registry:
             )
         )
     registry.register_canonical("amazon.de", _canonical_asin)
+    registry.register_canonical("baldai1.lt", _without_redirect_mark)
     registry.register_finisher(
         "bygghemma.se", lambda df: {"variant_group_url": _group_url(F.col("url"))}
     )

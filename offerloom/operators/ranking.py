@@ -8,7 +8,7 @@ sees more than one cut of rows or one block of counts.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 
 def number_rows(
@@ -24,10 +24,12 @@ def number_rows(
 
     A cut holds the rows of ``2**width_bits`` consecutive values of the integer
     ``coarse``, a block the counts of ``2**block_bits`` consecutive cuts. ``(coarse, fine)`` must be a total
-    order of the group, else equal rows may swap numbers. ``group`` and
-    ``coarse`` must be present: an inner join on them lets all three branches
-    share one shuffle of an aggregated input.
+    order of the group, else equal rows may swap numbers. Rows with a NULL in
+    ``group`` form a group like others, and a NULL ``coarse`` comes last in its
+    group.
     """
+    # one key that is never NULL, although its fields may be
+    key = F.struct(*group)
 
     def before(n: str, within: list[str], key: str) -> Column:
         frame = (
@@ -37,36 +39,53 @@ def number_rows(
         )
         return F.coalesce(F.sum(n).over(frame), F.lit(0))
 
-    rows = df.withColumn("_cut", F.shiftright(F.col(coarse), width_bits))
+    at = F.coalesce(F.col(coarse).cast("bigint"), F.lit(2**62))
+    rows = df.withColumn("_g", key).withColumn("_cut", F.shiftright(at, width_bits))
     cuts = (
-        rows.groupBy(*group, "_cut")
+        rows.groupBy("_g", "_cut")
         .agg(F.count("*").alias("_n"))
         .withColumn("_block", F.shiftright(F.col("_cut"), block_bits))
     )
     blocks = (
-        cuts.groupBy(*group, "_block")
+        cuts.groupBy("_g", "_block")
         .agg(F.sum("_n").alias("_n"))
-        .select(*group, "_block", before("_n", group, "_block").alias("_b0"))
+        .select("_g", "_block", before("_n", ["_g"], "_block").alias("_b0"))
     )
     starts = (
-        cuts.withColumn("_c0", before("_n", [*group, "_block"], "_cut"))
-        .join(blocks, [*group, "_block"])
-        .select(*group, "_cut", (F.col("_b0") + F.col("_c0")).alias("_start"))
+        cuts.withColumn("_c0", before("_n", ["_g", "_block"], "_cut"))
+        .join(blocks, ["_g", "_block"])
+        .select("_g", "_cut", (F.col("_b0") + F.col("_c0")).alias("_start"))
     )
     inside = F.row_number().over(
-        Window.partitionBy(*group, "_cut").orderBy(coarse, *fine)
+        Window.partitionBy("_g", "_cut").orderBy(F.col(coarse).asc_nulls_last(), *fine)
     )
     return (
-        rows.join(starts, [*group, "_cut"])
+        rows.join(starts, ["_g", "_cut"])
         .withColumn(alias, (inside + F.col("_start")).cast("bigint"))
-        .drop("_cut", "_start")
+        .drop("_g", "_cut", "_start")
     )
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row per key. Partial aggregation collapses hot keys before
-    the shuffle, unlike ``row_number() = 1``."""
+    the shuffle, unlike ``row_number() = 1``. Columns of types without an order
+    (maps, VARIANT) travel along; rows that differ in nothing else tie."""
     rest = [c for c in df.columns if c not in keys and c not in order]
     order = [c for c in order if c not in keys]
-    best = F.min(F.struct(*order, *rest)).alias("_first")
+    loose = [c for c in rest if _unordered(df.schema[c].dataType)]
+    if not loose:
+        best = F.min(F.struct(*order, *rest)).alias("_first")
+    else:
+        best = F.min_by(
+            F.struct(*order, *rest), F.struct(*order, *[c for c in rest if c not in loose])
+        ).alias("_first")
     return df.groupBy(*keys).agg(best).select(*keys, "_first.*").select(*df.columns)
+
+
+def _unordered(kind: T.DataType) -> bool:
+    """Whether a type, or one inside it, has no order."""
+    if isinstance(kind, T.StructType):
+        return any(_unordered(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _unordered(kind.elementType)
+    return isinstance(kind, (T.MapType, T.VariantType))

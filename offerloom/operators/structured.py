@@ -24,7 +24,8 @@ OFFER_TYPE = (
     " metadata: string>"
 )
 _BLOCK = (
-    r"(?is)<script[^>]*?type\s*=\s*[\"']?application/ld\+json[\"']?[^>]*>(.*?)</script\s*>"
+    r"(?is)<script[^>]*?type\s*=\s*[\"']?\s*application(?:/|&#x0*2f;|&#0*47;|&sol;)ld(?:\+|&#x0*2b;|&#0*43;|&plus;)json"
+    r"[^>]*>(.*?)</script\s*>"
 )
 _RELAXED = {
     "allowSingleQuotes": "true",
@@ -38,9 +39,7 @@ _RELAXED = {
 def jsonld_bodies(html: Column) -> Column:
     """All JSON-LD script bodies of a page, in order."""
     found = F.regexp_extract_all(html, F.lit(_BLOCK), F.lit(1))
-    return F.when(F.contains(html, F.lit("ld+json")), found).otherwise(
-        F.array().cast("array<string>")
-    )
+    return F.coalesce(found, F.array().cast("array<string>"))
 
 
 def jsonld_blocks(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -52,14 +51,18 @@ def jsonld_blocks(pages: DataFrame, html: str = "html") -> DataFrame:
 
 
 def parse_jsonld(body: Column) -> Column:
-    """Block text -> VARIANT; strict JSON first, then a lenient reading, and
-    NULL for a block that is beyond repair."""
+    """Block text -> VARIANT; strict JSON first, then a lenient reading, then
+    one without trailing commas, and NULL for a block that is beyond repair."""
     clean = F.regexp_replace(body, r"(?s)/\*.*?\*/", "")
     clean = F.regexp_replace(clean, r"(?s)<!\[CDATA\[.*?\]\]>", "")
     clean = F.regexp_replace(clean, r"\n", " ")
     return let(
         clean,
-        lambda t: F.coalesce(F.try_parse_json(t), F.from_json(t, "variant", _RELAXED)),
+        lambda t: F.coalesce(
+            F.try_parse_json(t),
+            F.from_json(t, "variant", _RELAXED),
+            F.from_json(F.regexp_replace(t, r",(\s*[}\]])", "$1"), "variant", _RELAXED),
+        ),
     )
 
 

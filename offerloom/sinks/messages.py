@@ -33,8 +33,9 @@ def to_messages(
     if ranked:
         numbered = rows.withColumn("_n", F.col(order).cast("bigint"))
     else:
-        # rows without an order value come last
-        at = F.coalesce(F.col(order), F.lit(2**62)).cast("bigint")
+        # rows without an order value come last, dealt by a hash: many of them are not one cut
+        last = F.lit(2**62) + F.shiftleft(F.pmod(F.xxhash64(*tie), F.lit(2**16)), 8)
+        at = F.coalesce(F.col(order).cast("bigint"), last)
         numbered = number_rows(rows.withColumn("_at", at), [job], "_at", tie, "_n")
     job_context = F.struct(F.col(job).alias("jobId")) if context is None else context
     return (

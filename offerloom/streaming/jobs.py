@@ -41,12 +41,10 @@ def stream_offers(
     )
 
 
-def stream_frontier(
-    requests: DataFrame, key: str = "unique_key", time: str = "seen_at", keep: str = "7 days"
-) -> DataFrame:
-    """First request per key. A key is remembered for ``keep`` after its time;
-    that bounds the state, where a finished run would forget all keys at once."""
-    return requests.withWatermark(time, keep).dropDuplicatesWithinWatermark([key])
+def stream_frontier(requests: DataFrame, key: str = "unique_key") -> DataFrame:
+    """First request per key, however late it is. Keys are remembered for as
+    long as the run's checkpoint lives: state ends with the run, not by time."""
+    return requests.dropDuplicates([key])
 
 
 def publish_batches(

@@ -198,7 +198,7 @@ def to_minor_units(spark, sf_dir):
 
 @query(
     "dtl9_canonical_url",
-    """SELECT p_partkey, CASE WHEN p_size % 3 = 2 THEN 'https://x.se/p' ELSE
+    """SELECT p_partkey, CASE WHEN p_size % 6 = 5 THEN 'https://www.baldai1.lt/p' || p_partkey WHEN p_size % 3 = 2 THEN 'https://x.se/p' ELSE
        CASE WHEN p_size % 3 = 0 THEN 'https://www.amazon.de/-/en/dp/B' || CAST(p_partkey AS STRING) END END AS url,
        p_size % 3 = 1 AS rejected FROM part""",
 )
@@ -208,7 +208,8 @@ def canonical_url(spark, sf_dir):
 
     raw = F.expr(
         "CASE p_size % 3 WHEN 0 THEN 'https://www.amazon.de/a-b/dp/B' || p_partkey || '/ref=x?k=1'"
-        " WHEN 1 THEN 'https://www.amazon.de/s?k=1' ELSE 'https://x.se/p' END"
+        " WHEN 1 THEN 'https://www.amazon.de/s?k=1' ELSE"
+        " CASE WHEN p_size % 6 = 5 THEN 'https://www.baldai1.lt/p' || p_partkey || '/?redirect=301' ELSE 'https://x.se/p' END END"
     )
     url = default_registry().apply_canonical(c("raw"), domain_of(c("raw")))
     return parts(spark, sf_dir).select("p_partkey", raw.alias("raw")).select(

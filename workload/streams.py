@@ -66,18 +66,21 @@ def stream_offers(spark, sf_dir):
 
 @query("str2_stream_frontier", f"SELECT DISTINCT {EVENT_URL} AS unique_key FROM events")
 def stream_frontier(spark, sf_dir):
+    """Two batches: the later half of the events first, so that the second one is late."""
     root = scratch_dir(spark, "str2")
-    schema = table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    requests = events.select(F.expr(EVENT_URL).alias("unique_key"), c("ts").cast("timestamp").alias("seen_at"))
-    fresh = streaming.stream_frontier(requests, keep="3650 days")
-    (
-        fresh.writeStream.format("parquet")
-        .option("checkpointLocation", f"{root}/cp")
-        .trigger(availableNow=True)
-        .start(f"{root}/out")
-        .awaitTermination()
-    )
+    events = table(spark, sf_dir, "events").select(F.expr(EVENT_URL).alias("unique_key"), c("ts").cast("timestamp").alias("seen_at"))
+    middle = events.agg(F.expr("timestamp_micros(bigint(avg(unix_micros(seen_at))))")).first()[0]
+    for part in (c("seen_at") > F.lit(middle), ~F.coalesce(c("seen_at") > F.lit(middle), F.lit(False))):
+        events.where(part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{root}/in")
+        (
+            streaming.stream_frontier(stream)
+            .writeStream.format("parquet")
+            .option("checkpointLocation", f"{root}/cp")
+            .trigger(availableNow=True)
+            .start(f"{root}/out")
+            .awaitTermination()
+        )
     return spark.read.parquet(f"{root}/out").select("unique_key")
 
 

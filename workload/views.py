@@ -87,7 +87,7 @@ def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         '{{"@context":"https://schema.org","@type":"Product","name":"' || p_name ||
         '","mpn":"M' || CAST(p_size AS STRING) || '-' || CAST(p_partkey AS STRING) ||
         '","gtin13":"' || {gtin} || '","brand":{{"name":"' || p_brand || '"}},"description":"A ' ||
-        p_type || ' one","offers":' || {offer} || '}}'"""
+        p_type || ' one","offers":' || {offer} || CASE WHEN p_partkey % 13 = 4 THEN ' , }}' ELSE '}}' END"""
     block = f"""
         CASE WHEN {BROKEN} THEN '{{"@type":"Product","name":"' || p_name
              WHEN p_partkey % 5 = 0 THEN '/* shop */ {{"@graph":[{{"@type":"WebPage"}},' || {product} || ']}}'
@@ -100,7 +100,9 @@ def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         '{"item":{"@id":"https://www.' || domain || '/' || lower(p_type) || '/' || CAST(p_size AS STRING) ||
         '","name":"Size ' || CAST(p_size AS STRING) || '"}}]}'"""
     html = f"""
-        '<html><head><title>' || p_name || '</title><script type="application/ld+json">' || {block} ||
+        '<html><head><title>' || p_name || '</title>' || CASE p_partkey % 7
+          WHEN 3 THEN '<SCRIPT TYPE="application/LD+JSON">' WHEN 5 THEN '<script type="application/ld&#x2B;json">'
+          ELSE '<script type="application/ld+json">' END || {block} ||
         '</script><script type="application/ld+json">' || {crumbs} ||
         '</script></head><body><h1>' || p_name || '</h1></body></html>'"""
     return parts(spark, sf_dir).selectExpr("p_partkey AS page_id", "url", f"{html} AS html")
@@ -133,6 +135,8 @@ def meta_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         '<div class="woocommerce-product-gallery__wrapper"><img src="/i/' || CAST(p_partkey AS STRING) ||
         '.jpg"><img src="/i/b.jpg"></div></body></html>'"""
     html = f"CASE p_partkey % 3 WHEN 0 THEN {og} WHEN 1 THEN {micro} ELSE {plugin} END"
+    # names of attributes in either case
+    html = f"CASE WHEN p_partkey % 7 < 3 THEN replace(replace({html}, 'property=', 'PROPERTY='), 'itemprop=', 'ITEMPROP=') ELSE {html} END"
     return parts(spark, sf_dir).selectExpr("p_partkey AS page_id", "url", f"{html} AS html")
 
 
