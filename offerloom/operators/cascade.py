@@ -41,16 +41,18 @@ def auto_extract(
     disabled: dict[str, tuple[str, ...]] | None = None,
     html: str = "html",
     url: str = "url",
+    shop: str | None = None,
 ) -> DataFrame:
     """One row per page: page columns without the HTML, plus the winning
     strategy's fields. ``reject_reason`` is set when no strategy found a price.
+    Strategies are switched off by the domain of ``shop`` (``url`` if not given).
 
     The node list is built only for pages the JSON-LD strategy cannot serve
     and that carry some price markup; other pages pass NULL to it.
     """
     rules = DISABLED_STRATEGIES if disabled is None else disabled
     keep = [c for c in pages.columns if c != html]
-    domain = domain_of(F.col(url))
+    domain = domain_of(F.col(shop or url))
     on = {s: _enabled(domain, s, rules) for s in STRATEGIES}
 
     first = pages.select(

@@ -102,12 +102,13 @@ def apply_rules(
 
 
 def classify_pages(
-    pages: DataFrame, domain_rules: dict[str, list[Rule]] | None = None
+    pages: DataFrame, domain_rules: dict[str, list[Rule]] | None = None, shop: str = "url"
 ) -> DataFrame:
     """``error`` of every captured page, NULL for a good one. The default rules
-    come first, then those of the page's domain."""
+    come first, then those of the domain of ``shop``: the requested URL where
+    there is one, as a shop may send its visitors elsewhere."""
     rules = DOMAIN_OUTCOMES if domain_rules is None else domain_rules
-    domain = domain_of(F.col("url"))
+    domain = domain_of(F.col(shop))
     label = first_match(DEFAULT_OUTCOMES)
     for name, own in rules.items():
         label = F.coalesce(label, F.when(domain == name, first_match(own)))

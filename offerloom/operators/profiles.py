@@ -131,6 +131,14 @@ class Registry:
             if p.disabled_strategies
         }
 
+    def ruled_domains(self) -> list[str]:
+        """Domains whose rules find a name and a price, so that they can stand alone."""
+        return [
+            p.domain
+            for p in self.profiles.values()
+            if {"name", "price_text"} <= {r.field for r in p.rules}
+        ]
+
     def rules_frame(self, spark: SparkSession) -> DataFrame:
         """``(domain, rules)`` with one row per domain, broadcast when small."""
         rows = [

@@ -72,6 +72,8 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     (maps, VARIANT) travel along; rows that differ in nothing else tie."""
     rest = [c for c in df.columns if c not in keys and c not in order]
     order = [c for c in order if c not in keys]
+    if not order and not rest:
+        return df.select(*keys).distinct().select(*df.columns)
     loose = [c for c in rest if _unordered(df.schema[c].dataType)]
     if not loose:
         best = F.min(F.struct(*order, *rest)).alias("_first")

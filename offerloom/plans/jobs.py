@@ -6,12 +6,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from offerloom.functions.urls import domain_of
+
 from offerloom.operators import links as lk
 from offerloom.operators.cascade import auto_extract
+from offerloom.operators.fields import rule_offers
 from offerloom.operators.listings import clean_listing, popularity_rank, stamp_listing
 from offerloom.operators.offers import clean_offer, merge_offer, stamp_offer
 from offerloom.operators.outcomes import classify_pages
 from offerloom.operators.profiles import Registry, default_registry
+from offerloom.operators.ranking import first_per_key
 from offerloom.operators.reports import coverage
 
 
@@ -22,6 +26,31 @@ class Details:
     coverage: DataFrame
 
 
+def extract_by_shop(pages: DataFrame, registry: Registry, shop: str = "url") -> DataFrame:
+    """Every page by what the registry knows of the domain of ``shop``: a custom
+    extractor, else field rules that find a name and a price, else the generic
+    cascade. Pages without HTML take the cascade, which rejects them.
+
+    An extractor gets the pages' columns and must return those it wants kept,
+    ``shop`` and ``url`` among them; columns that one way lacks are NULL.
+    """
+    domain = domain_of(F.col(shop))
+    custom = [d for d in registry.extractors]
+    ruled = [d for d in registry.ruled_domains() if d not in custom]
+    own = F.coalesce(domain.isin(*custom, *ruled), F.lit(False)) & F.col("html").isNotNull()
+    generic = pages.where(~own) if custom or ruled else pages
+    out = auto_extract(generic, registry.disabled(), shop=shop)
+    if ruled:
+        rows = pages.where(own & domain.isin(*ruled))
+        found = rule_offers(rows, registry, url=shop).drop("domain")
+        out = out.unionByName(found, allowMissingColumns=True)
+    for name in custom:
+        fn, schema = registry.extractors[name]
+        found = pages.where(own & (domain == name)).mapInPandas(fn, schema)
+        out = out.unionByName(found, allowMissingColumns=True)
+    return out
+
+
 def scrape_details(
     requests: DataFrame, pages: DataFrame, registry: Registry | None = None
 ) -> Details:
@@ -29,14 +58,16 @@ def scrape_details(
     rows with reasons, and coverage per domain.
 
     ``pages`` has ``request_url, url, html, status, fetched_at``; ``requests``
-    one row per ``request_url`` with the listing fields. The HTML never reaches
+    the listing fields per ``request_url``, of which one row counts. The shop is
+    the one that was asked, wherever the request ended. The HTML never reaches
     the join: pages are reduced to fields first.
     """
     registry = registry or default_registry()
-    judged = classify_pages(pages, registry.outcome_rules)
+    requests = first_per_key(requests, ["request_url"], [])
+    judged = classify_pages(pages, registry.outcome_rules, shop="request_url")
     # a failed page goes through without its HTML, so one pass serves all rows
     readable = judged.withColumn("html", F.when(F.col("error").isNull(), F.col("html")))
-    extracted = auto_extract(readable.drop("status"), registry.disabled())
+    extracted = extract_by_shop(readable.drop("status"), registry, shop="request_url")
     reason = F.coalesce("error", "reject_reason")
     extracted = stamp_offer(extracted, F.col("fetched_at")).withColumn("reject_reason", reason)
     merged = merge_offer(extracted.drop("error"), requests, "request_url")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from offerloom.operators.cascade import auto_extract
+from offerloom.plans.jobs import extract_by_shop
 from offerloom.operators.listings import first_sight
 from offerloom.operators.offers import clean_offer, stamp_offer
 from offerloom.operators.ranking import number_rows
@@ -21,8 +22,8 @@ from offerloom.sinks.tables import write_offers
 
 def offers_of(pages: DataFrame, registry=None) -> DataFrame:
     """Captured pages -> cleaned offers that passed all checks. No shuffle."""
-    disabled = None if registry is None else registry.disabled()
-    found = stamp_offer(auto_extract(pages, disabled), F.col("fetched_at"))
+    found = auto_extract(pages) if registry is None else extract_by_shop(pages, registry)
+    found = stamp_offer(found, F.col("fetched_at"))
     cleaned = clean_offer(found, registry)
     return cleaned.where(F.col("reject_reason").isNull()).drop("reject_reason")
 

@@ -281,3 +281,14 @@ def test_first_per_key_carries_types_without_order(spark):
         " UNION ALL SELECT 'k', 0, map('b', 2), parse_json('1')"
     )
     assert [(r.t, r.user_data) for r in first_per_key(df, ["unique_key"], ["t"]).collect()] == [(0, {"b": 2})]
+
+
+def test_details_follow_the_asked_shop_and_keep_one_request(spark):
+    """A page that ends at another shop keeps the rules of the shop that was asked."""
+    html = '<div class="product"><h1 class="product-info__title">Lamp</h1><sale-price>1.250,00 kr.</sale-price></div>'
+    rows = [("https://norliving.dk/p/1", "https://other.example/p/1", html, 200), ("https://norliving.dk/p/2", "https://norliving.dk/p/2", None, 404)]
+    captured = spark.createDataFrame(rows, "request_url string, url string, html string, status int").withColumn("fetched_at", F.current_timestamp())
+    requests = spark.createDataFrame([(u,) for u, *_ in rows] * 2, "request_url string")
+    out = plans.scrape_details(requests, captured)
+    assert [(r.url, r.name, r.price, r.currency) for r in out.offers.collect()] == [("https://other.example/p/1", "Lamp", 125000, "DKK")]
+    assert [r.reject_reason for r in out.rejected.collect()] == ["PageNotFoundError"]

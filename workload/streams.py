@@ -237,6 +237,48 @@ def scrape_details_rejected(spark, sf_dir):
     return _job_a(spark, sf_dir).rejected.select("request_url", "reject_reason")
 
 
+_SHOP = "CASE p_size % 4 WHEN 0 THEN 'norliving.dk' WHEN 1 THEN 'k-rauta.se' WHEN 2 THEN 'own.example' ELSE 'unknown.se' END"
+_ASKED = f"'https://www.' || {_SHOP} || '/p/' || CAST(p_partkey AS STRING)"
+# some requests of a ruled shop end at another shop
+_ENDED = f"CASE WHEN p_size % 8 = 4 THEN 'https://elsewhere.example/p/' || CAST(p_partkey AS STRING) ELSE {_ASKED} END"
+
+
+def _read_own(frames):
+    """Extraction code of one shop: ``<b>name|price</b>``."""
+    for frame in frames:
+        found = frame["html"].str.extract(r"<b>(.*)[|](.*)</b>")
+        yield frame[["request_url", "url", "fetched_at"]].assign(
+            name=found[0], price=found[1].astype(float), currency="EUR"
+        )
+
+
+@query(
+    "job_scrape_details_profiles",
+    f"""SELECT p_partkey, {_ENDED} AS url, p_name AS name, {_MINOR} AS price,
+        CASE p_size % 4 WHEN 0 THEN 'DKK' WHEN 2 THEN 'EUR' ELSE 'SEK' END AS currency FROM part""",
+)
+def scrape_details_profiles(spark, sf_dir):
+    """Two shops with rules, one with an extractor, one unknown; every request is posted twice."""
+    amount = "CAST(CAST(p_retailprice AS DECIMAL(12, 2)) AS STRING)"
+    html = f"""CASE p_size % 4
+        WHEN 0 THEN '<div class="product"><h1 class="product-info__title">' || p_name || '</h1><sale-price>' || replace({amount}, '.', ',') || ' kr.</sale-price></div>'
+        WHEN 1 THEN '<div class="product-page__top-info"><h1 class="product-heading__product-name">' || p_name ||
+            '</h1><i class="price-view__sale-price-container">' || replace({amount}, '.', ',') || ' kr/ st</i></div>'
+        WHEN 2 THEN '<b>' || p_name || '|' || {amount} || '</b>'
+        ELSE '<script type="application/ld+json">{{"@type":"Product","name":"' || p_name || '","offers":{{"price":"' || {amount} || '","priceCurrency":"SEK"}}}}</script>' END"""
+    rows = parts(spark, sf_dir)
+    captured = rows.selectExpr(
+        f"{_ASKED} AS request_url", f"{_ENDED} AS url", f"{html} AS html", "200 AS status", "timestamp'2024-01-01' AS fetched_at"
+    )
+    requests = rows.selectExpr(f"{_ASKED} AS request_url", "p_partkey", "map('n', p_size) AS user_data")
+    registry = pf.default_registry()
+    registry.register_extractor(
+        "own.example", _read_own, "request_url string, url string, fetched_at timestamp, name string, price double, currency string"
+    )
+    found = plans.scrape_details(requests.union(requests), captured, registry)
+    return found.offers.select("p_partkey", "url", "name", "price", "currency")
+
+
 @query(
     "job_explore_category",
     f"""SELECT run AS run, url, 'shop.example.se' AS retailer_domain, CAST(popularity_index AS BIGINT) AS popularity_index FROM ({RANKED_SQL})""",
