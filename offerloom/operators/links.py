@@ -8,7 +8,35 @@ from offerloom.functions.urls import domain_of, normalise_url, strip_query
 from offerloom.operators.elements import attr, page_dom, text_of
 from offerloom.operators.ranking import first_per_key
 
-_HREF = r"(?is)<a\s[^>]*?href\s*=\s*[\"']([^\"']*)[\"']"
+# the attribute's name has to begin there: data-href is another one
+_HREF = r"""(?is)<a\s(?:[^>]*?[\s"'])?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# what looks like markup there is none
+_NO_MARKUP = r"(?is)<!--.*?-->|<(script|style|textarea)(?=[\s>/]).*?</\1\s*>"
+# Character references that URLs in markup use; the ampersand's own comes last.
+_REFERENCES = (
+    (r"(?i)&quot;|&#0*34;|&#x0*22;", '"'),
+    (r"(?i)&apos;|&#0*39;|&#x0*27;", "'"),
+    (r"(?i)&lt;|&#0*60;|&#x0*3c;", "<"),
+    (r"(?i)&gt;|&#0*62;|&#x0*3e;", ">"),
+    (r"(?i)&sol;|&#0*47;|&#x0*2f;", "/"),
+    (r"(?i)&amp;|&#0*38;|&#x0*26;", "&"),
+)
+
+
+def hrefs_of(html: Column) -> Column:
+    """Link targets of a page in document order, quotes and character references undone."""
+    bare = F.when(html.rlike(r"(?i)<!--|<script|<style|<textarea"), F.regexp_replace(html, _NO_MARKUP, ""))
+    found = F.regexp_extract_all(F.coalesce(bare, html), F.lit(_HREF), F.lit(1))
+
+    def plain(value: Column) -> Column:
+        quoted = value.startswith('"') | value.startswith("'")
+        out = F.when(quoted, F.substring(value, F.lit(2), F.char_length(value) - 2)).otherwise(value)
+        known = out
+        for pattern, char in _REFERENCES:
+            known = F.regexp_replace(known, pattern, char)
+        return F.when(F.contains(out, F.lit("&")), known).otherwise(out)
+
+    return F.transform(found, plain)
 
 
 def links(
@@ -20,9 +48,7 @@ def links(
     keep = [c for c in pages.columns if c != html]
     found = pages.select(
         *keep,
-        F.posexplode(F.regexp_extract_all(F.col(html), F.lit(_HREF), F.lit(1))).alias(
-            "pos", "href"
-        ),
+        F.posexplode(hrefs_of(F.col(html))).alias("pos", "href"),
     )
     if rules is None:
         return found
@@ -34,7 +60,7 @@ def homepage_links(pages: DataFrame, html: str = "html") -> DataFrame:
     """Anchors outside header, nav and footer; anchors without a target or to
     the page itself are left out."""
     body = F.regexp_replace(
-        F.col(html), r"(?is)<(header|nav|footer)\b.*?</\1\s*>", ""
+        F.col(html), r"(?is)<(header|nav|footer)(?=[\s>/]).*?</\1\s*>", ""
     )
     return links(pages.withColumn(html, body), html=html).where(
         ~F.startswith(F.col("href"), F.lit("#"))

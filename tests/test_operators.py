@@ -292,3 +292,13 @@ def test_details_follow_the_asked_shop_and_keep_one_request(spark):
     out = plans.scrape_details(requests, captured)
     assert [(r.url, r.name, r.price, r.currency) for r in out.offers.collect()] == [("https://other.example/p/1", "Lamp", 125000, "DKK")]
     assert [r.reject_reason for r in out.rejected.collect()] == ["PageNotFoundError"]
+
+
+def test_links_of_untidy_markup(spark):
+    html = """<a data-href="/d" href="/r">r</a><A HREF='/p?a=1&amp;b=2'>p</A><a href="/o'neil">o</a><a class=x href=/z>z</a>
+        <!-- <a href="/no1"> --><script>var s = '<a href="/no2">';</script><abbr href="/no3"><a name="n">n</a><a href="">e</a>
+        <nav-bar><a href="/bar">b</a></nav-bar><nav class="m"><a href="/nav">n</a></nav>"""
+    df = spark.createDataFrame([(1, html), (2, None), (3, "")], "page_id int, html string")
+    got = [(r.page_id, r.href) for r in lk.links(df).orderBy("page_id", "pos").collect()]
+    assert got == [(1, h) for h in ("/r", "/p?a=1&b=2", "/o'neil", "/z", "", "/bar", "/nav")]
+    assert [r.href for r in lk.homepage_links(df).orderBy("pos").collect()] == ["/r", "/p?a=1&b=2", "/o'neil", "/z", "", "/bar"]
