@@ -8,45 +8,68 @@ from offerloom.functions.urls import let, normalise_url
 from offerloom.operators.structured import get, products_of
 
 
-def combinations_of(sizes: Column) -> Column:
-    """All option combinations in depth-first order, as ``array<array<int>>``.
+# Variants that one row generates at a time.
+_CHUNK = 4096
 
-    The combination number is read as a mixed-radix number whose digits are the
-    option indexes, so no join and no recursion is needed. No parameters (or a
-    parameter without options) end the grid at the parameters before it.
-    """
+
+def _used(sizes: Column) -> Column:
+    """The option counts before the first parameter without options."""
     stop = F.array_position(F.transform(sizes, lambda s: s <= 0), F.lit(True))
-    used = F.when(stop > 0, F.slice(sizes, F.lit(1), stop.cast("int") - 1)).otherwise(sizes)
+    return F.when(stop > 0, F.slice(sizes, F.lit(1), stop.cast("int") - 1)).otherwise(sizes)
 
-    def grid(s: Column) -> Column:
-        one = F.lit(1).cast("bigint")
-        total = F.aggregate(s, one, lambda a, x: a * x)
 
-        def weight(i: Column) -> Column:
-            return F.aggregate(
-                F.slice(s, i + 2, F.greatest(F.size(s) - i - 1, F.lit(0))), one, lambda a, x: a * x
-            )
+def _product(sizes: Column) -> Column:
+    return F.aggregate(sizes, F.lit(1).cast("bigint"), lambda a, x: a * x)
 
-        def digits(n: Column) -> Column:
-            return F.transform(
-                s, lambda x, i: F.pmod(F.floor(n / weight(i)), x).cast("int")
-            )
 
-        return F.when(
-            F.size(s) > 0, F.transform(F.sequence(F.lit(0).cast("bigint"), total - 1), digits)
-        ).otherwise(F.array().cast("array<array<int>>"))
+def _rest(sizes: Column, i: Column) -> Column:
+    """Combinations of the parameters behind the first ``i``."""
+    return _product(F.slice(sizes, i + 1, F.greatest(F.size(sizes) - i, F.lit(0))))
+
 
-    return let(used, grid)
+def _valid_ranges(sizes: Column, invalid: Column | None, limit: int | None) -> Column:
+    """Combination numbers without an invalid prefix, as ascending ranges
+    ``struct<from, number, count>``; ``number`` counts those before. A prefix is
+    one range of numbers, so nothing is enumerated."""
+    piece = "array<struct<from:bigint,number:bigint,count:bigint>>"
 
+    def prefix_range(p: Column) -> Column:
+        start = F.aggregate(
+            F.transform(p, lambda x, i: x * _rest(sizes, i + 1)), F.lit(0).cast("bigint"), lambda a, x: a + x
+        )
+        return F.struct(start.alias("start"), (start + _rest(sizes, F.size(p))).alias("end"))
+
+    def fits(p: Column) -> Column:
+        inside = F.zip_with(p, F.slice(sizes, F.lit(1), F.size(p)), lambda x, n: (x >= 0) & (x < n))
+        return (F.size(p) <= F.size(sizes)) & F.forall(inside, lambda ok: F.coalesce(ok, F.lit(False)))
+
+    def add(acc: Column, start: Column, end: Column) -> Column:
+        gap = F.greatest(start - acc["at"], F.lit(0))
+        new = F.array(F.struct(acc["at"].alias("from"), acc["n"].alias("number"), gap.alias("count"))).cast(piece)
+        return F.struct(
+            F.greatest(acc["at"], end).alias("at"),
+            (acc["n"] + gap).alias("n"),
+            F.when(gap > 0, F.concat(acc["out"], new)).otherwise(acc["out"]).alias("out"),
+        )
 
-def without_invalid(grid: Column, invalid: Column) -> Column:
-    """Combinations that start with none of the invalid prefixes."""
-    return F.filter(
-        grid,
-        lambda combo: ~F.exists(
-            invalid, lambda p: F.slice(combo, F.lit(1), F.size(p)) == p
-        ),
+    zero = F.lit(0).cast("bigint")
+    first = F.struct(zero.alias("at"), zero.alias("n"), F.array().cast(piece).alias("out"))
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    bad = none if invalid is None else F.array_sort(F.transform(F.filter(invalid, fits), prefix_range))
+    total = _product(sizes)
+    ranges = F.aggregate(
+        bad, first, lambda acc, r: add(acc, r["start"], r["end"]), lambda acc: add(acc, total, total)["out"]
     )
+    if limit:
+        ranges = F.transform(
+            F.filter(ranges, lambda r: r["number"] < limit),
+            lambda r: F.struct(
+                r["from"].alias("from"),
+                r["number"].alias("number"),
+                F.least(r["count"], F.lit(limit) - r["number"]).alias("count"),
+            ),
+        )
+    return ranges
 
 
 def variant_grid(
@@ -57,20 +80,30 @@ def variant_grid(
 ) -> DataFrame:
     """One row per variant: ``variant`` 0,1,2,... in grid order and its
     ``options``. A product without parameters has one variant 0 without
-    options; a product whose combinations are all invalid has none. Everything
-    stays inside the product's row, so nothing is shuffled."""
-    grid = combinations_of(F.col(sizes))
+    options; a product whose combinations are all invalid has none. Nothing is
+    shuffled, and no row holds a grid: ranges of combination numbers become
+    chunks, chunks become rows, and ``limit`` cuts the ranges."""
+    used = _used(F.col(sizes))
+    bad = None
     if invalid is not None:
-        grid = without_invalid(
-            grid, F.coalesce(F.col(invalid), F.array().cast("array<array<int>>"))
-        )
-    if limit:
-        grid = F.slice(grid, F.lit(1), F.lit(limit))
-    plain = (F.size(sizes) == 0) | (F.get(F.col(sizes), 0) <= 0)
-    single = F.array(F.array().cast("array<int>"))
-    return products.select(
-        *products.columns,
-        F.posexplode(F.when(plain, single).otherwise(grid)).alias("variant", "options"),
+        bad = F.coalesce(F.col(invalid), F.array().cast("array<array<int>>"))
+    plain = F.size(used) == 0
+    one = F.lit(1).cast("bigint")
+    single = F.array(F.struct((one - 1).alias("from"), (one - 1).alias("number"), one.alias("count")))
+    ranges = F.when(plain, single).otherwise(_valid_ranges(used, bad, limit))
+    keep = products.columns
+    pieces = products.select(*keep, F.explode(ranges).alias("_r"))
+    chunks = pieces.select(
+        *keep, "_r", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_r.count") - 1) / _CHUNK))).alias("_k")
+    )
+    last = F.least((F.col("_k") + 1) * _CHUNK, F.col("_r.count")) - 1
+    rows = chunks.select(*keep, "_r", F.explode(F.sequence(F.col("_k") * _CHUNK, last)).alias("_i"))
+    number = F.col("_r.from") + F.col("_i")
+    options = F.transform(used, lambda x, i: F.pmod(F.floor(number / _rest(used, i + 1)), x).cast("int"))
+    return rows.select(
+        *keep,
+        (F.col("_r.number") + F.col("_i")).cast("int").alias("variant"),
+        F.when(plain, F.array().cast("array<int>")).otherwise(options).alias("options"),
     )
 
 

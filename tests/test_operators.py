@@ -302,3 +302,11 @@ def test_links_of_untidy_markup(spark):
     got = [(r.page_id, r.href) for r in lk.links(df).orderBy("page_id", "pos").collect()]
     assert got == [(1, h) for h in ("/r", "/p?a=1&b=2", "/o'neil", "/z", "", "/bar", "/nav")]
     assert [r.href for r in lk.homepage_links(df).orderBy("pos").collect()] == ["/r", "/p?a=1&b=2", "/o'neil", "/z", "", "/bar"]
+
+
+def test_variant_grid_never_builds_what_the_limit_cuts(spark):
+    df = spark.createDataFrame([([30] * 6, [[0], [1, 2], [7, 7, 7, 7, 7, 7, 7], [99]])], "option_counts array<int>, bad array<array<int>>")
+    got = va.variant_grid(df, invalid="bad", limit=3).orderBy("variant").collect()
+    assert [(r.variant, r.options) for r in got] == [(i, [1, 0, 0, 0, 0, i]) for i in range(3)]
+    deep = va.variant_grid(df.selectExpr("array(3, 50, 100) AS option_counts", "array(array(1)) AS bad"), invalid="bad")
+    assert deep.count() == 10_000 and deep.where("variant = 5000").first().options == [2, 0, 0]
