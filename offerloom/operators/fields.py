@@ -519,8 +519,7 @@ def rule_extract(pages: DataFrame, rules: DataFrame, html: str = "html", url: st
     """Rule-driven fields of every page: ``fields`` map and ``missing`` list.
 
     ``rules`` holds one row per domain with an array of rules, see
-    :func:`offerloom.operators.profiles.rules_frame`, which also decides
-    whether that side is small enough to broadcast.
+    :func:`offerloom.operators.profiles.rules_frame`.
     """
     from offerloom.functions.urls import domain_of
     from offerloom.operators.elements import page_dom

@@ -175,15 +175,11 @@ def lookup_category(
     rows: DataFrame,
     dim: DataFrame,
     category_url: str = "category_url",
-    broadcast_limit: int = 100_000,
 ) -> DataFrame:
     """Category path by category URL without query; unknown URLs get an empty
-    path. The dimension is broadcast when a bounded count shows it is small."""
-    small = dim.limit(broadcast_limit + 1).count() <= broadcast_limit
+    path. Statistics and adaptive execution choose the join."""
     side = dim.select(F.col("url").alias("_dim_url"), F.col("category_tree").alias("_tree"))
     side = side.dropDuplicates(["_dim_url"])
-    if small:
-        side = F.broadcast(side)
     return (
         rows.join(side, strip_query(F.col(category_url)) == F.col("_dim_url"), "left")
         .withColumn("category_tree", F.coalesce("_tree", F.array().cast(CRUMBS)))

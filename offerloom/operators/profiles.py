@@ -15,9 +15,6 @@ from offerloom.functions.identifiers import product_id
 from offerloom.functions.urls import PRODUCT_URL_PATTERNS, origin_of
 from offerloom.operators.fields import RULE_TYPE
 
-# A rule table up to this many rules is broadcast; a larger one is joined.
-BROADCAST_RULES = 50_000
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -140,15 +137,14 @@ class Registry:
         ]
 
     def rules_frame(self, spark: SparkSession) -> DataFrame:
-        """``(domain, rules)`` with one row per domain, broadcast when small."""
+        """``(domain, rules)`` with one row per domain, of the size of the profiles held here."""
         rows = [
             (p.domain, [r.row() for r in p.rules])
             for p in self.profiles.values()
             if p.rules
         ]
-        frame = spark.createDataFrame(rows, f"domain: string, rules: array<{RULE_TYPE}>")
-        small = sum(len(r) for _, r in rows) <= BROADCAST_RULES
-        return F.broadcast(frame) if small else frame
+        # as large as the Python code that states it, whatever the pages
+        return F.broadcast(spark.createDataFrame(rows, f"domain: string, rules: array<{RULE_TYPE}>"))
 
     def apply_canonical(self, url: Column, domain: Column) -> Column:
         out = url
@@ -255,6 +251,7 @@ AVAILABILITY_RULES = {
     "k-rauta.se": "not_available",
     "nordiskarum.se": "in_stock_default",
 }
+# Where the shops' pages hold their fields; they have to match the pages.
 RULES = {
     "bernomobler.se": (
         Rule("name", cls="product-single__title", under_class="product-grid__content", required=True),
