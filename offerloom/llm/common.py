@@ -36,3 +36,15 @@ def crc_mod(column: str, modulus: int) -> Column:
 def small_enough(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has at most ``rows`` rows; decides about a broadcast only."""
     return df.limit(rows + 1).count() <= rows
+
+
+#: Rows per Arrow batch of whole texts; Spark's default of 10,000 rows takes several times the memory.
+BATCH_ROWS = 2000
+
+
+def short_batches(df: DataFrame) -> DataFrame:
+    """``df``, after making the session's Arrow batches short enough for whole texts. Changes no result."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df

@@ -23,18 +23,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import crc_mod, stored
+from offerloom.llm.common import crc_mod, short_batches, stored
 
 #: No token holds a line feed.
 END = "\n"
 #: Tokens that are classes of their own, and shared classes.
 FREQUENT = 768
 SHARED = 255
-#: Tokens whose counts every worker has; the bound of what is broadcast.
-KNOWN = 50_000
+#: Share of all tokens from which on every worker has a token's count; there are at most 1 / KNOWN of them.
+KNOWN = 2e-6
 WIDTH = 24
 ROUNDS = 2
 BATCH = 1024
@@ -99,7 +99,8 @@ def _counts(docs: DataFrame) -> DataFrame:
 
 def _classes(counts: DataFrame) -> Classes:
     whole = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    top = counts.orderBy(F.desc("n"), "token").limit(KNOWN).collect()
+    top = counts.where(F.col("n") >= F.lit(KNOWN * (whole.n or 0))).collect()
+    top.sort(key=lambda r: (-r.n, r.token))
     own = [END] + [r.token for r in top if r.token != END][: FREQUENT - 1]
     held = counts.sparkSession.createDataFrame([(t,) for t in own], "token string")
     rest = counts.join(F.broadcast(held), "token", "left_anti")
@@ -163,11 +164,14 @@ class LogBilinear:
             kept[k] += g * g
             a -= RATE * g / np.sqrt(kept[k])
 
-        def scatter(rows, ids, values):
-            order = np.argsort(ids, kind="stable")
-            ids = ids[order]
-            at = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-            rows[ids[at]] += np.add.reduceat(values[order], at, axis=0)
+        width = np.arange(self.target.shape[1])
+
+        def summed(rows, ids, values):
+            places = (ids[:, None] * len(width) + width).ravel()
+            return np.bincount(places, weights=values.ravel(), minlength=rows.size).reshape(rows.shape).astype(np.float32)
+
+        def logistic(x):
+            return (np.tanh(x / 2) + 1) / 2
 
         for at in range(0, len(target), BATCH):
             i, j, t = (x[at : at + BATCH] for x in (before2, before1, target))
@@ -176,16 +180,14 @@ class LogBilinear:
             h = one @ self.first + two @ self.second
             true = np.einsum("bd,bd->b", h, self.target[t]) + self.bias[t] - log_noise[t]
             false = h @ self.target[drawn].T + self.bias[drawn] - log_noise[drawn]
-            up = (1 / (1 + np.exp(-np.clip(true, -30, 30))) - 1) / len(t)
-            down = 1 / (1 + np.exp(-np.clip(false, -30, 30))) / len(t)
+            up = (logistic(true) - 1) / len(t)
+            down = logistic(false) / len(t)
             gh = up[:, None] * self.target[t] + down @ self.target[drawn]
-            gt, gb, gc = np.zeros_like(self.target), np.zeros_like(self.bias), np.zeros_like(self.context)
-            scatter(gt, t, up[:, None] * h)
+            gt = summed(self.target, t, up[:, None] * h)
             np.add.at(gt, drawn, down.T @ h)
-            gb += np.bincount(t, weights=up, minlength=len(gb))
+            gb = np.bincount(t, weights=up, minlength=len(self.bias)).astype(np.float32)
             np.add.at(gb, drawn, down.sum(axis=0))
-            scatter(gc, j, gh @ self.first.T)
-            scatter(gc, i, gh @ self.second.T)
+            gc = summed(self.context, np.concatenate((j, i)), np.concatenate((gh @ self.first.T, gh @ self.second.T)))
             step(self.first, one.T @ gh, 3)
             step(self.second, two.T @ gh, 4)
             step(self.context, gc, 0)
@@ -193,27 +195,41 @@ class LogBilinear:
             step(self.bias, gb, 2)
 
 
+def normalisers(model: LogBilinear, before2: np.ndarray) -> np.ndarray:
+    """log of the summed weights of all classes, a row per class before the last one, a column per last class."""
+    one, two = model.context @ model.first, model.context @ model.second
+    rows = []
+    for i in before2:
+        s = (two[i] + one) @ model.target.T + model.bias
+        top = s.max(axis=1)
+        rows.append(top + np.log(np.exp(s - top[:, None]).sum(axis=1)))
+    return np.array(rows, dtype=np.float32)
+
+
+def _all_normalisers(spark: SparkSession, model: LogBilinear) -> np.ndarray:
+    """The normalisers of all pairs of contexts, computed once; a number per pair of classes."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                yield pd.DataFrame({"id": frame["id"], "norm": list(normalisers(model, frame["id"].to_numpy()))})
+
+    n = len(model.context)
+    found = spark.range(n).mapInPandas(run, "id long, norm array<float>").toPandas().sort_values("id")
+    return np.array(found["norm"].tolist(), dtype=np.float32)
+
+
 class Scorer:
-    """Normalised log probabilities; the normaliser of each pair of contexts is computed once."""
+    """Normalised log probabilities."""
 
-    def __init__(self, model: LogBilinear):
-        self.model = model
-        n = len(model.context)
+    def __init__(self, model: LogBilinear, norm: np.ndarray):
+        self.model, self.norm = model, norm
         self.one, self.two = model.context @ model.first, model.context @ model.second
-        self.norm = np.full(n * n, np.nan, dtype=np.float32)
-        self.n = n
 
     def log_probabilities(self, before2, before1, target) -> np.ndarray:
-        pair = before2.astype(np.int64) * self.n + before1
-        new = np.unique(pair[np.isnan(self.norm[pair])])
-        for at in range(0, len(new), 2048):
-            block = new[at : at + 2048]
-            s = (self.two[block // self.n] + self.one[block % self.n]) @ self.model.target.T + self.model.bias
-            top = s.max(axis=1)
-            self.norm[block] = top + np.log(np.exp(s - top[:, None]).sum(axis=1))
         h = self.two[before2] + self.one[before1]
         own = np.einsum("bd,bd->b", h, self.model.target[target]) + self.model.bias[target]
-        return (own - self.norm[pair]).astype(np.float64)
+        return (own - self.norm[before2, before1]).astype(np.float64)
 
 
 def _sequences(classes: Classes, texts) -> Iterator[tuple]:
@@ -291,15 +307,16 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     ids are rows like others; further columns are not read; an empty table
     gives an empty result, and without training rows every token is unseen.
     """
-    train = docs.where(crc_mod("doc_id", 5) != 1).select("text")
+    train = short_batches(docs).where(crc_mod("doc_id", 5) != 1).select("text")
     counts = stored(_counts(train), "counts")
     classes = _classes(counts)
     model = _train(train, classes, rounds)
+    norm = _all_normalisers(docs.sparkSession, model)
     mass = float(np.log10(classes.tokens + 0.5 * (classes.distinct + 1)))
     ten = float(np.log(10))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(model)
+        scorer = Scorer(model, norm)
         inner = np.array([0.0 if k < len(classes.own) else classes.inner(k) for k in range(classes.size)]) / ten
         known = {t: float(np.log10(n + 0.5)) for t, n in classes.counts.items()}
         whole = len(classes.counts) == classes.distinct  # then a token without a count is unseen

@@ -35,7 +35,7 @@ def found(df):
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="tables not present")
 def test_counts_and_gain_on_held_out_rows(spark, monkeypatch):
-    monkeypatch.setattr(lm, "KNOWN", 2000)  # so that the join decides most tokens
+    monkeypatch.setattr(lm, "KNOWN", 2e-4)  # so that the join decides most tokens
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     scored = lm.score_texts(docs).cache()
     assert found(scored) == brute([(r.doc_id, r.text) for r in docs.collect()])
@@ -54,7 +54,7 @@ def test_probabilities_of_all_outcomes_add_up(spark):
     model = lm.LogBilinear.start(classes)
     back = lm.LogBilinear.of_rows(model.rows(), classes.size)
     assert all((getattr(model, k) == getattr(back, k)).all() for k in ("context", "target", "bias", "first", "second"))
-    scorer = lm.Scorer(model)
+    scorer = lm.Scorer(model, lm.normalisers(model, np.arange(classes.size + 1)))
     context = np.array([1, classes.size, 3], dtype=np.int32)
     for i, j in zip(context, context[::-1]):
         every = np.arange(classes.size, dtype=np.int32)
