@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import crc_mod, fresh, stored
+from offerloom.llm.common import crc_mod, fresh, short_batches, stored
 
 #: Bound of the labelled rows that the classifier is fitted on: those with the smallest id hashes.
 SAMPLE_ROWS = 20_000
@@ -32,8 +32,12 @@ SAMPLE_ROWS = 20_000
 THRESHOLD = 0.7
 #: Share of all trigrams below which the character model drops one; bounds the model to its inverse.
 RARE = 1e-6
+#: Least likelihood ratio statistic of a word start that gets a weight.
+SURE = 18.0
 #: Tokens whose outcome a worker remembers at a time.
-CACHE = 200_000
+CACHE = 100_000
+#: Different words whose trigrams are counted at a time.
+BLOCK = 50_000
 
 # Letters that a leetspeak character can stand for, and separators used for spacing.
 LEET = {
@@ -54,9 +58,30 @@ _MIXED = re.compile(r"[^\W\d_][\d@$!|+(€£¡]|[\d@$!|+(€£¡][^\W\d_]")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
+#: Characters from here on are one symbol for the model.
+_BEYOND = 0x250
+_OTHER = "¤"
+
+
 def _plain(c: str) -> str:
-    """Characters beyond the Latin blocks are one symbol for the model."""
-    return c if c < "ɐ" else "¤"
+    return c if ord(c) < _BEYOND else _OTHER
+
+
+def _trigram_counts(words: Counter) -> pd.DataFrame:
+    """Trigrams of each word with two spaces before and one behind, counted as often as the word."""
+    names = list(words)
+    if not names:
+        return pd.DataFrame({"gram": pd.Series([], dtype=object), "n": np.zeros(0)})
+    chars = np.frombuffer(f"  {'  '.join(names)}  ".encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int32)
+    chars[chars >= _BEYOND] = ord(_OTHER)
+    space = chars == 32
+    word = np.cumsum(space[:-2] & space[1:-1], dtype=np.int32) - 1
+    inside = ~(space[1:-1] & space[2:])
+    keys = (chars[:-2] << 20 | chars[1:-1] << 10 | chars[2:])[inside]
+    times = np.array([words[w] for w in names], dtype=float)[word[inside]]
+    keys, where = np.unique(keys, return_inverse=True)
+    grams = ["".join(map(chr, (k >> 20, k >> 10 & 1023, k & 1023))) for k in keys.tolist()]
+    return pd.DataFrame({"gram": pd.Series(grams, dtype=object), "n": np.bincount(where, weights=times)})
 
 
 class CharacterModel:
@@ -140,7 +165,7 @@ def _token_words(token: str, model: CharacterModel) -> tuple[str, ...]:
         core = token
     elif token[0] in LEET or token[-1] in LEET:
         core = token
-    if _MIXED.search(core) or _TRIPLE.search(core):
+    if _MIXED.search(core) or _TRIPLE.search(core) or _SPACED.search(core):
         return tuple(dict.fromkeys(_LETTERS.findall(core) + _LETTERS.findall(model.decode(core))))
     return tuple(_LETTERS.findall(core))
 
@@ -154,9 +179,11 @@ class Restorer:
 
     def tokens(self, text: str | None) -> list[str]:
         low = (text or "").lower()
-        if _SPACED.search(low):
-            low = _SPACED.sub(lambda m: m[0] + " " + self.model.decode(m[0]), low)
-        return low.split()
+        tokens = low.split()
+        # spelled out: three single characters in a row
+        if b"\1\1\1" in bytes([len(t) == 1 for t in tokens]):
+            tokens = _SPACED.sub(lambda m: m[0] + " " + self.model.decode(m[0]), low).split()
+        return tokens
 
     def words(self, token: str) -> tuple[str, ...]:
         found = self.cache.get(token)
@@ -179,21 +206,13 @@ def _character_counts(docs: DataFrame) -> dict[str, float]:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words: Counter = Counter()
 
-        def grams() -> pd.DataFrame:
-            out: Counter = Counter()
-            for w, n in words.items():
-                w = "  " + "".join(map(_plain, w)) + " "
-                for i in range(len(w) - 2):
-                    out[w[i : i + 3]] += n
-            words.clear()
-            return pd.DataFrame({"gram": pd.Series(list(out), dtype=object), "n": np.fromiter(out.values(), float, len(out))})
-
         for frame in frames:
             for text in frame["text"]:
                 words.update((text or "").lower().split())
-                if len(words) >= CACHE:
-                    yield grams()
-        yield grams()
+                if len(words) >= BLOCK:
+                    yield _trigram_counts(words)
+                    words.clear()
+        yield _trigram_counts(words)
 
     counts = docs.select("text").mapInPandas(run, "gram string, n double").groupBy("gram").agg(F.sum("n").alias("n"))
     counts = stored(counts, "trigrams")
@@ -234,11 +253,14 @@ def _weights(sample: DataFrame, model: CharacterModel) -> dict[str, float]:
     if whole is None or not whole.df0 or not whole.df1:
         return {}
     words = sums.where("f like '%$'").agg(F.sum("tf0").alias("n0"), F.sum("tf1").alias("n1")).first()
-    a, b = F.col("df1") + 0.5, F.lit(whole.df1 + 0.5) - F.col("df1")
-    c, d = F.col("df0") + 0.5, F.lit(whole.df0 + 0.5) - F.col("df0")
-    sure = F.log(a * d / (b * c)) / F.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
+    # likelihood ratio test of the rows that have the start, toxic or not
+    share = (F.col("df0") + F.col("df1")) / (whole.df0 + whole.df1)
+    sure = F.lit(0.0)
+    for column, rows in (("df0", whole.df0), ("df1", whole.df1)):
+        for seen, wanted in ((F.col(column), share * rows), (rows - F.col(column), (1 - share) * rows)):
+            sure = sure + F.when((seen > 0) & (wanted > 0), 2 * seen * F.log(seen / wanted)).otherwise(0.0)
     ratio = F.log((F.col("tf1") + 0.5) / (F.col("tf0") + 0.5) * F.lit((words.n0 + 1) / (words.n1 + 1)))
-    kept = sums.where((F.col("f") != "") & (F.col("df1") >= 3) & (sure >= 4) & (ratio >= 1.5))
+    kept = sums.where((F.col("f") != "") & (sure >= SURE) & (ratio >= 1.5))
     # bounded by the sample's words
     found = {r.f: (min(r.w, 6.0), r.tf1) for r in kept.select("f", "tf1", ratio.alias("w")).toLocalIterator()}
     # a start that one of its continuations accounts for says no more than that one
@@ -252,6 +274,7 @@ class Weigher:
 
     def __init__(self, model: CharacterModel, weights: dict[str, float]):
         self.restorer, self.weights = Restorer(model), weights
+        self.starts = {f[:3] for f in weights}
         self.cache: dict[str, float] = {}
 
     def weight(self, token: str) -> float:
@@ -259,15 +282,23 @@ class Weigher:
         if w is None:
             if len(self.cache) >= CACHE:
                 self.cache.clear()
-            # the decoder's own cache is not needed on top of this one
-            words = _token_words(token, self.restorer.model)
-            w = max((self.weights.get(f, 0.0) for x in words for f in features(x)), default=0.0)
-            self.cache[token] = w
+            self.cache[token] = w = self._weight(token)
         return w
 
+    def _weight(self, token: str) -> float:
+        start = token[:3]
+        if len(token) > 3 and start not in self.starts and start[0] != start[1] != start[2]:
+            if token.rstrip(".,;:!?\"").isalpha():
+                return 0.0  # plain letters, and no start that weighs
+        words = _token_words(token, self.restorer.model)
+        return max((self.weights.get(f, 0.0) for x in words for f in features(x)), default=0.0)
+
     def inputs(self, text: str | None) -> list[float]:
         tokens = self.restorer.tokens(text)
-        found = [w for w in map(self.weight, tokens) if w]
+        held = list(map(self.cache.get, tokens))
+        if None in held:
+            held = [self.weight(t) if w is None else w for t, w in zip(tokens, held)]
+        found = [w for w in held if w]
         k, n = sum(found), len(tokens)
         return [1.0, math.log1p(k), math.log1p(100 * k / max(n, 1)), float(len(found) >= 2), math.log1p(n)]
 
@@ -352,7 +383,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
 
 def _fit_split(docs: DataFrame, labels: DataFrame, rows: int) -> ToxicityModel:
     teach = labels.where(crc_mod("doc_id", 3) != 1)
-    return fit_toxicity(docs.select("doc_id", "text"), teach, rows)
+    return fit_toxicity(short_batches(docs).select("doc_id", "text"), teach, rows)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
