@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import fresh, small_enough, stored
+from offerloom.llm.common import fresh, short_batches, small_enough, stored
 from offerloom.llm.components import connected_components
 
 WIDTH = 64
@@ -132,7 +132,7 @@ def simhash_components(docs: DataFrame, shingle: int = 3, bits: int = 2) -> Data
     columns are not read; an empty table gives an empty result.
     """
     prints = stored(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), fingerprints(F.col("text"), shingle).alias("fp")),
+        short_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), fingerprints(F.col("text"), shingle).alias("fp")),
         "prints",
     )
     firsts = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "firsts")
@@ -152,7 +152,7 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 2) -> Da
     """
     uid, fp = fresh(docs, "uid"), fresh(docs, "fp")
     kept = stored(
-        docs.withColumn(uid, F.monotonically_increasing_id()).withColumn(fp, fingerprints(F.col("text"), shingle)),
+        short_batches(docs).withColumn(uid, F.monotonically_increasing_id()).withColumn(fp, fingerprints(F.col("text"), shingle)),
         "documents",
     )
     rank = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col(uid).alias("u"))
