@@ -15,16 +15,27 @@ from pyspark.sql import functions as F
 
 from offerloom.llm.common import fresh, stored
 
+# A private key runs to its END line; without one, to the end of its lines of base64. Lines may be quoted or escaped.
+_GAP = r"""(?:\\[nr]|[\s"'`,>#|*+])+"""
+_LINE = _GAP + "[A-Za-z0-9+/=]{16,}"
+PEM = (
+    r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
+    r"(?:[^-]*(?:-[^-]+){0,16}-----END [A-Z ]{0,20}PRIVATE KEY-----"
+    rf"|(?:{_GAP}(?:Proc-Type|DEK-Info):\x20*[A-Za-z0-9,-]+){{0,2}}"
+    rf"(?:{_LINE})*(?:{_GAP}[A-Za-z0-9+/]{{0,15}}={{1,2}})?)"
+)
 # The patterns, in the order in which spans of one start are listed. The base kinds come first.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 PATTERNS = {
     "assign": ASSIGN,
     "access": r"AKIA[A-Z0-9]{16,}",
     "hex": r"[0-9a-f]{24,}",
-    "pem": r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----",
+    "pem": PEM,
     "vendor": r"(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|[sr]k_live_[A-Za-z0-9]{16,})",
     "jwt": r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
 }
+#: The same for Java: it recurses once per repeated line unless the repetition is possessive.
+JAVA = PATTERNS | {"pem": PEM.replace(f"(?:{_LINE})*", f"(?:{_LINE})*+")}
 BASE = ("assign", "access", "hex")
 #: Shortest value of an assignment.
 VALUE = 6
@@ -39,7 +50,7 @@ _SPAN = "struct<start:bigint,ord:int,end:bigint,kind:string,hash:string,varied:b
 
 def _matches(text: Column, kind: str, ordinal: int) -> Column:
     """The kind's spans of a text: gaps and matches alternate, and their lengths add up to positions."""
-    pattern = PATTERNS[kind]
+    pattern = JAVA[kind]
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.zip_with(
         F.split(text, pattern, -1), found, lambda gap, hit: F.struct(F.char_length(gap).alias("gap"), hit.alias("hit"))
@@ -166,7 +177,7 @@ def mask_secrets(docs: DataFrame, owner: Column, repo: Column, owners: int = EXA
     it is not NULL, follows the masked text. Rows without a candidate do not
     move.
     """
-    some = F.coalesce(F.col("text").rlike("|".join(f"(?:{p})" for p in PATTERNS.values())), F.lit(False))
+    some = F.coalesce(F.col("text").rlike("|".join(f"(?:{p})" for p in JAVA.values())), F.lit(False))
     uid, spans = fresh(docs, "uid"), fresh(docs, "spans")
     hits = stored(
         docs.where(some)

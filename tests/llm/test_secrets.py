@@ -1,10 +1,13 @@
 """Secret scans against Python's regular expressions."""
 
+import base64
 import hashlib
 import re
 
+import duckdb
 from pyspark.sql import functions as F
 
+from offerloom.llm.queries import OP6
 from offerloom.llm.secrets import MASK, PATTERNS, mask_secrets, scan_secrets
 
 BASE = {
@@ -79,3 +82,42 @@ def test_added_kinds(spark, documents):
     r = scan_secrets(documents([(1, text)]), F.col("source"), F.col("source")).first()
     assert [s.split(":")[0] for s in r.spans.split(",")] == ["pem", "vendor", "jwt"]
     assert list(PATTERNS)[:3] == list(BASE)
+
+
+def key(seed, lines=20, end=True, sep="\n", head=""):
+    """An invented private key, different for each seed."""
+    rows = [base64.b64encode(hashlib.sha512(b"%d %d" % (seed, i)).digest()[:48]).decode() for i in range(lines)]
+    last = ["-----END RSA PRIVATE KEY-----"] if end else []
+    return "-----BEGIN RSA PRIVATE KEY-----" + head + sep + sep.join([*rows, "q83vEg==", *last])
+
+
+HEAD = "\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B2C3D4E5F60718293A4B5C6D7E8F9\n"
+KEYS = [key(1), key(2, end=False), key(3, sep="\r\n"), key(4, sep="\\n"), key(5, head=HEAD), key(6, end=False, head=HEAD),
+        key(7, lines=130), key(8, lines=20_000, end=False), key(9, sep='\\n"\n  + "', end=False), key(10, sep="\n> ")]
+
+
+def test_whole_private_keys_are_masked_and_owned_one_by_one(spark):
+    schema = "doc_id long, text string, source string"
+    rows = [(i, f"é😀 before {k} after it, the text goes on - and on", f"owner{i}") for i, k in enumerate(KEYS)]
+    shared = [(20 + i, f"see\n{key(20)}\nthere", f"owner{i}") for i in range(3)]
+    two = (30, f"{key(30)}\n{key(31, end=False)}\n{key(32)}\nthe end", "owner0")
+    docs = spark.createDataFrame([*rows, *shared, two], schema)
+    masked = {r.doc_id: r.text for r in mask_secrets(docs, F.col("source"), F.col("source")).collect()}
+    for i, text, _ in rows:
+        assert masked[i] == f"é😀 before {MASK} after it, the text goes on - and on", i
+    assert all(masked[i] == text for i, text, _ in shared)  # three owners hold this very key
+    assert masked[30] == f"{MASK}\n{MASK}\n{MASK}\nthe end"
+    got = {r.doc_id: r for r in scan_secrets(docs, F.col("source"), F.col("source")).collect()}
+    assert all(f"pem:10:{10 + len(k)}" in got[i].live_spans.split(",") for i, k in enumerate(KEYS))
+
+
+def test_private_keys_equal_the_sql(spark):
+    rows = [(i, f"é😀 before {k} after it", f"owner{i}", "en") for i, k in enumerate(KEYS)]
+    rows += [(20 + i, f"see\n{key(20)}\nthere", f"owner{i}", "en") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = scan_secrets(docs, F.col("source"), F.concat_ws("/", "source", "lang"))
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    want = con.sql(OP6)
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
