@@ -142,11 +142,15 @@ class Predictor:
             small = set()
             start = 0
             for k, words in enumerate(block):
-                if len(small) > CACHE // 2:
+                # a long text learns its own words, which may forget the others': those before it come first
+                if len(small) > CACHE // 2 or len(words) > CACHE // 2:
                     self._learn(small)
                     out += [self._best(w) for w in block[start:k]]
                     small, start = set(), k
-                if len(words) <= CACHE // 2:
+                if len(words) > CACHE // 2:
+                    out.append(self._best(words))
+                    start = k + 1
+                else:
                     small.update(words)
             self._learn(small)
             out += [self._best(w) for w in block[start:]]

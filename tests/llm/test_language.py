@@ -6,7 +6,8 @@ import zlib
 import numpy as np
 import pytest
 
-from offerloom.llm.language import LanguageFilter, gram_keys, identify_language
+from offerloom.llm import language
+from offerloom.llm.language import LanguageFilter, Predictor, gram_keys, identify_language
 
 SF = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
 
@@ -55,3 +56,17 @@ def test_undecided_and_nulls(spark):
     blank = spark.createDataFrame([(1, "some text", None, "z")], schema)
     assert tuple(identify_language(blank).first())[2:] == ("und", 0.0)
     assert identify_language(blank.limit(0)).count() == 0
+
+
+def test_long_texts_between_short_ones(monkeypatch):
+    keys, _ = gram_keys(["aba", "bab", "abba"])
+    held = LanguageFilter(["x", "y"], {int(k): 1 + i % 3 for i, k in enumerate(np.unique(keys).view(np.int64))})
+    letters = "abcdefghij"
+    long = [" ".join(f"{a}{b}{c}" for a in letters for b in "ab" for c in letters[k:]) for k in range(3)]
+    texts = ["aba bab", long[0], "abba", None, long[1], long[2], "bab ab", "aba bab", ""]
+    want = [Predictor(held).predict([t])[0] for t in texts]
+    monkeypatch.setattr(language, "CACHE", 40)
+    predictor = Predictor(held)
+    for _ in range(2):
+        for (lang, score), (lang_wanted, score_wanted) in zip(predictor.predict(texts), want, strict=True):
+            assert lang == lang_wanted and abs(score - score_wanted) < 1e-9
