@@ -2,7 +2,8 @@
 
 A token that is not plain letters becomes a lattice of characters: leetspeak
 characters may stand for letters, repeated characters may stand for fewer, and
-separators between single letters may stand for nothing. A Viterbi search
+separators may stand for nothing. Neighbouring tokens of at most ``PIECE``
+characters are one lattice. A Viterbi search
 takes the path that a character trigram model of the corpus and the costs of
 the channel together find likeliest. Words of the restored text carry weights
 learned from labelled rows (how much likelier a word start is in toxic text),
@@ -36,6 +37,8 @@ RARE = 1e-6
 SURE = 18.0
 #: Tokens whose outcome a worker remembers at a time.
 CACHE = 100_000
+#: Longest run of pieces, in characters, whose reading is remembered.
+LONG = 100
 #: Different words whose trigrams are counted at a time.
 BLOCK = 50_000
 
@@ -45,17 +48,28 @@ LEET = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i",
 }
 SEPARATORS = " .-_*,'~/"
+#: Longest piece of a word that is cut by white space; within a token pieces have any length.
+PIECE = 3
 # Log costs of the channel.
 SUBSTITUTED = -1.5
 REPEATED = -1.0
 SPACED = -0.4
 
-_SPACED = re.compile(r"(?<![^\W_])(?:[^\W_]|[@$!|+])(?:[ .\-_*~/](?:[^\W_]|[@$!|+])){2,}(?![^\W_])")
 _RUN = re.compile(r"(.)\1*", re.S)
 _TRIPLE = re.compile(r"([^\W\d_])\1\1")
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _MIXED = re.compile(r"[^\W\d_][\d@$!|+(€£¡]|[\d@$!|+(€£¡][^\W\d_]")
 _LETTERS = re.compile(r"[^\W\d_]+")
+# What spacing can cut a word into, from the channel's own characters: pieces, and the separators between them.
+_UNIT = rf"(?:[^\W_]|[{re.escape(''.join(c for c in LEET if not c.isalnum()))}])"
+_GAP = rf"[\s{re.escape(SEPARATORS)}]+"
+_SPACED = re.compile(r"(?<![^\W_])(?:[^\W_]|[@$!|+])(?:[ .\-_*~/](?:[^\W_]|[@$!|+])){2,}(?![^\W_])")
+_GAPS = re.compile(_GAP)
+_LEAD = re.compile(rf"\W*?({_UNIT}{{1,{PIECE}}})(?!{_UNIT})")
+_TRAIL = re.compile(rf"(?<!{_UNIT})({_UNIT}{{1,{PIECE}}})[\W_]*$")
+_WHOLE = re.compile(rf"[\W_]*?{_UNIT}{{1,{PIECE}}}(?:{_GAP}{_UNIT}{{1,{PIECE}}})*[\W_]*")
+# tokens' kinds: A short pieces only, T its end is one, L its start is one, X both, n none
+_TOGETHER = re.compile(r"(?=((?:[TX]|(?<![TXA])A)A*[LXA]))")
 
 
 #: Characters from here on are one symbol for the model.
@@ -170,20 +184,62 @@ def _token_words(token: str, model: CharacterModel) -> tuple[str, ...]:
     return tuple(_LETTERS.findall(core))
 
 
+def _kind(token: str) -> str:
+    """How a token can be part of a word that white space cuts, as in ``_TOGETHER``."""
+    if len(token) > PIECE and token.isalpha():
+        return "n"
+    if _WHOLE.fullmatch(token):
+        return "A"
+    return "nLTX"[bool(_LEAD.match(token)) + 2 * bool(_TRAIL.search(token))]
+
+
 class Restorer:
     """text -> (words of the restored text with counts, number of tokens)."""
 
     def __init__(self, model: CharacterModel):
         self.model = model
         self.cache: dict[str, tuple[str, ...]] = {}
+        self.kinds: dict[str, str] = {}
+        self.runs: dict[str, tuple[str, ...]] = {}
+
+    def spaced(self, tokens: list[str]) -> list[str]:
+        """Runs of short pieces in neighbouring tokens."""
+        kinds = list(map(self.kinds.get, tokens))
+        if None in kinds:
+            if len(self.kinds) >= CACHE:
+                self.kinds.clear()
+            for i, k in enumerate(kinds):
+                if k is None:
+                    kinds[i] = self.kinds[tokens[i]] = _kind(tokens[i])
+        found = []
+        for m in _TOGETHER.finditer("".join(kinds)):
+            run = tokens[m.start(1) : m.end(1)]
+            if m[1][0] != "A":
+                run[0] = _TRAIL.search(run[0])[0]
+            if m[1][-1] != "A":
+                run[-1] = _LEAD.match(run[-1])[0]
+            found.append(" ".join(run))
+        return found
+
+    def joined(self, run: str) -> tuple[str, ...]:
+        """Words of a run's likeliest reading that are not among its pieces."""
+        found = self.runs.get(run)
+        if found is None:
+            if len(self.runs) >= CACHE:
+                self.runs.clear()
+            pieces = set(_LETTERS.findall(run))
+            # a character at a token's edge may be a letter or a mark around the word
+            bare = " ".join(filter(None, (_EDGE.sub("", t) for t in run.split())))
+            readings = dict.fromkeys((run, bare))
+            read = [self.model.decode(r) for r in readings]
+            found = tuple(dict.fromkeys(w for r in read for w in _LETTERS.findall(r) if w not in pieces))
+            if len(run) <= LONG:
+                self.runs[run] = found
+        return found
 
     def tokens(self, text: str | None) -> list[str]:
-        low = (text or "").lower()
-        tokens = low.split()
-        # spelled out: three single characters in a row
-        if b"\1\1\1" in bytes([len(t) == 1 for t in tokens]):
-            tokens = _SPACED.sub(lambda m: m[0] + " " + self.model.decode(m[0]), low).split()
-        return tokens
+        tokens = (text or "").lower().split()
+        return tokens + [w for run in self.spaced(tokens) for w in self.joined(run)]
 
     def words(self, token: str) -> tuple[str, ...]:
         found = self.cache.get(token)
@@ -290,15 +346,38 @@ class Weigher:
         if len(token) > 3 and start not in self.starts and start[0] != start[1] != start[2]:
             if token.rstrip(".,;:!?\"").isalpha():
                 return 0.0  # plain letters, and no start that weighs
-        words = _token_words(token, self.restorer.model)
+        if not self._can_weigh(token):
+            return 0.0
+        return self._most(_token_words(token, self.restorer.model))
+
+    def _most(self, words: tuple[str, ...]) -> float:
         return max((self.weights.get(f, 0.0) for x in words for f in features(x)), default=0.0)
 
+    def _can_weigh(self, text: str) -> bool:
+        """False only if no reading of letters and separators has a start that weighs: words begin at a piece."""
+        pieces = _GAPS.split(_EDGE.sub("", text))
+        joined = "".join(pieces)
+        if not joined.isalpha() or text[0] in LEET or text[-1] in LEET:
+            return True
+        at = 0
+        for piece in pieces:
+            start = _RUN.sub(r"\1", joined[at : at + 12])
+            if start[:3] in self.starts or start[:2] + "$" in self.starts or start[:1] + "$" in self.starts:
+                return True
+            if len(start) < 3 and at + 12 < len(joined):
+                return True
+            at += len(piece)
+        return False
+
     def inputs(self, text: str | None) -> list[float]:
-        tokens = self.restorer.tokens(text)
+        tokens = (text or "").lower().split()
         held = list(map(self.cache.get, tokens))
         if None in held:
             held = [self.weight(t) if w is None else w for t, w in zip(tokens, held)]
         found = [w for w in held if w]
+        for run in self.restorer.spaced(tokens):
+            if self._can_weigh(run):
+                found += filter(None, (self._most((w,)) for w in self.restorer.joined(run)))
         k, n = sum(found), len(tokens)
         return [1.0, math.log1p(k), math.log1p(100 * k / max(n, 1)), float(len(found) >= 2), math.log1p(n)]
 

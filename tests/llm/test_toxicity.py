@@ -5,7 +5,7 @@ import zlib
 
 import pytest
 
-from offerloom.llm.toxicity import CharacterModel, _character_counts, _token_words, drop_toxic, score_toxicity
+from offerloom.llm.toxicity import CharacterModel, Restorer, Weigher, _character_counts, _token_words, drop_toxic, score_toxicity
 
 SF = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
 BAD, GOOD = ["wretched", "villain", "scoundrel"], ["garden", "meadow", "river", "sunlight", "harvest", "the", "of", "and"]
@@ -67,3 +67,20 @@ def test_held_out_rows(spark):
     wrong = held.predicted != held.toxic
     assert len(held) > 100 and wrong.mean() < 0.06
     assert (held.predicted[held.toxic == 0] == 1).mean() < 0.02
+
+
+def read(weigher, text):
+    """Letters that weigh in the reading of a text."""
+    return weigher.inputs(text)[1] > 0
+
+
+@pytest.fixture(scope="module")
+def weigher(tables):
+    model = CharacterModel(_character_counts(tables[0]))
+    return Weigher(model, {"vil": 3.0, "villain$": 3.0, "scou": 3.0, "wret": 3.0})
+
+
+def test_spaced_words_with_punctuation_and_mixed_separators(weigher):
+    for noisy in ("v i l l a i n!", '"v i l l a i n"', "(v i l l a i n)", "v i.l l-a i.n", "the garden,v i l l a i n"):
+        assert read(weigher, f"the {noisy} of the meadow"), noisy
+    assert not read(weigher, "the meadow of the river and the garden, a b c")
