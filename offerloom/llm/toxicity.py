@@ -63,7 +63,7 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 # What spacing can cut a word into, from the channel's own characters: pieces, and the separators between them.
 _UNIT = rf"(?:[^\W_]|[{re.escape(''.join(c for c in LEET if not c.isalnum()))}])"
 _GAP = rf"[\s{re.escape(SEPARATORS)}]+"
-_SPACED = re.compile(r"(?<![^\W_])(?:[^\W_]|[@$!|+])(?:[ .\-_*~/](?:[^\W_]|[@$!|+])){2,}(?![^\W_])")
+_CUT = re.compile(rf"{_UNIT}{_GAP}{_UNIT}")
 _GAPS = re.compile(_GAP)
 _LEAD = re.compile(rf"\W*?({_UNIT}{{1,{PIECE}}})(?!{_UNIT})")
 _TRAIL = re.compile(rf"(?<!{_UNIT})({_UNIT}{{1,{PIECE}}})[\W_]*$")
@@ -164,7 +164,7 @@ def _readings(c: str, n: int) -> list[tuple[str, float]]:
         if n == 1:
             return [(c, 0.0)]
         return [(c, REPEATED), (c * 2, 0.0 if n == 2 else REPEATED)]
-    if c in SEPARATORS:
+    if c in SEPARATORS or c.isspace():
         return [(" ", 0.0), ("", SPACED)]
     return [(" ", 0.0)]
 
@@ -179,7 +179,7 @@ def _token_words(token: str, model: CharacterModel) -> tuple[str, ...]:
         core = token
     elif token[0] in LEET or token[-1] in LEET:
         core = token
-    if _MIXED.search(core) or _TRIPLE.search(core) or _SPACED.search(core):
+    if _MIXED.search(core) or _TRIPLE.search(core) or _CUT.search(core):
         return tuple(dict.fromkeys(_LETTERS.findall(core) + _LETTERS.findall(model.decode(core))))
     return tuple(_LETTERS.findall(core))
 

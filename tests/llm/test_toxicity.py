@@ -84,3 +84,18 @@ def test_spaced_words_with_punctuation_and_mixed_separators(weigher):
     for noisy in ("v i l l a i n!", '"v i l l a i n"', "(v i l l a i n)", "v i.l l-a i.n", "the garden,v i l l a i n"):
         assert read(weigher, f"the {noisy} of the meadow"), noisy
     assert not read(weigher, "the meadow of the river and the garden, a b c")
+
+
+def test_every_separator_and_cut_of_the_channel_is_decoded(weigher):
+    noisy = ["v,i,l,l,a,i,n", "v'i'l'l'a'i'n", "v  i  l  l  a  i  n", "v\ni\nl\nl\na\ni\nn", "v\ti\tl\tl\ta\ti\tn", "v. i. l. l. a. i. n",
+             "sc-oundrel", "s/coundrel", "wr.et.ched", "vi ll ai n", "v1 ll @i n", "sc oun dr el", "wr--etched"]
+    for text in noisy:
+        assert read(weigher, f"the {text} of the meadow"), text
+    model = weigher.restorer.model
+    assert model.decode("river-garden") == "river garden" or "river" in _token_words("river-garden", model)
+    # the short cut for letters leaves out nothing that a full decoding finds
+    full = Restorer(model)
+    for text in [*noisy, "the and of a in", "ri ver", "do n't of the"]:
+        found = [w for run in full.spaced(text.split()) for w in full.joined(run)]
+        if any(weigher._most((w,)) for w in found):
+            assert all(weigher._can_weigh(r) for r in full.spaced(text.split()))
