@@ -415,6 +415,16 @@ class ToxicityModel:
         return run(text)
 
 
+def _sample(docs: DataFrame, picked: DataFrame, rows: int) -> DataFrame:
+    """``(text, toxic)`` of the picked ids, one row per id and text; ``rows`` at most, those with the smallest hashes."""
+    found = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic").distinct()
+    found = stored(found.withColumn("at", F.struct(F.xxhash64("doc_id").alias("i"), F.xxhash64("text").alias("t"))), "sample")
+    if found.count() > rows:
+        last = found.select("at").orderBy("at").limit(rows).agg(F.max("at").alias("at")).first().at
+        found = found.where(F.col("at") <= F.struct(F.lit(last.i), F.lit(last.t)))
+    return found.select("text", "toxic")
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> ToxicityModel:
     """Fit on the rows of ``docs(doc_id, text)`` that ``labels(doc_id, toxic)`` marks, ``rows`` at most.
 
@@ -426,7 +436,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) ->
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id")
     known = known.agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     picked = stored(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows), "picked")
-    sample = stored(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "toxic"), "sample")
+    sample = _sample(docs, picked, rows)
     model = CharacterModel(counts)
     weights = _weights(sample, model)
 

@@ -5,7 +5,7 @@ import zlib
 
 import pytest
 
-from offerloom.llm.toxicity import CharacterModel, Restorer, Weigher, _character_counts, _token_words, drop_toxic, score_toxicity
+from offerloom.llm.toxicity import CharacterModel, Restorer, Weigher, _character_counts, _token_words, _sample, drop_toxic, score_toxicity
 
 SF = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
 BAD, GOOD = ["wretched", "villain", "scoundrel"], ["garden", "meadow", "river", "sunlight", "harvest", "the", "of", "and"]
@@ -99,3 +99,11 @@ def test_every_separator_and_cut_of_the_channel_is_decoded(weigher):
         found = [w for run in full.spaced(text.split()) for w in full.joined(run)]
         if any(weigher._most((w,)) for w in found):
             assert all(weigher._can_weigh(r) for r in full.spaced(text.split()))
+
+
+def test_sample_of_repeated_ids_is_bounded(spark, documents):
+    picked = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    docs = documents([(1, "the villain")] * 300 + [(2, f"garden {i}") for i in range(40)] + [(2, None), (4, "x")] * 3)
+    got = _sample(docs, picked, 100).collect()
+    assert len(got) == 42 and sum(r.toxic for r in got) == 1
+    assert _sample(docs, picked, 10).count() == 10
