@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerloom.llm import decontamination, language, language_model, neighbours, packing, secrets, simhash, token_counts, toxicity, urls
+from offerloom.llm import (
+    decontamination,
+    divergence,
+    importance,
+    language,
+    language_model,
+    neighbours,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    token_counts,
+    toxicity,
+    urls,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -219,3 +233,49 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_simhash")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, bits=2)
+
+
+@query("op11_importance")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP12 = rf"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), w AS (SELECT rid, lang, source, unnest(words) AS term FROM d
+), kept AS (SELECT lang, term, count(*)::HUGEINT AS n FROM w GROUP BY lang, term HAVING count(DISTINCT rid) >= {divergence.DOCUMENTS}
+), v AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang
+), n AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM w JOIN kept USING (lang, term) GROUP BY lang, source, term
+), g AS (
+    SELECT lang, source, coalesce(total, 0)::HUGEINT AS total
+    FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN (SELECT lang, source, sum(n) AS total FROM n GROUP BY lang, source) USING (lang, source)
+), p AS (
+    SELECT lang, source, term, coalesce(n.n, 0) AS n, 1 + ({divergence.UNIT}::HUGEINT * (coalesce(n.n, 0) + {divergence.SMOOTHING})) // (g.total + {divergence.SMOOTHING} * v.v) AS p,
+           1 + ({divergence.UNIT}::HUGEINT * (kept.n + {divergence.SMOOTHING})) // (v.total + {divergence.SMOOTHING} * v.v) AS q
+    FROM g JOIN v USING (lang) JOIN kept USING (lang) LEFT JOIN n USING (lang, source, term)
+), f AS (
+    SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), parts AS (
+    SELECT lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM g a JOIN g b USING (lang) LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source WHERE a.source <> b.source
+    UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+WHERE part = 'pair' OR rank <= {divergence.TOP}
+"""
+
+
+@query("op12_divergence", OP12)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
+@query("op13_quality")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
