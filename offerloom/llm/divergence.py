@@ -19,11 +19,16 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import groupby, islice
+from operator import attrgetter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +42,8 @@ TOP = 50
 BLOCK = 300_000
 CHUNK = 2048
 FAN = 512
+#: A document in a block's counts, which hold occurrences below it.
+DOCUMENT = 1 << 40
 #: Pair sums that a task holds, and pairs that it adds up at once.
 PAIRS = 1_000_000
 STEP = 1_000_000
@@ -46,58 +53,56 @@ PIECE = 4_000_000
 #: A-Z become a-z, a-z and bytes from 0x80 stay, all others delimit.
 _TERMS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
-RUN = (
-    "shard int, run long, lang string, term binary, langs array<string>, terms array<binary>, "
-    "sizes array<int>, sources array<string>, n array<long>, docs array<long>"
-)
+RUN = "shard int, run long, lang string, term binary, terms array<binary>, sources array<string>, n array<long>, docs array<long>"
 
 
-def _add(text: bytes, n: Counter, docs: Counter) -> None:
-    """Count the terms of one document, a piece of it at a time."""
+def _add(text: bytes, counts: dict[bytes, int]) -> None:
+    """Count the terms of one document, a piece of it at a time; each value holds documents and occurrences."""
     text = text.translate(_TERMS)
-    if len(text) <= PIECE:
-        words = text.split()
-        n.update(words)
-        docs.update(set(words))
-        return
-    seen, at = set(), 0
+    own, at = Counter(), 0
     while at < len(text):
-        cut = text.find(b" ", at + PIECE)
-        words = text[at : cut if cut >= 0 else len(text)].split()
-        n.update(words)
-        seen.update(words)
-        at = cut if cut >= 0 else len(text)
-    docs.update(seen)
-
-
-class _Run:
-    """Chunks of one run, filled in the order of (language, term)."""
-
-    def __init__(self, run: int):
-        self.run, self.rows, self.open = run, [], {}
-
-    def add(self, shard: int, lang: str, term: bytes, postings: list) -> None:
-        row = self.open.get(shard)
-        if row is None:
-            row = self.open[shard] = [shard, self.run, lang, term, [], [], [], [], [], []]
-        _, _, _, _, langs, terms, sizes, sources, n, docs = row
-        langs.append(lang)
-        terms.append(term)
-        sizes.append(len(postings))
-        for s, c, d in postings:
-            sources.append(s)
-            n.append(c)
-            docs.append(d)
-        if len(n) >= CHUNK:
-            self.rows.append(self.open.pop(shard))
-
-    def take(self, last: bool) -> pd.DataFrame:
-        if last:
-            self.rows += self.open.values()
-            self.open = {}
-        frame = pd.DataFrame(self.rows, columns=[c.split()[0] for c in RUN.split(", ")])
-        self.rows = []
-        return frame
+        cut = text.find(b" ", at + PIECE) if len(text) - at > PIECE else -1
+        stop = cut if cut >= 0 else len(text)
+        own.update(text[at:stop].split())
+        at = stop
+    get = counts.get
+    for term, n in own.items():
+        counts[term] = get(term, 0) + DOCUMENT + n
+
+
+def _chunks(run: int, shard: int, lang: str, *columns: list) -> Iterator[tuple]:
+    """Postings (terms, sources, n, docs), sorted by term, as rows of a run."""
+    for i in range(0, len(columns[0]), CHUNK):
+        yield (shard, run, lang, columns[0][i], *[c[i : i + CHUNK] for c in columns])
+
+
+def _frame(rows: list) -> pd.DataFrame:
+    out = pd.DataFrame(rows, columns=[c.split()[0] for c in RUN.split(", ")])
+    rows.clear()
+    return out
+
+
+def _sorted_block(block: dict, run: int, shards: int) -> Iterator[tuple]:
+    """The rows of a run, by language, shard and term; empties the block."""
+    groups = defaultdict(list)
+    for lang, source in block:
+        groups[lang].append(source)
+    for lang, own in groups.items():
+        terms, sources, n, docs = [], [], [], []
+        for source in own:
+            counts = block.pop((lang, source))
+            terms += counts
+            sources += [source] * len(counts)
+            both = np.fromiter(counts.values(), np.int64, len(counts))
+            n += (both % DOCUMENT).tolist()
+            docs += (both // DOCUMENT).tolist()
+        shard = np.fromiter(map(zlib.crc32, terms), np.int64, len(terms)) % shards
+        keys = pa.table({"shard": shard, "term": pa.array(terms, pa.binary())})
+        order = pc.sort_indices(keys, [("shard", "ascending"), ("term", "ascending")]).to_numpy()
+        ends = np.searchsorted(shard[order], np.arange(shards + 1))
+        for k in np.flatnonzero(np.diff(ends)):
+            at = order[ends[k] : ends[k + 1]].tolist()
+            yield from _chunks(run, int(k), lang, *[[c[i] for i in at] for c in (terms, sources, n, docs)])
 
 
 def _spilled(docs: DataFrame, shards: int) -> DataFrame:
@@ -107,84 +112,61 @@ def _spilled(docs: DataFrame, shards: int) -> DataFrame:
         from pyspark import TaskContext
 
         context = TaskContext.get()
-        first = (context.partitionId() if context else 0) << 32
-        block: dict = defaultdict(lambda: (Counter(), Counter()))
-        held = runs = 0
-
-        def spill() -> Iterator[pd.DataFrame]:
-            postings = defaultdict(list)
-            for (lang, source), (n, in_docs) in block.items():
-                for term, c in n.items():
-                    postings[lang, term].append((source, c, in_docs[term]))
-            block.clear()
-            out = _Run(first + runs)
-            for key in sorted(postings):
-                out.add(zlib.crc32(key[1]) % shards, *key, postings.pop(key))
-                if len(out.rows) >= 64:
-                    yield out.take(False)
-            yield out.take(True)
-
+        number = (context.partitionId() if context else 0) << 32
+        block: dict = defaultdict(dict)
+        held = 0
         for frame in frames:
             for lang, source, text in zip(frame["lang"], frame["source"], frame["text"]):
                 own = block[lang, source]
-                held -= len(own[0])
-                _add(text, *own)
-                held += len(own[0])
+                held -= len(own)
+                _add(text, own)
+                held += len(own)
                 if held >= BLOCK:
-                    yield from spill()
-                    held, runs = 0, runs + 1
-        yield from spill()
+                    yield from _frames(_sorted_block(block, number, shards))
+                    held, number = 0, number + 1
+        yield from _frames(_sorted_block(block, number, shards))
 
     return stored(docs.mapInPandas(run, RUN), "runs")
 
 
-def _entries(row) -> Iterator[tuple]:
-    """The posting lists of a chunk, in its order."""
-    at = 0
-    for lang, term, size in zip(row.langs, row.terms, row.sizes):
-        stop = at + int(size)
-        yield (lang, bytes(term)), row.sources[at:stop], row.n[at:stop], row.docs[at:stop]
-        at = stop
+def _frames(rows: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+    """Rows of runs, some at a time."""
+    names = [c.split()[0] for c in RUN.split(", ")]
+    while held := list(islice(rows, 64)):
+        yield pd.DataFrame(held, columns=names)
 
 
 def _merged(rows) -> Iterator[tuple]:
-    """(shard, language, term, postings) in order, from chunks in the order of shard and first term."""
-    heap: list = []
-    number = 0
-    now, held = None, {}
-
-    def pop(limit) -> Iterator[tuple]:
-        nonlocal now, held
-        while heap and (limit is None or heap[0][0] < limit):
-            key, k, (_, sources, n, docs), rest = heap[0]
-            if key != now:
-                if now is not None:
-                    yield shard, *now, held
-                now, held = key, {}
-            for s, c, d in zip(sources, n, docs):
-                old = held.get(s)
-                held[s] = (c, d) if old is None else (old[0] + c, old[1] + d)
-            more = next(rest, None)
-            if more is None:
-                heapq.heappop(heap)
-            else:
-                heapq.heapreplace(heap, (more[0], k, more, rest))
-
-    shard = None
+    """(term, postings) in order, from the chunks of one shard and language in the order of their first terms.
+
+    All that lies before the first term of the next chunk is merged before that chunk is opened.
+    """
+    chunks: list = []  # (terms, sources, n, docs, place)
+
+    def before(limit: bytes | None) -> Iterator[tuple]:
+        parts, left = [], []
+        for terms, *rest, at in chunks:
+            stop = len(terms) if limit is None else bisect_left(terms, limit, at)
+            if stop > at:
+                parts.append(zip(*[c[at:stop] for c in (terms, *rest)]))
+            if stop < len(terms):
+                left.append((terms, *rest, stop))
+        chunks[:] = left
+        now, postings = None, []
+        for term, *posting in heapq.merge(*parts):
+            if term != now:
+                if postings:
+                    yield now, postings
+                now, postings = term, []
+            postings.append(posting)
+        if postings:
+            yield now, postings
+
     for row in rows:
-        if row.shard != shard:
-            yield from pop(None)
-            if now is not None:
-                yield shard, *now, held
-            now, held, shard = None, {}, row.shard
-        yield from pop((row.lang, bytes(row.term)))
-        rest = _entries(row)
-        entry = next(rest)
-        heapq.heappush(heap, (entry[0], number, entry, rest))
-        number += 1
-    yield from pop(None)
-    if now is not None:
-        yield shard, *now, held
+        terms = [bytes(t) for t in row.terms]
+        yield from before(terms[0])
+        chunks.append((terms, *[c.tolist() for c in (row.sources, row.n, row.docs)], 0))
+    yield from before(None)
 
 
 def _rows(frames: Iterator[pd.DataFrame]) -> Iterator:
@@ -192,49 +174,56 @@ def _rows(frames: Iterator[pd.DataFrame]) -> Iterator:
         yield from frame.itertuples(index=False)
 
 
+def _by_source(postings: list) -> dict:
+    """source -> (occurrences, documents)."""
+    out: dict = {}
+    for source, n, docs in postings:
+        old = out.get(source, (0, 0))
+        out[source] = (old[0] + n, old[1] + docs)
+    return out
+
+
 def _frequencies(runs: DataFrame, shards: int, documents: int) -> DataFrame:
     """Whole posting lists of the terms in at least ``documents`` documents of their language."""
 
     def longer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out: dict[int, _Run] = {}
-        for shard, group in _by_group(_rows(frames)):
-            run = out.setdefault(group, _Run(group))
-            for s, lang, term, postings in _merged(shard):
-                run.add(s, lang, term, [(k, c, d) for k, (c, d) in postings.items()])
-                if len(run.rows) >= 64:
-                    yield run.take(False)
-            yield run.take(True)
+        def rows() -> Iterator[tuple]:
+            for (run, shard, lang), own in groupby(_rows(frames), key=attrgetter("run", "shard", "lang")):
+                held = ([], [], [], [])
+                for term, postings in _merged(own):
+                    for source, (n, docs) in _by_source(postings).items():
+                        for column, value in zip(held, (term, source, n, docs)):
+                            column.append(value)
+                    if len(held[0]) >= CHUNK:
+                        yield from _chunks(run, shard, lang, *held)
+                        held = ([], [], [], [])
+                yield from _chunks(run, shard, lang, *held)
+
+        yield from _frames(rows())
 
     def whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found: list = []
-        names = ["lang", "term", "sources", "n"]
-        for _, lang, term, postings in _merged(_rows(frames)):
-            if sum(d for _, d in postings.values()) >= documents:
-                found.append((lang, term, list(postings), [int(c) for c, _ in postings.values()]))
-            if len(found) >= CHUNK:
-                yield pd.DataFrame(found, columns=names)
-                found = []
-        yield pd.DataFrame(found, columns=names)
+        def rows() -> Iterator[tuple]:
+            for (_, lang), own in groupby(_rows(frames), key=attrgetter("shard", "lang")):
+                for term, postings in _merged(own):
+                    if sum(p[2] for p in postings) >= documents:
+                        found = _by_source(postings)
+                        yield lang, term, list(found), [n for n, _ in found.values()]
+
+        found = rows()
+        while held := list(islice(found, CHUNK)):
+            yield pd.DataFrame(held, columns=["lang", "term", "sources", "n"])
 
     count = runs.agg(F.countDistinct("run")).first()[0]
     while count > FAN:
         count = -(-count // FAN)
         grouped = runs.withColumn("run", F.pmod(F.xxhash64("run"), F.lit(count)))
-        dealt = grouped.repartition(shards, "shard", "run").sortWithinPartitions("run", "shard", "lang", "term")
+        dealt = grouped.repartition(shards, "run", "shard").sortWithinPartitions("run", "shard", "lang", "term")
         runs = stored(dealt.mapInPandas(longer, RUN), "runs")
-    dealt = runs.repartition(shards, "shard").sortWithinPartitions("shard", "lang", "term")
+    dealt = runs.repartitionById(shards, "shard").sortWithinPartitions("shard", "lang", "term")
     found = dealt.mapInPandas(whole, "lang string, term binary, sources array<string>, n array<long>")
     return stored(found.withColumn("term", F.col("term").cast("string")), "frequencies")
 
 
-def _by_group(rows) -> Iterator[tuple]:
-    """(rows, group) per group of runs; rows come sorted by group."""
-    from itertools import groupby
-
-    for group, own in groupby(rows, key=lambda r: r.run):
-        yield own, int(group)
-
-
 def share(n: Column, total: Column, terms: Column) -> Column:
     """A smoothed share in units, in exact integers; NULL without terms."""
     whole = (total + SMOOTHING * terms).cast("decimal(20,0)")
