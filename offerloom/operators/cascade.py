@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from offerloom.functions.availability import snake
@@ -42,13 +44,17 @@ def auto_extract(
     html: str = "html",
     url: str = "url",
     shop: str | None = None,
+    also: Column | None = None,
+    extra: Callable[[Column], dict[str, Column]] | None = None,
 ) -> DataFrame:
     """One row per page: page columns without the HTML, plus the winning
     strategy's fields. ``reject_reason`` is set when no strategy found a price.
     Strategies are switched off by the domain of ``shop`` (``url`` if not given).
 
     The node list is built only for pages the JSON-LD strategy cannot serve
-    and that carry some price markup; other pages pass NULL to it.
+    and that carry some price markup, and for those that meet ``also``; other
+    pages pass NULL to it. ``extra`` makes further columns out of the node list,
+    in the same pass over the pages.
     """
     rules = DISABLED_STRATEGIES if disabled is None else disabled
     keep = [c for c in pages.columns if c != html]
@@ -61,20 +67,23 @@ def auto_extract(
         F.when(on["schema-json"], jsonld_offer(F.col(html), F.col(url))).alias("_json"),
     )
     served = F.coalesce(F.col("_json.found"), F.lit(False))
+    needed = ~served & F.col(html).rlike(_MARKUP_HINT)
+    if also is not None:
+        needed = needed | also
     with_dom = first.select(
         *keep,
         "_json",
-        page_dom(
-            F.when(~served & F.col(html).rlike(_MARKUP_HINT), F.col(html))
-        ).alias("_dom"),
+        page_dom(F.when(needed, F.col(html))).alias("_dom"),
     )
 
     def winner(offer: Column) -> Column:
         return F.when(offer["found"], offer)
 
     dom = F.col("_dom")
+    made = extra(dom) if extra else {}
     second = with_dom.select(
         *keep,
+        *[c.alias(n) for n, c in made.items()],
         "_json",
         F.when(dom["nodes"].isNotNull() & on["schema-attributes"], microdata_offer(dom)).alias("_micro"),
         F.when(dom["nodes"].isNotNull() & on["opengraph"], opengraph_offer(dom)).alias("_og"),
@@ -98,4 +107,4 @@ def auto_extract(
 
     # one generated row per page: later filters on a field must not make the
     # optimizer evaluate all strategies a second time
-    return second.select(*keep, F.inline(F.array(let(best, record))))
+    return second.select(*keep, *made, F.inline(F.array(let(best, record))))

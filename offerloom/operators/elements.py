@@ -8,6 +8,7 @@ repeat text. Everything after this step is Spark expressions over that list.
 from __future__ import annotations
 
 import sys
+from collections import Counter
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -23,6 +24,11 @@ NODE_TYPE = T.StructType(
         T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
         T.StructField("begin", T.IntegerType()),
         T.StructField("finish", T.IntegerType()),
+        # the last descendant (the node itself if it has none), the number among
+        # all siblings and among those of the same tag
+        T.StructField("last", T.IntegerType()),
+        T.StructField("nth", T.IntegerType()),
+        T.StructField("nth_of_type", T.IntegerType()),
     ]
 )
 DOM_TYPE = T.StructType(
@@ -46,6 +52,7 @@ class _Nodes(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.nodes: list[dict] = []
         self.open: list[int] = []
+        self.children: list[Counter] = [Counter()]  # of the page and of every open node, by tag
         self.parts: list[str] = []
         self.length = 0
 
@@ -56,6 +63,9 @@ class _Nodes(HTMLParser):
         for key, value in attrs:
             named.setdefault(key, value or "")
         pos = len(self.nodes)
+        siblings = self.children[-1]
+        siblings[tag] += 1
+        siblings[None] += 1
         self.nodes.append(
             {
                 "pos": pos,
@@ -65,10 +75,14 @@ class _Nodes(HTMLParser):
                 "attrs": named,
                 "begin": self.length,
                 "finish": self.length,
+                "last": pos,
+                "nth": siblings[None],
+                "nth_of_type": siblings[tag],
             }
         )
         if tag not in VOID_TAGS:
             self.open.append(pos)
+            self.children.append(Counter())
 
     def handle_endtag(self, tag):
         for depth in range(len(self.open) - 1, -1, -1):
@@ -88,7 +102,9 @@ class _Nodes(HTMLParser):
     def _close(self, depth: int) -> None:
         for pos in self.open[depth:]:
             self.nodes[pos]["finish"] = self.length
+            self.nodes[pos]["last"] = len(self.nodes) - 1
         del self.open[depth:]
+        del self.children[depth + 1 :]
 
     def finished(self) -> dict:
         self.close()

@@ -12,7 +12,8 @@ from offerloom.functions.identifiers import sku_of
 from offerloom.functions.prices import first_number, parse_price_as, parse_price_safe
 from offerloom.functions.text import leading_number, squash, trim_text
 from offerloom.functions.urls import clean_image, let, strip_query
-from offerloom.operators.elements import attr, has_class, inside, text_of
+from offerloom.operators.elements import attr, has_class, text_of
+from offerloom.operators.selectors import PATH, place, select
 
 SPECS = "array<struct<key: string, value: string>>"
 CRUMBS = "array<struct<name: string, url: string>>"
@@ -25,10 +26,9 @@ REVIEWS = (
 # -- rule-driven fields -------------------------------------------------------
 
 RULE_TYPE = (
-    "struct<field: string, rank: int, tag: string, class: string, attr: string,"
-    " attr_value: string, under_class: string, take: string, cleanup: string,"
-    " required: boolean>"
+    f"struct<field: string, rank: int, path: {PATH}, take: string, cleanup: string, required: boolean>"
 )
+RECORD_TYPE = f"struct<record: string, path: {PATH}, skip: int, rules: array<{RULE_TYPE}>>"
 CLEANUPS = {
     "trim": trim_text,
     "squash": squash,
@@ -39,28 +39,6 @@ CLEANUPS = {
 }
 
 
-def _matches(dom: Column, n: Column, r: Column) -> Column:
-    def given(part: str, test: Column) -> Column:
-        return r[part].isNull() | F.coalesce(test, F.lit(False))
-
-    return (
-        given("tag", n["tag"] == r["tag"])
-        & given("class", F.array_contains(n["classes"], r["class"]))
-        & given("attr", F.map_contains_key(n["attrs"], F.coalesce(r["attr"], F.lit(""))))
-        & given("attr_value", F.try_element_at(n["attrs"], r["attr"]) == r["attr_value"])
-        & given(
-            "under_class",
-            inside(
-                dom,
-                n,
-                lambda a: F.array_contains(
-                    a["classes"], F.coalesce(r["under_class"], F.lit(""))
-                ),
-            ),
-        )
-    )
-
-
 def _cleaned(value: Column, how: Column) -> Column:
     out = value
     for name, fn in CLEANUPS.items():
@@ -68,15 +46,15 @@ def _cleaned(value: Column, how: Column) -> Column:
     return out
 
 
-def rule_fields(dom: Column, rules: Column) -> Column:
-    """``map<field, value>`` of a page.
+def rule_fields(dom: Column, rules: Column, start: Column | None = None) -> Column:
+    """``map<field, value>`` of a page, or of what lies below ``start``.
 
     ``rules`` is ``array<RULE_TYPE>`` of the page's domain. Per field the rules
     are tried by ``rank``; the first that yields non-empty text wins.
     """
 
     def value_of(r: Column) -> Column:
-        node = F.get(F.filter(dom["nodes"], lambda n: _matches(dom, n, r)), 0)
+        node = F.get(select(dom, r["path"], start), 0)
 
         def take(n: Column) -> Column:
             raw = F.when(r["take"].isNull(), text_of(dom, n)).otherwise(
@@ -114,6 +92,71 @@ def missing_required(fields: Column, rules: Column) -> Column:
     return F.filter(required, lambda f: ~F.map_contains_key(fields, f))
 
 
+def rule_records(dom: Column, records: Column) -> Column:
+    """``array<struct<record, rows>>``: nested rules, in the order of ``records``.
+
+    ``records`` is ``array<RECORD_TYPE>``. A record's selector opens scopes, of
+    which the first ``skip`` are passed over; its rules read within a scope and
+    yield one ``map<field, value>``. Scopes that lack a required field give no row.
+    """
+
+    def row_of(n: Column, r: Column) -> Column:
+        fields = rule_fields(dom, r["rules"], place(n))
+        return let(fields, lambda f: F.when(F.size(missing_required(f, r["rules"])) == 0, f))
+
+    def rows(r: Column) -> Column:
+        scopes = F.filter(select(dom, r["path"]), lambda n, i: i >= r["skip"])
+        return F.filter(F.transform(scopes, lambda n: row_of(n, r)), lambda m: m.isNotNull())
+
+    return F.transform(
+        records, lambda r: F.struct(r["record"].alias("record"), rows(r).alias("rows"))
+    )
+
+
+def record_rows(records: Column, name: str) -> Column:
+    """Rows of the first record of that name that found any; NULL without one."""
+    return F.get(F.filter(records, lambda r: (r["record"] == name) & (F.size(r["rows"]) > 0)), 0)["rows"]
+
+
+def _row_value(row: Column, field: str) -> Column:
+    return F.try_element_at(row, F.lit(field))
+
+
+def record_crumbs(records: Column, name: str = "crumbs") -> Column:
+    """Category path from a record's ``name`` and ``url``; NULL without one."""
+    rows = record_rows(records, name)
+    found = F.transform(rows, lambda m: F.struct(_row_value(m, "name").alias("name"), _row_value(m, "url").alias("url")))
+    return F.when(rows.isNotNull(), category_tree(found))
+
+
+def record_specs(records: Column, name: str = "specs") -> Column:
+    """Specifications from a record's ``key`` and ``value``; NULL without one."""
+    return F.transform(
+        record_rows(records, name),
+        lambda m: F.struct(
+            F.coalesce(_row_value(m, "key"), F.lit("")).alias("key"),
+            F.coalesce(_row_value(m, "value"), F.lit("")).alias("value"),
+        ),
+    )
+
+
+def record_values(records: Column, name: str, field: str) -> Column:
+    """One field of a record's rows, each value once, in order; NULL without one."""
+    values = F.transform(record_rows(records, name), lambda m: _row_value(m, field))
+    return F.array_distinct(F.filter(values, lambda v: v.isNotNull()))
+
+
+def record_reviews(records: Column, name: str = "reviews") -> Column:
+    """Reviews from a record's ``score_text`` and ``content``; NULL without one."""
+    return F.transform(
+        record_rows(records, name),
+        lambda m: F.struct(
+            leading_number(_row_value(m, "score_text")).cast("double").alias("score"),
+            _row_value(m, "content").alias("content"),
+        ),
+    )
+
+
 # -- category paths -----------------------------------------------------------
 
 
@@ -430,7 +473,8 @@ def availability_rule(
     before, but a missing text means in stock. ``not_available``: in stock
     unless the text says it is not. ``text_and_button``: no text, a negative
     text or no cart button means out of stock. ``tags``: a tag list holds the
-    given tag. ``colour``: colour in a class attribute.
+    given tag. ``colour``: colour in a class attribute. ``if_present`` and
+    ``unless_present``: whether anything is there at all.
     """
     yes, no = F.lit("in_stock"), F.lit("out_of_stock")
     if rule == "in_stock_mark":
@@ -447,6 +491,9 @@ def availability_rule(
     if rule == "tags":
         trimmed = F.transform(text, trim_text)
         return F.when(F.array_contains(trimmed, tag), yes).otherwise(no)
+    if rule in ("if_present", "unless_present"):
+        there = F.coalesce(trim_text(text) != "", F.lit(False))
+        return F.when(there if rule == "if_present" else ~there, yes).otherwise(no)
     if rule == "colour":
         out = F.lit(None).cast("string")
         for colour, label in reversed(COLOUR_AVAILABILITY.items()):
@@ -516,10 +563,11 @@ def section_text(dom: Column, heading_tag: str, heading: str, content_class: str
 
 
 def rule_extract(pages: DataFrame, rules: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """Rule-driven fields of every page: ``fields`` map and ``missing`` list.
+    """Rule-driven values of every page of a domain with rules: ``fields`` map,
+    ``missing`` list and ``records``.
 
-    ``rules`` holds one row per domain with an array of rules, see
-    :func:`offerloom.operators.profiles.rules_frame`.
+    ``rules`` holds one row per domain with its rules and records, see
+    :meth:`offerloom.operators.profiles.Registry.rules_frame`.
     """
     from offerloom.functions.urls import domain_of
     from offerloom.operators.elements import page_dom
@@ -528,26 +576,20 @@ def rule_extract(pages: DataFrame, rules: DataFrame, html: str = "html", url: st
     return (
         pages.withColumn("domain", domain_of(F.col(url)))
         .join(rules, "domain")
-        .select(*keep, "domain", "rules", page_dom(F.col(html)).alias("_dom"))
+        .select(*keep, "domain", "rules", F.col("records").alias("_records"), page_dom(F.col(html)).alias("_dom"))
         .withColumn("fields", rule_fields(F.col("_dom"), F.col("rules")))
         .withColumn("missing", missing_required(F.col("fields"), F.col("rules")))
-        .drop("_dom", "rules")
+        .withColumn("records", rule_records(F.col("_dom"), F.col("_records")))
+        .drop("_dom", "rules", "_records")
     )
 
 
-def rule_offers(pages: DataFrame, registry, html: str = "html", url: str = "url") -> DataFrame:
-    """Offers of the pages whose domain has field rules.
-
-    Texts found by the rules become offer fields in the styles the profile
-    names; without a price style the generic price reading is used. Pages that
-    lack a required field carry ``reject_reason``.
-    """
-    spark = pages.sparkSession
-    rows = rule_extract(pages, registry.rules_frame(spark), html, url)
-    domain = F.col("domain")
+def offer_columns(registry, domain: Column, fields: Column, records: Column) -> dict[str, Column]:
+    """Offer fields from what a domain's rules found, in the styles its profile
+    names; without a price style the generic price reading is used."""
 
     def text(name: str) -> Column:
-        return F.try_element_at("fields", F.lit(name))
+        return F.try_element_at(fields, F.lit(name))
 
     def price(name: str) -> Column:
         styled = registry.by_style(domain, "price_style", lambda s: parse_price_as(text(name), s))
@@ -558,23 +600,39 @@ def rule_offers(pages: DataFrame, registry, html: str = "html", url: str = "url"
     stock = registry.by_style(
         domain, "availability_rule", lambda r: availability_rule(r, text("availability_text"))
     )
-    keep = [c for c in rows.columns if c not in ("fields", "missing")]
-    return (
-        rows.select(
-            *keep,
-            text("name").alias("name"),
-            text("brand").alias("brand"),
-            text("brand_url").alias("brand_url"),
-            text("description").alias("description"),
-            price("price_text").alias("price"),
-            price("original_price_text").alias("original_price"),
-            registry.lookup(domain, "currency").cast("string").alias("currency"),
-            F.coalesce(sku, text("sku_text")).cast("string").alias("sku"),
-            stock.cast("string").alias("availability"),
-            F.when(
-                F.size("missing") > 0,
-                F.concat(F.lit("Cannot extract "), F.array_join("missing", ", ")),
-            ).alias("reject_reason"),
-        )
-        .withColumn("is_discounted", F.col("original_price").isNotNull())
-    )
+    return {
+        "name": text("name"),
+        "brand": text("brand"),
+        "brand_url": text("brand_url"),
+        "description": text("description"),
+        "price": price("price_text"),
+        "original_price": price("original_price_text"),
+        "currency": registry.lookup(domain, "currency").cast("string"),
+        "sku": F.coalesce(sku, text("sku_text")).cast("string"),
+        "gtin": text("gtin"),
+        "mpn": text("mpn"),
+        "availability": stock.cast("string"),
+        "category_tree": record_crumbs(records),
+        "specifications": record_specs(records),
+        "images": record_values(records, "images", "url"),
+        "review_count": leading_number(F.regexp_extract(text("review_count_text"), r"([0-9][0-9., ]*)", 1)).cast("bigint"),
+        "average_review": first_number(text("review_score_text")).cast("double"),
+        "reviews": record_reviews(records),
+        "variant_urls": record_values(records, "variants", "url"),
+    }
+
+
+def rule_offers(pages: DataFrame, registry, html: str = "html", url: str = "url") -> DataFrame:
+    """Offers of the pages whose domain has rules, by the rules alone. Pages that
+    lack a required field carry ``reject_reason``."""
+    rows = rule_extract(pages, registry.rules_frame(pages.sparkSession), html, url)
+    keep = [c for c in rows.columns if c not in ("fields", "missing", "records")]
+    found = offer_columns(registry, F.col("domain"), F.col("fields"), F.col("records"))
+    return rows.select(
+        *keep, *[c.alias(n) for n, c in found.items()], missing_reason(F.col("missing")).alias("reject_reason")
+    ).withColumn("is_discounted", F.col("original_price").isNotNull())
+
+
+def missing_reason(missing: Column) -> Column:
+    """Reject reason that names the missing fields; NULL if there are none."""
+    return F.when(F.size(missing) > 0, F.concat(F.lit("Cannot extract "), F.array_join(missing, ", ")))

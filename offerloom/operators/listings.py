@@ -11,7 +11,8 @@ from offerloom.functions.urls import (
     strip_query,
 )
 from offerloom.operators.elements import attr, has_class, page_dom, text_of
-from offerloom.operators.fields import CRUMBS
+from offerloom.functions.prices import parse_price_safe
+from offerloom.operators.fields import CRUMBS, record_crumbs, record_rows, rule_fields, rule_records
 from offerloom.operators.ranking import first_per_key, number_rows
 
 
@@ -68,11 +69,71 @@ def listings(
     )
 
 
+def rule_listings(
+    pages: DataFrame, registry, html: str = "html", url: str = "url", shop: str | None = None
+) -> DataFrame:
+    """One row per product card of the category pages whose shop has card rules.
+
+    ``position`` counts all cards of a page, those without a link included, which
+    give no row. ``popularity_category`` is the breadcrumb path with the page's
+    own category at its end. The shop is the domain of ``shop`` (``url`` if not
+    given); pages of other shops give no rows.
+    """
+    keep = [c for c in pages.columns if c not in (html, url)]
+    dom, records = F.col("_dom"), F.col("_records")
+    rules = registry.rules_frame(pages.sparkSession, cards=True)
+    rules = rules.select(F.col("domain").alias("_domain"), F.col("rules").alias("_rules"), F.col("records").alias("_lists"))
+    found = (
+        pages.withColumn("_domain", domain_of(F.col(shop or url)))
+        .join(rules, "_domain")
+        .select(*keep, F.col(url).alias("category_url"), "_rules", "_lists", page_dom(F.col(html)).alias("_dom"))
+        .select(
+            *keep,
+            "category_url",
+            F.try_element_at(rule_fields(dom, F.col("_rules")), F.lit("category")).alias("_name"),
+            rule_records(dom, F.col("_lists")).alias("_records"),
+        )
+    )
+    own = F.array(F.struct(F.col("_name").alias("name"), strip_query(F.col("category_url")).alias("url"))).cast(CRUMBS)
+    path = F.coalesce(record_crumbs(records), F.array().cast(CRUMBS))
+    path = F.when(F.col("_name").isNotNull(), F.concat(path, own)).otherwise(path)
+
+    def listing(card: Column, i: Column) -> Column:
+        def value(name: str) -> Column:
+            return F.try_element_at(card, F.lit(name))
+
+        return F.struct(
+            (i + 1).alias("position"),
+            normalise_url(value("url"), F.col("category_url")).alias("url"),
+            value("name").alias("name"),
+            value("brand").alias("brand"),
+            parse_price_safe(value("price_text")).alias("price"),
+        )
+
+    # outer, and the URL made before it: a filter of the optimizer's own, or ours
+    # on the URL, would evaluate all rules a second time
+    return (
+        found.select(*keep, "category_url", path.alias("popularity_category"), record_rows(records, "cards").alias("_cards"))
+        .select(*keep, "category_url", "popularity_category", F.transform("_cards", listing).alias("_cards"))
+        .select(*keep, "category_url", "popularity_category", F.inline_outer("_cards"))
+        .where(F.col("url").isNotNull())
+    )
+
+
 # Page number and position share one BIGINT: 40 bits and 23 bits.
 _POSITION_BITS = 23
 _PAGE_BITS = 40
 
 
+def _packed(page: str, position: str) -> Column:
+    """Page and position as one number; NULL if one is, an error if out of range."""
+    p, i = F.col(page).cast("bigint"), F.col(position).cast("bigint")
+    fits = p.between(0, 2**_PAGE_BITS - 1) & i.between(0, 2**_POSITION_BITS - 1)
+    return F.when(fits | p.isNull() | i.isNull(), F.shiftleft(p, _POSITION_BITS) + i).otherwise(
+        F.raise_error(F.lit("page number or position out of range"))
+    )
+
+
 def first_sight(cards: DataFrame, keys: list[str], page: str, position: str) -> DataFrame:
     """The first card per key, by page and position.
 
@@ -81,12 +142,7 @@ def first_sight(cards: DataFrame, keys: list[str], page: str, position: str) ->
     """
     if set(cards.columns) != {*keys, page, position}:
         return first_per_key(cards, keys, [page, position])
-    p, i = F.col(page).cast("bigint"), F.col(position).cast("bigint")
-    fits = p.between(0, 2**_PAGE_BITS - 1) & i.between(0, 2**_POSITION_BITS - 1)
-    packed = F.when(fits | p.isNull() | i.isNull(), F.shiftleft(p, _POSITION_BITS) + i).otherwise(
-        F.raise_error(F.lit("page number or position out of range"))
-    )
-    first = cards.groupBy(*keys).agg(F.min(packed).alias("_at"))
+    first = cards.groupBy(*keys).agg(F.min(_packed(page, position)).alias("_at"))
     return first.select(
         *keys,
         F.shiftright("_at", _POSITION_BITS).alias(page),
@@ -109,9 +165,8 @@ def popularity_rank(
     """
     first = first_sight(cards, [run, url], page, position)
     # a cut is 4096 places of one page, so that an endless page is cut as well
-    place = F.shiftleft(F.col(page).cast("bigint"), _POSITION_BITS) + F.col(position).cast("bigint")
     ranked = number_rows(
-        first.withColumn("_place", place),
+        first.withColumn("_place", _packed(page, position)),
         [run],
         "_place",
         [F.col(page).asc_nulls_last(), F.col(position).asc_nulls_last(), url],

@@ -9,19 +9,22 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from offerloom.functions.identifiers import product_id
 from offerloom.functions.urls import PRODUCT_URL_PATTERNS, origin_of
-from offerloom.operators.fields import RULE_TYPE
+from offerloom.operators.fields import RECORD_TYPE, RULE_TYPE
+from offerloom.operators.selectors import compile_selector
 
 
 @dataclass(frozen=True)
 class Rule:
-    """Where one field of a page stands. ``take`` names an attribute; without
-    it the text is taken. Lower ``rank`` is tried first."""
+    """Where one field stands: a selector, or its parts one by one. ``take``
+    names an attribute; without it the text is taken. Lower ``rank`` is tried
+    first."""
 
     field: str
+    at: str | None = None
     tag: str | None = None
     cls: str | None = None
     attr: str | None = None
@@ -32,19 +35,32 @@ class Rule:
     required: bool = False
     rank: int = 0
 
+    def path(self) -> list[tuple]:
+        if self.at is not None:
+            return compile_selector(self.at)
+        tests = [("tag", None, self.tag, False)] if self.tag else []
+        tests += [("class", None, self.cls, False)] if self.cls else []
+        if self.attr:
+            tests.append(("has" if self.attr_value is None else "is", self.attr, self.attr_value, False))
+        under = [(" ", [("class", None, self.under_class, False)], [])] if self.under_class else []
+        return [*under, (" ", tests, [])]
+
     def row(self) -> tuple:
-        return (
-            self.field,
-            self.rank,
-            self.tag,
-            self.cls,
-            self.attr,
-            self.attr_value,
-            self.under_class,
-            self.take,
-            self.cleanup,
-            self.required,
-        )
+        return (self.field, self.rank, self.path(), self.take, self.cleanup, self.required)
+
+
+@dataclass(frozen=True)
+class Record:
+    """A list on a page: the selector of its items and the rules within one.
+    The first ``skip`` items are passed over."""
+
+    name: str
+    at: str
+    rules: tuple[Rule, ...]
+    skip: int = 0
+
+    def row(self) -> tuple:
+        return (self.name, compile_selector(self.at), self.skip, [r.row() for r in self.rules])
 
 
 @dataclass(frozen=True)
@@ -60,6 +76,9 @@ class Profile:
     availability_rule: str | None = None
     disabled_strategies: tuple[str, ...] = ()
     rules: tuple[Rule, ...] = ()
+    records: tuple[Record, ...] = ()
+    card_rules: tuple[Rule, ...] = ()
+    card_records: tuple[Record, ...] = ()
 
 
 @dataclass
@@ -128,23 +147,17 @@ class Registry:
             if p.disabled_strategies
         }
 
-    def ruled_domains(self) -> list[str]:
-        """Domains whose rules find a name and a price, so that they can stand alone."""
-        return [
-            p.domain
-            for p in self.profiles.values()
-            if {"name", "price_text"} <= {r.field for r in p.rules}
-        ]
-
-    def rules_frame(self, spark: SparkSession) -> DataFrame:
-        """``(domain, rules)`` with one row per domain, of the size of the profiles held here."""
-        rows = [
-            (p.domain, [r.row() for r in p.rules])
-            for p in self.profiles.values()
-            if p.rules
-        ]
+    def rules_frame(self, spark: SparkSession, cards: bool = False) -> DataFrame:
+        """``(domain, rules, records)`` of product pages, or of category pages,
+        with one row per domain that has any; of the size of the profiles held here."""
+        rows = []
+        for p in self.profiles.values():
+            rules, records = (p.card_rules, p.card_records) if cards else (p.rules, p.records)
+            if rules or records:
+                rows.append((p.domain, [r.row() for r in rules], [r.row() for r in records]))
+        schema = f"domain: string, rules: array<{RULE_TYPE}>, records: array<{RECORD_TYPE}>"
         # as large as the Python code that states it, whatever the pages
-        return F.broadcast(spark.createDataFrame(rows, f"domain: string, rules: array<{RULE_TYPE}>"))
+        return F.broadcast(spark.createDataFrame(rows, schema))
 
     def apply_canonical(self, url: Column, domain: Column) -> Column:
         out = url
@@ -168,6 +181,32 @@ class Registry:
             for name, (fn, schema) in self.extractors.items()
         }
 
+    def extract_all_custom(self, pages: DataFrame, domain: str = "domain") -> DataFrame:
+        """Rows of all registered extractors in one pass over the pages.
+
+        Each page goes to the extractor of its domain, pages of other domains to
+        none. The columns are those of all extractors; a column that an
+        extractor does not have is NULL in its rows, and two that state a column
+        with different types are refused.
+        """
+        types: dict[str, T.DataType] = {}
+        for name, (_, schema) in self.extractors.items():
+            for f in T.StructType.fromDDL(schema).fields:
+                if types.setdefault(f.name, f.dataType) != f.dataType:
+                    raise ValueError(f"column {f.name!r} of {name!r} differs in type from another extractor's")
+        schema = T.StructType([T.StructField(n, t) for n, t in types.items()])
+        extractors = {name: fn for name, (fn, _) in self.extractors.items()}
+        own = pages.where(F.col(domain).isin(*extractors))
+        return own.mapInPandas(lambda frames: _routed(frames, extractors, domain, list(types)), schema)
+
+
+def _routed(frames, extractors: dict[str, Callable], domain: str, columns: list[str]):
+    """Each frame cut by domain and handed to that domain's extractor."""
+    for frame in frames:
+        for name, part in frame.groupby(domain, sort=False):
+            for found in extractors[name](iter([part.reset_index(drop=True)])):
+                yield found.reindex(columns=columns)
+
 
 def _without_redirect_mark(url: Column) -> Column:
     """The first ``/?redirect=301`` of a URL is dropped."""
@@ -236,97 +275,44 @@ SEARCH_URLS = {
 SEARCH_LIMITS = {"amazon.de": 8}
 # How a shop writes prices, SKUs and stock texts.
 PRICE_STYLES = {
+    "baldai1.lt": "euro_blank",
     "bernomobler.se": "blank_thousands_whole",
+    "bygghemma.se": "digits",
     "connox.dk": "listed_price",
     "ebuy24.dk": "dot_thousands_whole",
+    "ellos.se": "blank_thousands_whole",
     "gardenstore.se": "blank_thousands_whole",
     "gigameubel.nl": "dot_thousands",
+    "homeroom.se": "blank_thousands_whole",
     "jensen-company.dk": "dot_thousands",
     "k-rauta.se": "single_number",
     "nordiskarum.se": "blank_thousands_whole",
+    "trendrum.se": "digits",
+    "wayfair.de": "amount_and_symbol",
 }
 SKU_STYLES = {"ebuy24.dk": "after_first_dash", "nordiskarum.se": "drop_label"}
 AVAILABILITY_RULES = {
     "ebuy24.dk": "in_stock_mark",
     "k-rauta.se": "not_available",
     "nordiskarum.se": "in_stock_default",
+    "amazon.de": "if_present",
+    "andlight.dk": "in_stock_mark",
+    "chilli.se": "if_present",
+    "finnishdesignshop.com": "if_present",
+    "finnishdesignshop.fi": "if_present",
+    "furniturebox.se": "if_present",
+    "gardenstore.se": "unless_present",
+    "homeroom.se": "if_present",
+    "jardindeco.com": "if_present",
+    "nordlyliving.dk": "colour",
+    "trademax.se": "if_present",
+    "wayfair.de": "unless_present",
 }
-# Where the shops' pages hold their fields; they have to match the pages.
-RULES = {
-    "bernomobler.se": (
-        Rule("name", cls="product-single__title", under_class="product-grid__content", required=True),
-        Rule("description", cls="rte", under_class="product-grid__content"),
-        Rule("price_text", tag="span", under_class="product-block--price", required=True),
-    ),
-    "connox.dk": (
-        Rule("name", tag="h1", under_class="product-details", required=True),
-        Rule("brand", tag="a", cls="product-manufacturer-link", under_class="product-details", take="title"),
-        Rule("brand_url", tag="a", cls="product-manufacturer-link", under_class="product-details", take="href"),
-        Rule("original_price_text", tag="s", under_class="price-value"),
-    ),
-    "ebuy24.dk": (
-        Rule("name", tag="h1", cls="m-product-title", required=True),
-        Rule("description", tag="div", cls="description", under_class="m-product-additional-info"),
-        Rule("price_text", cls="m-product-price", required=True),
-        Rule("original_price_text", cls="m-product-price-before-discount"),
-        Rule("sku_text", cls="m-product-itemNumber-value"),
-        Rule("availability_text", tag="link", attr="itemprop", attr_value="availability", take="href", required=True),
-    ),
-    "gardenstore.se": (
-        Rule("description", tag="div", cls="description"),
-        Rule("price_text", tag="span", cls="price", under_class="price-final_price"),
-        Rule("original_price_text", tag="span", attr="data-price-type", attr_value="oldPrice", under_class="product-info-price"),
-        Rule("review_score_text", tag="span", cls="avg-score", under_class="yotpo-main-widget"),
-        Rule("review_count_text", tag="span", cls="reviews-qa-label", under_class="yotpo-main-widget"),
-    ),
-    "gigameubel.nl": (
-        Rule("name", tag="h1", cls="page-title"),
-        Rule("brand", tag="h4", under_class="sidebar-lg-sticky"),
-        Rule("description", tag="div", cls="cms-content", under_class="product"),
-        Rule("price_text", tag="span", attr="data-price-type", attr_value="finalPrice", under_class="product-info-main", required=True),
-        Rule("original_price_text", tag="span", attr="data-price-type", attr_value="oldPrice", under_class="product-info-main"),
-    ),
-    "jensen-company.dk": (
-        Rule("brand", tag="div", cls="product-brand"),
-        Rule("sku_text", tag="div", cls="value", under_class="sku"),
-        Rule("description", tag="div", cls="description"),
-    ),
-    "k-rauta.se": (
-        Rule("brand", tag="a", cls="product-heading__brand-name"),
-        Rule("name", tag="h1", cls="product-heading__product-name", required=True),
-        Rule("description", tag="div", cls="product-description", under_class="product-info__wrapper"),
-        Rule("original_price_text", cls="price-view__before-discount", under_class="product-page__top-info"),
-        Rule("price_text", cls="price-view__sale-price-container", under_class="product-page__top-info", required=True),
-        Rule("price_text", cls="price-view__sale-price-container", under_class="price-view--large", rank=1),
-        Rule("availability_text", tag="span", cls="availability__message"),
-    ),
-    "nordiskarum.se": (
-        Rule("availability_text", tag="meta", attr="itemprop", attr_value="availability", take="content"),
-        Rule("sku_text", cls="product__sku", under_class="product__info"),
-        Rule("original_price_text", cls="sf-price__old", under_class="product__info"),
-        Rule("price_text", cls="sf-price__regular", under_class="product__info", required=True),
-        Rule("price_text", cls="sf-price__special", under_class="product__info", rank=1),
-    ),
-    "norliving.dk": (
-        Rule("name", tag="h1", cls="product-info__title", under_class="product", required=True),
-        Rule("price_text", tag="sale-price", under_class="product", required=True),
-        Rule("original_price_text", tag="compare-at-price", under_class="product"),
-    ),
-    "trendrum.se": (
-        Rule("price_text", tag="span", cls="currentprice", under_class="productPrices"),
-    ),
-    "unoliving.com": (
-        Rule("brand", tag="h2", cls="pdp__brand__title", under_class="product-info-main"),
-        Rule("price_text", tag="span", attr="data-price-type", attr_value="finalPrice", under_class="product-info-main", take="data-price-amount", required=True),
-        Rule("original_price_text", tag="span", attr="data-price-type", attr_value="oldPrice", under_class="product-info-main", take="data-price-amount"),
-    ),
-}
-
-
 def default_registry() -> Registry:
     """Profiles, hooks and outcome rules of the known retailers."""
     from offerloom.operators.cascade import DISABLED_STRATEGIES
     from offerloom.operators.outcomes import DOMAIN_OUTCOMES
+    from offerloom.operators.retailers import CARD_RECORDS, CARD_RULES, RECORDS, RULES
 
     registry = Registry()
     for domain in sorted({*CURRENCIES, *NO_FIXED_CURRENCY, *DISABLED_STRATEGIES}):
@@ -343,6 +329,9 @@ def default_registry() -> Registry:
                 availability_rule=AVAILABILITY_RULES.get(domain),
                 disabled_strategies=DISABLED_STRATEGIES.get(domain, ()),
                 rules=RULES.get(domain, ()),
+                records=RECORDS.get(domain, ()),
+                card_rules=CARD_RULES.get(domain, ()),
+                card_records=CARD_RECORDS.get(domain, ()),
             )
         )
     registry.register_canonical("amazon.de", _canonical_asin)

@@ -2,6 +2,7 @@
 
 from offerloom.plans.jobs import (
     explore_category,
+    explore_category_pages,
     explore_homepage,
     extract_categories,
     scrape_details,
