@@ -5,73 +5,55 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from offerloom.functions.urls import domain_of, normalise_url, strip_query
+from offerloom.operators.anchors import page_anchors, without_repeats
 from offerloom.operators.elements import attr, page_dom, text_of
 from offerloom.operators.ranking import first_per_key
 
-# the attribute's name has to begin there: data-href is another one
-_HREF = r"""(?is)<a\s(?:[^>]*?[\s"'])?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-# what looks like markup there is none
-_NO_MARKUP = r"(?is)<!--.*?-->|<(script|style|textarea)(?=[\s>/]).*?</\1\s*>"
-# Character references that URLs in markup use; the ampersand's own comes last.
-_REFERENCES = (
-    (r"(?i)&quot;|&#0*34;|&#x0*22;", '"'),
-    (r"(?i)&apos;|&#0*39;|&#x0*27;", "'"),
-    (r"(?i)&lt;|&#0*60;|&#x0*3c;", "<"),
-    (r"(?i)&gt;|&#0*62;|&#x0*3e;", ">"),
-    (r"(?i)&sol;|&#0*47;|&#x0*2f;", "/"),
-    (r"(?i)&amp;|&#0*38;|&#x0*26;", "&"),
-)
-
-
-def hrefs_of(html: Column) -> Column:
-    """Link targets of a page in document order, quotes and character references undone."""
-    bare = F.when(html.rlike(r"(?i)<!--|<script|<style|<textarea"), F.regexp_replace(html, _NO_MARKUP, ""))
-    found = F.regexp_extract_all(F.coalesce(bare, html), F.lit(_HREF), F.lit(1))
-
-    def plain(value: Column) -> Column:
-        quoted = value.startswith('"') | value.startswith("'")
-        out = F.when(quoted, F.substring(value, F.lit(2), F.char_length(value) - 2)).otherwise(value)
-        known = out
-        for pattern, char in _REFERENCES:
-            known = F.regexp_replace(known, pattern, char)
-        return F.when(F.contains(out, F.lit("&")), known).otherwise(out)
-
-    return F.transform(found, plain)
-
-
 def links(
-    pages: DataFrame, rules: list[tuple[str, str]] | None = None, html: str = "html"
+    pages: DataFrame,
+    rules: list[tuple[str, str]] | None = None,
+    html: str = "html",
+    drop_repeats: bool = False,
 ) -> DataFrame:
     """One row per anchor: page columns without the HTML, ``pos``, ``href``
     and, with rules ``(pattern, label)``, the label of the first pattern that
-    matches; anchors without a label are left out."""
-    keep = [c for c in pages.columns if c != html]
-    found = pages.select(
-        *keep,
-        F.posexplode(hrefs_of(F.col(html))).alias("pos", "href"),
-    )
+    matches; anchors without a label are left out. ``drop_repeats`` leaves out
+    an anchor with the target of the one right before it, within the page's row."""
+    found = _exploded(pages, html, None, None, drop_repeats)
     if rules is None:
         return found
     label = F.coalesce(*[F.when(F.col("href").rlike(p), F.lit(n)) for p, n in rules])
     return found.withColumn("label", label).where(F.col("label").isNotNull())
 
 
-def homepage_links(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Anchors outside header, nav and footer; anchors without a target or to
-    the page itself are left out."""
-    body = F.regexp_replace(
-        F.col(html), r"(?is)<(header|nav|footer)(?=[\s>/]).*?</\1\s*>", ""
-    )
-    return links(pages.withColumn(html, body), html=html).where(
-        ~F.startswith(F.col("href"), F.lit("#"))
+def homepage_links(pages: DataFrame, html: str = "html", drop_repeats: bool = False) -> DataFrame:
+    """Anchors outside header, nav and footer; anchors to a place on the page
+    itself are left out, before ``drop_repeats`` looks at neighbours."""
+    return _exploded(
+        pages, html, lambda a: ~a["section"], lambda a: ~F.startswith(a["href"], F.lit("#")), drop_repeats
     )
 
 
+def _exploded(pages: DataFrame, html: str, counted, kept, drop_repeats: bool) -> DataFrame:
+    """One row per anchor: numbered among the ``counted`` ones, if it is ``kept``.
+    All of it happens inside the page's row, before it becomes many."""
+    keep = [c for c in pages.columns if c != html]
+    anchors = F.col("_anchors")
+    body = anchors if counted is None else F.filter(anchors, counted)
+    numbered = F.transform(body, lambda a, i: F.struct(i.alias("pos"), a["href"].alias("href")))
+    wanted = numbered if kept is None else F.filter(numbered, kept)
+    rows = pages.select(*keep, page_anchors(F.col(html)).alias("_anchors")).select(*keep, wanted.alias("_anchors"))
+    if drop_repeats:
+        rows = rows.select(*keep, without_repeats(F.col("_anchors")).alias("_anchors"))
+    return rows.select(*keep, F.inline_outer("_anchors")).where(F.col("href").isNotNull())
+
+
 def drop_consecutive_dups(
     found: DataFrame, page: list[str], pos: str = "pos", href: str = "href"
 ) -> DataFrame:
     """A link equal to the one right before it on the page goes away; later
-    mentions stay. The window holds the links of one document."""
+    mentions stay. For links that are rows already; :func:`links` does the same
+    within the page's row, without a shuffle. The window holds one document."""
     before = F.lag(href).over(Window.partitionBy(*page).orderBy(pos))
     return (
         found.withColumn("_before", before)

@@ -181,6 +181,6 @@ def extract_categories(pages: DataFrame, known: DataFrame, key: str = "page_id")
 def explore_homepage(pages: DataFrame, known: DataFrame, key: str = "page_id") -> DataFrame:
     """Links on a homepage that are known products, repeats of neighbours
     counted once."""
-    found = lk.drop_consecutive_dups(lk.homepage_links(pages), [key])
+    found = lk.homepage_links(pages, drop_repeats=True)
     absolute = found.withColumn("url", lk.resolve_url(F.col("href"), F.col("url")))
     return lk.known_urls(absolute.select(key, "pos", "url"), known)

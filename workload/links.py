@@ -40,7 +40,7 @@ _LINKS_SQL = f"""
 
 
 def page_links(spark, sf_dir):
-    found = lk.drop_consecutive_dups(lk.links(pages(spark, sf_dir)), ["page_id"])
+    found = lk.links(pages(spark, sf_dir), drop_repeats=True)
     return found.select(
         "page_id",
         "pos",
@@ -117,6 +117,54 @@ def drop_consecutive_dups(spark, sf_dir):
     )
 
 
+@query(
+    "lnk3_drop_repeats_in_row",
+    f"SELECT {_LINE}, pos, href FROM ({_HOME_LINKS}) WHERE pos = 0 OR pos > l_linenumber % 3",
+)
+def drop_repeats_in_row(spark, sf_dir):
+    """The same within each page's row: repeated lines are pages of their own."""
+    found = lk.homepage_links(home_pages(spark, sf_dir), drop_repeats=True)
+    return found.select(*_LINE.split(", "), c("pos").cast("bigint").alias("pos"), "href")
+
+
+# Markup as it is found: targets in other attributes, quoted brackets, raw text,
+# comments, templates, nested sections. %P and %S stand for a part's key and size.
+_UNTIDY = """<header><p><a href="/h%P">h</a></header><NAV class="x > y"><nav><a href="/n1">n</a></nav><a href="/n2">still in</a></NAV>
+<a onclick="go('x', href='/fake')" href="/real/%P">r</a><a title="5 > 3" HREF='/gt/%S'>g</a>
+<a href="/s&aring;&#229;&#xE5;/%S?a=1&amp;b=2&copy=3">e</a><!-- <a href="/no1"> --><script>x = "<a href='/no2'>"</script>
+<template><a href="/no3">t</a></template><textarea><a href="/no4"></textarea>
+<div data-x="<a href=/no5>"><a data-href="/no6" href=/bare/%P x>b</a></div>
+<div><nav><div><a href="/n3"><div></a></div></div><a href="/n4">still in</a></nav><a href="/out">o</a></div>
+<a name="n">none</a><a href="#top">top</a><a href>empty</a><footer><a href="/f">f</a>"""
+_UNTIDY_LINKS = """
+    SELECT p_partkey AS page_id, u.pos AS pos, replace(replace(u.href, '%P', CAST(p_partkey AS STRING)), '%S', CAST(p_size AS STRING)) AS href, u.body AS body
+    FROM part, (VALUES (0, '/h%P', false), (1, '/n1', false), (2, '/n2', false), (3, '/real/%P', true), (4, '/gt/%S', true),
+      (5, '/sååå/%S?a=1&b=2&copy=3', true), (6, '/bare/%P', true), (7, '/n3', false), (8, '/n4', false), (9, '/out', true),
+      (10, '#top', true), (11, '', true), (12, '/f', false)) AS u(pos, href, body)"""
+
+
+def untidy_pages(spark, sf_dir):
+    html = F.lit(_UNTIDY)
+    for mark, value in {"%P": "p_partkey", "%S": "p_size"}.items():
+        html = F.replace(html, F.lit(mark), c(value).cast("string"))
+    return parts(spark, sf_dir).select(c("p_partkey").alias("page_id"), "url", html.alias("html"))
+
+
+@query("lnk1_untidy_links", f"SELECT page_id, CAST(pos AS BIGINT) AS pos, href FROM ({_UNTIDY_LINKS})")
+def untidy_links(spark, sf_dir):
+    return lk.links(untidy_pages(spark, sf_dir)).select("page_id", c("pos").cast("bigint").alias("pos"), "href")
+
+
+@query(
+    "lnk2_nested_sections",
+    f"""SELECT page_id, pos, href FROM (SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS pos, href
+        FROM ({_UNTIDY_LINKS}) WHERE body) WHERE href <> '#top'""",
+)
+def nested_sections(spark, sf_dir):
+    """Links outside all sections, however these nest; the numbers count the link to the page itself."""
+    return lk.homepage_links(untidy_pages(spark, sf_dir)).select("page_id", c("pos").cast("bigint").alias("pos"), "href")
+
+
 @query(
     "lnk4_resolve_url",
     f"""SELECT {_LINE}, pos, CASE WHEN href LIKE '//%' THEN 'https:' || href
