@@ -15,7 +15,8 @@ from collections import Counter
 from html import unescape
 from html.entities import html5
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
 
@@ -27,6 +28,8 @@ RAW = frozenset("script style textarea title xmp iframe noembed noframes noscrip
 FORMATTING = frozenset("a b big code em font i nobr s small strike strong tt u".split())
 # an end tag does not reach across these
 BARRIERS = frozenset("html table td th caption marquee object template".split())
+TABLE_PARTS = frozenset("table caption colgroup tbody td tfoot th thead tr".split())
+TABLE_BARRIERS = frozenset("html table template".split())
 # elements that an end tag of an ordinary element does not close
 SPECIAL = frozenset(
     """address article aside blockquote body button caption center col colgroup dd details dir div dl dt
@@ -35,6 +38,7 @@ SPECIAL = frozenset(
 )
 SECTIONS = frozenset(("header", "nav", "footer"))
 
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 _TAG = re.compile(
     r"""<(?:!--(?:-?>|.*?(?:--!?>|\Z))
          |[!?][^>]*+>?
@@ -82,6 +86,7 @@ class _Open:
         """An end tag. One that no open element answers is passed over."""
         if not self.count[name]:
             return
+        barriers = TABLE_BARRIERS if name in TABLE_PARTS else BARRIERS
         for i in range(len(self.names) - 1, -1, -1):
             at = self.names[i]
             if at == name:
@@ -90,50 +95,69 @@ class _Open:
                 self.count.subtract(self.names[i:stop])
                 del self.names[i:stop]
                 return
-            if at in BARRIERS or (at in SPECIAL and name not in SPECIAL and name not in FORMATTING):
+            if at in barriers or (at in SPECIAL and name not in SPECIAL and name not in FORMATTING):
                 return
 
 
-def anchors_of_text(html: str | None) -> list[dict] | None:
-    if html is None:
-        return None
-    found: list[dict] = []
+def anchors_of_text(html: str) -> tuple[list[str], list[bool]]:
+    """Targets in document order, and whether each is inside a section."""
+    targets: list[str] = []
+    sections: list[bool] = []
     elements = _Open()
+    count = elements.count
     at = 0
     while m := _TAG.search(html, at):
         at = m.end()
-        if not m["whole"]:  # a comment, or cut off by the end of the text
+        end, name, rest, whole = m.groups()
+        if not whole:  # a comment, or cut off by the end of the text
             continue
-        name = m["name"].lower()
-        if m["end"]:
+        name = name.lower()
+        if end:
             elements.close(name)
             continue
-        if name == "a" and not elements.count["template"]:
-            href = _href(m["rest"])
+        if name == "a" and not count["template"]:
+            href = _href(rest)
             if href is not None:
-                found.append({"href": href, "section": any(elements.count[x] for x in SECTIONS)})
+                targets.append(href)
+                sections.append(any(count[x] for x in SECTIONS))
         if name in RAW:
-            end = re.compile(rf"</{name}(?=[\s/>])", re.I).search(html, at)
-            at = end.start() if end else len(html)
+            close = _RAW_END[name].search(html, at)
+            at = close.start() if close else len(html)
         elif name not in VOID:
             elements.push(name)
-    return found
+    return targets, sections
 
 
-def _batch(html: pd.Series) -> pd.Series:
-    return html.map(anchors_of_text)
+def _batch(html: pa.Array) -> pa.Array:
+    sizes, targets, sections = [], [], []
+    for text in html.to_pylist():
+        if text is None:
+            sizes.append(None)
+            continue
+        own, inside = anchors_of_text(text)
+        targets += own
+        sections += inside
+        sizes.append(len(own))
+    held = pa.array(sizes, pa.int32())
+    ends = pc.cumulative_sum(pc.fill_null(held, 0))
+    starts = pa.concat_arrays([pa.array([0], pa.int32()), ends])
+    # a list that starts at NULL is NULL
+    known = pa.concat_arrays([pc.is_valid(held), pa.array([True])])
+    offsets = pc.if_else(known, starts, pa.scalar(None, pa.int32()))
+    rows = pa.StructArray.from_arrays([pa.array(targets, pa.string()), pa.array(sections, pa.bool_())], ["href", "section"])
+    return pa.ListArray.from_arrays(offsets, rows)
 
 
 # Workers receive this module by value, so it needs no install on executors.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def page_anchors(html: Column) -> Column:
+def page_anchors(html: Column | str) -> Column:
     """HTML -> ``array<struct<href, section>>`` in document order; NULL for NULL.
 
     Marked non-deterministic for the same reason as :func:`page_dom`.
     """
-    return F.pandas_udf(_batch, ANCHORS).asNondeterministic()(html)
+    return F.arrow_udf(_batch, ANCHORS).asNondeterministic()(html)
 
 
 def without_repeats(anchors: Column) -> Column:
