@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import re
 import sys
-from collections import Counter
 from html import unescape
 from html.entities import html5
 
@@ -71,60 +70,60 @@ def _href(rest: str) -> str | None:
     return None
 
 
-class _Open:
-    """The open elements, and how many of each name there are."""
-
-    def __init__(self) -> None:
-        self.names: list[str] = []
-        self.count: Counter = Counter()
-
-    def push(self, name: str) -> None:
-        self.names.append(name)
-        self.count[name] += 1
-
-    def close(self, name: str) -> None:
-        """An end tag. One that no open element answers is passed over."""
-        if not self.count[name]:
-            return
-        barriers = TABLE_BARRIERS if name in TABLE_PARTS else BARRIERS
-        for i in range(len(self.names) - 1, -1, -1):
-            at = self.names[i]
-            if at == name:
-                # a formatting element ends alone, others with all that they hold
-                stop = i + 1 if name in FORMATTING else len(self.names)
-                self.count.subtract(self.names[i:stop])
-                del self.names[i:stop]
-                return
-            if at in barriers or (at in SPECIAL and name not in SPECIAL and name not in FORMATTING):
-                return
+def _closed(names: list[str], name: str) -> list[str]:
+    """Take what an end tag closes off the open elements. There is one of that name."""
+    barriers = TABLE_BARRIERS if name in TABLE_PARTS else BARRIERS
+    for i in range(len(names) - 1, -1, -1):
+        at = names[i]
+        if at == name:
+            # a formatting element ends alone, others with all that they hold
+            stop = i + 1 if name in FORMATTING else len(names)
+            gone = names[i:stop]
+            del names[i:stop]
+            return gone
+        if at in barriers or (at in SPECIAL and name not in SPECIAL and name not in FORMATTING):
+            break
+    return []
 
 
 def anchors_of_text(html: str) -> tuple[list[str], list[bool]]:
     """Targets in document order, and whether each is inside a section."""
     targets: list[str] = []
     sections: list[bool] = []
-    elements = _Open()
-    count = elements.count
-    at = 0
-    while m := _TAG.search(html, at):
+    names: list[str] = []  # the open elements
+    count = dict.fromkeys(("template", *SECTIONS), 0)  # how many of a name are open
+    inside = at = 0
+    search = _TAG.search
+    while m := search(html, at):
         at = m.end()
         end, name, rest, whole = m.groups()
         if not whole:  # a comment, or cut off by the end of the text
             continue
         name = name.lower()
         if end:
-            elements.close(name)
+            if not count.get(name):  # no open element answers it
+                continue
+            if names[-1] == name:
+                names.pop()
+                gone = (name,)
+            else:
+                gone = _closed(names, name)
+            for g in gone:
+                count[g] -= 1
+                inside -= g in SECTIONS
             continue
         if name == "a" and not count["template"]:
             href = _href(rest)
             if href is not None:
                 targets.append(href)
-                sections.append(any(count[x] for x in SECTIONS))
+                sections.append(inside > 0)
         if name in RAW:
             close = _RAW_END[name].search(html, at)
             at = close.start() if close else len(html)
         elif name not in VOID:
-            elements.push(name)
+            names.append(name)
+            count[name] = count.get(name, 0) + 1
+            inside += name in SECTIONS
     return targets, sections
 
 

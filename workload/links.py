@@ -101,9 +101,8 @@ def homepage_links(spark, sf_dir):
 
 def _numbered_home(spark, sf_dir):
     """Homepages with a key of their own (lines repeat in the table)."""
-    pages_ = home_pages(spark, sf_dir)
     key = F.xxhash64(*_LINE.split(", "))
-    return pages_.dropDuplicates(_LINE.split(", ")).withColumn("page", key)
+    return home_pages(spark, sf_dir, distinct=True).withColumn("page", key)
 
 
 @query(

@@ -308,7 +308,7 @@ def extract_categories(spark, sf_dir):
 )
 def explore_homepage(spark, sf_dir):
     columns = ["l_orderkey", "l_suppkey", "l_partkey", "l_linenumber"]
-    pages = home_pages(spark, sf_dir).dropDuplicates(columns).withColumn("page_id", F.struct(*columns))
+    pages = home_pages(spark, sf_dir, distinct=True).withColumn("page_id", F.struct(*columns))
     known = numbered_lines(spark, sf_dir).where("l_partkey % 4 = 0").selectExpr(
         f"{HOME_ORIGIN} || '/p/' || CAST(l_partkey AS STRING) AS url"
     )

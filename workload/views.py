@@ -155,8 +155,8 @@ def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def home_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One small homepage per line: links in header, nav and footer, and in the
+def home_pages(spark: SparkSession, sf_dir: str, distinct: bool = False) -> DataFrame:
+    """One small homepage per line, or per ``distinct`` line: links in header, nav and footer, and in the
     main part a product linked ``1 + l_linenumber % 3`` times in a row, a link
     to the page itself, a supplier, and the product again."""
     html = """
@@ -165,9 +165,15 @@ def home_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         '<a href="#top">up</a><a href="//cdn.example.se/s/' || CAST(l_suppkey AS STRING) || '">s</a>' ||
         '<a href="../p/' || CAST(l_partkey AS STRING) || '">again</a></main>' ||
         '<footer><a href="/about">About</a></footer></body></html>'"""
-    return spread(numbered_lines(spark, sf_dir)).selectExpr(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", f"{HOME} AS url", f"{html} AS html"
-    )
+    key = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    lines = numbered_lines(spark, sf_dir)
+    if distinct:
+        # a number of partitions of its own: heavy work per row comes behind these narrow rows
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        lines = lines.select(*key).repartition(n, *key).dropDuplicates()
+    else:
+        lines = spread(lines)
+    return lines.selectExpr(*key, f"{HOME} AS url", f"{html} AS html")
 
 
 CARD_URL = "'https://shop.example.se/p/' || CAST(l_partkey AS STRING)"
