@@ -1,7 +1,7 @@
 """Stream jobs.
 
 State is keyed by single URLs, never by a whole run: a run may hold a large
-share of all rows.
+share of all rows. It lies in RocksDB, on disk.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from offerloom.operators.cascade import auto_extract
 from offerloom.plans.jobs import extract_by_shop
-from offerloom.operators.listings import first_sight
 from offerloom.operators.offers import clean_offer, stamp_offer
 from offerloom.operators.ranking import number_rows
 from offerloom.sinks.messages import popularity_message, publishable, to_messages
@@ -44,8 +43,9 @@ def stream_offers(
 
 def stream_frontier(requests: DataFrame, key: str = "unique_key") -> DataFrame:
     """First request per key, however late it is. Keys are remembered for as
-    long as the run's checkpoint lives: state ends with the run, not by time."""
-    return requests.dropDuplicates([key])
+    long as the run's checkpoint lives: state ends with the run, not by time, and
+    is kept on disk."""
+    return use_rocksdb(requests).dropDuplicates([key])
 
 
 def publish_batches(
@@ -82,68 +82,80 @@ def publish_batches(
     )
 
 
+def use_rocksdb(df: DataFrame) -> DataFrame:
+    """``df``, after choosing the state store that keeps state on disk, unless one is chosen."""
+    conf, name = df.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    if "RocksDB" not in conf.get(name, ""):
+        conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    return df
+
+
+def first_sights(cards: DataFrame) -> DataFrame:
+    """The cards of a stream that show a product of their run for the first time,
+    with the time of their batch as ``batch_at``; for output mode ``update``.
+
+    The state of a run and URL is the first card: the earliest batch's lowest
+    page and position. A batch looks up the keys it holds, however many came
+    before it, and lets those through whose first card is its own.
+    """
+    at = F.current_timestamp()  # the batch's, also when it is replayed
+    place = F.struct(F.col("page_number").isNull(), "page_number", F.col("position").isNull(), "position")
+    first = use_rocksdb(cards).select("run", "url", F.struct(at.alias("at"), place.alias("place")).alias("card"))
+    state = first.groupBy("run", "url").agg(F.min("card").alias("card"))
+    fresh = state.where(F.col("card.at") == F.current_timestamp())
+    return fresh.select("run", "url", "card.place.page_number", "card.place.position", F.col("card.at").alias("batch_at"))
+
+
 def stream_popularity(
     cards: DataFrame,
     path: str,
     checkpoint: str,
     trigger: dict | None = None,
-    buckets: int = 16,
 ) -> StreamingQuery:
     """First-sight rank of products per run, carried on across batches.
 
-    New products of a batch are numbered behind those of earlier batches. Ranks
-    go to ``<path>/ranks`` and the number of new products per run to
-    ``<path>/counts``, both overwritten per batch id, so a replayed batch leaves
-    no trace. The ranks of earlier batches are the memory of the stream; they
-    are laid out by a hash of the run, and a batch reads the folders of its own
-    runs only. No state is kept per run, which may hold any share of the rows.
+    New products of a batch go to ``<path>/new`` and are numbered behind those of
+    earlier batches. Ranks go to ``<path>/ranks`` and the products per run so far,
+    one row per run, to ``<path>/counts``, all overwritten per batch id, so a
+    replayed batch leaves no trace. A batch reads its own cards and the counts of
+    the batch before it, never the ranks. Numbers come from counts per page range,
+    so no run is in one task. Batches are told apart by their times: behind a clock
+    that has gone back a batch fails, rather than counting products twice.
     """
-    keys = ["run_bucket", "run", "url"]
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        seen = batch.select(
-            F.pmod(F.xxhash64("run"), F.lit(buckets)).cast("int").alias("run_bucket"),
-            "run",
-            "url",
-            "page_number",
-            "position",
-        )
-        fresh = first_sight(seen, keys, "page_number", "position")
+        out = f"{path}/ranks/batch_id={batch_id}"
+        run = dict(batch.dtypes)["run"]
+        # numbering reads them for counts and again for rows
+        new = f"{path}/new/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(new)
+        fresh = spark.read.schema(batch.schema).parquet(new)
+        ranked = number_rows(fresh, ["run"], "page_number", ["position", "url"], "popularity_index")
+        counts = f"run {run}, n bigint, batch_at timestamp"
         before = None
         if batch_id > 0:
-            types = dict(batch.dtypes)
-            history = spark.read.schema(
-                f"run {types['run']}, url string, batch_id bigint, run_bucket int"
-            ).parquet(f"{path}/ranks")
-            touched = [r[0] for r in seen.select("run_bucket").distinct().collect()]
-            earlier = history.where(
-                (F.col("batch_id") < batch_id) & F.col("run_bucket").isin(touched)
-            )
-            fresh = fresh.join(earlier.select(*keys), keys, "left_anti")
-            before = (
-                spark.read.schema(f"run {types['run']}, n bigint, batch_id bigint")
-                .parquet(f"{path}/counts")
-                .where(F.col("batch_id") < batch_id)
-                .groupBy("run")
-                .agg(F.sum("n").alias("_before"))
-            )
-        ranked = number_rows(
-            fresh, ["run"], "page_number", ["position", "url"], "popularity_index"
-        )
+            before = spark.read.schema(counts).parquet(f"{path}/counts/batch_id={batch_id - 1}")
+            start = before.select(F.col("run").alias("_run"), F.col("n").alias("_before"), F.col("batch_at").alias("_last"))
+            late = F.col("batch_at") <= F.col("_last")
+            shifted = F.when(
+                late, F.raise_error(F.lit("the clock went back behind the last batch")).cast("bigint")
+            ).otherwise(F.col("popularity_index") + F.coalesce("_before", F.lit(0)))
+            ranked = ranked.join(start, F.col("run").eqNullSafe(F.col("_run")), "left")
+            ranked = ranked.withColumn("popularity_index", shifted)
+        names = ["run", "url", "page_number", "position", "popularity_index"]
+        ranked.select(*names, "batch_at").write.mode("overwrite").parquet(out)
+        found = spark.read.schema(f"run {run}, batch_at timestamp").parquet(out)
+        found = found.groupBy("run").agg(F.count("*").alias("n"), F.max("batch_at").alias("batch_at"))
         if before is not None:
-            shifted = F.col("popularity_index") + F.coalesce("_before", F.lit(0))
-            ranked = ranked.join(before, "run", "left").withColumn("popularity_index", shifted)
-        out = f"{path}/ranks/batch_id={batch_id}"
-        ranked.select(
-            "run", "url", "page_number", "position", "popularity_index", "run_bucket"
-        ).hint("rebalance", "run_bucket").write.mode("overwrite").partitionBy("run_bucket").parquet(out)
-        spark.read.schema(f"run {dict(batch.dtypes)['run']}").parquet(out).groupBy("run").agg(
-            F.count("*").alias("n")
-        ).write.mode("overwrite").parquet(f"{path}/counts/batch_id={batch_id}")
+            both = found.unionByName(before).groupBy("run")
+            found = both.agg(F.sum("n").alias("n"), F.max("batch_at").alias("batch_at"))
+        found.write.mode("overwrite").parquet(f"{path}/counts/batch_id={batch_id}")
 
     return (
-        cards.writeStream.foreachBatch(each)
+        first_sights(cards)
+        .writeStream.outputMode("update")
+        .foreachBatch(each)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

@@ -244,6 +244,26 @@ def test_stream_popularity_restarts(spark, tmp_path):
     assert got == want
 
 
+def test_a_batch_of_the_popularity_stream_reads_only_itself(spark, tmp_path):
+    """Ten batches of the same size: rows read from files do not grow from batch to batch."""
+    paths = {k: str(tmp_path / k) for k in ("in", "out", "cp")}
+    for b in range(10):
+        rows = [(r, b, i, f"u{b}-{i}" if i % 2 else f"u{i}") for r in (1, 2) for i in range(20)] + [(None, b, 0, None)]
+        spark.createDataFrame(rows, CARDS).coalesce(1).write.mode("append").parquet(paths["in"])
+        source = spark.readStream.schema(CARDS).parquet(paths["in"])
+        query = streaming.stream_popularity(source, paths["out"], paths["cp"])
+        query.awaitTermination()
+        own = [p for p in query.recentProgress if p["numInputRows"]]
+        assert [p["numInputRows"] for p in own] == [41]
+        state = own[0]["stateOperators"][0]
+        assert "rocksdbBytesCopied" in state["customMetrics"]
+        # the counts a batch starts from: one row per run, whatever came before
+        assert spark.read.parquet(f"{paths['out']}/counts/batch_id={own[0]['batchId']}").count() == 3
+    ranks = spark.read.parquet(f"{paths['out']}/ranks").where("run = 1").collect()
+    assert sorted(r.popularity_index for r in ranks) == list(range(1, 10 * 10 + 10 + 1))
+    assert spark.read.parquet(f"{paths['out']}/ranks").where("run IS NULL").count() == 1
+
+
 def test_plans_keep_html_out_of_shuffles(spark):
     pages = spark.createDataFrame(
         [("https://a.se/1", "https://a.se/1", "<p></p>", 200, None)],
