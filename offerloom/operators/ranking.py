@@ -19,8 +19,10 @@ def number_rows(
     alias: str,
     width_bits: int = 8,
     block_bits: int = 12,
+    total: str | None = None,
 ) -> DataFrame:
-    """Add ``alias`` = 1..n per group, in order of ``coarse``, then ``fine``.
+    """Add ``alias`` = 1..n per group, in order of ``coarse``, then ``fine``, and
+    n itself as ``total``, if a name is given for it.
 
     A cut holds the rows of ``2**width_bits`` consecutive values of the integer
     ``coarse``, a block the counts of ``2**block_bits`` consecutive cuts. ``(coarse, fine)`` must be a total
@@ -49,21 +51,25 @@ def number_rows(
     blocks = (
         cuts.groupBy("_g", "_block")
         .agg(F.sum("_n").alias("_n"))
-        .select("_g", "_block", before("_n", ["_g"], "_block").alias("_b0"))
+        .select(
+            "_g",
+            "_block",
+            before("_n", ["_g"], "_block").alias("_b0"),
+            F.sum("_n").over(Window.partitionBy("_g")).alias("_all"),
+        )
     )
     starts = (
         cuts.withColumn("_c0", before("_n", ["_g", "_block"], "_cut"))
         .join(blocks, ["_g", "_block"])
-        .select("_g", "_cut", (F.col("_b0") + F.col("_c0")).alias("_start"))
+        .select("_g", "_cut", (F.col("_b0") + F.col("_c0")).alias("_start"), "_all")
     )
     inside = F.row_number().over(
         Window.partitionBy("_g", "_cut").orderBy(F.col(coarse).asc_nulls_last(), *fine)
     )
-    return (
-        rows.join(starts, ["_g", "_cut"])
-        .withColumn(alias, (inside + F.col("_start")).cast("bigint"))
-        .drop("_g", "_cut", "_start")
-    )
+    out = rows.join(starts, ["_g", "_cut"]).withColumn(alias, (inside + F.col("_start")).cast("bigint"))
+    if total is not None:
+        out = out.withColumn(total, F.col("_all").cast("bigint"))
+    return out.drop("_g", "_cut", "_start", "_all")
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -18,8 +18,18 @@ def _used(sizes: Column) -> Column:
     return F.when(stop > 0, F.slice(sizes, F.lit(1), stop.cast("int") - 1)).otherwise(sizes)
 
 
+# A number of combinations beyond this is only known to be larger.
+_MANY = 2**61
+
+
+def _times(a: Column, b: Column) -> Column:
+    """Product of two counts, at most ``_MANY``."""
+    over = a > F.floor(F.lit(_MANY) / F.greatest(b, F.lit(1)))
+    return F.when(b == 0, F.lit(0).cast("bigint")).when(over, F.lit(_MANY)).otherwise(a * b)
+
+
 def _product(sizes: Column) -> Column:
-    return F.aggregate(sizes, F.lit(1).cast("bigint"), lambda a, x: a * x)
+    return F.aggregate(sizes, F.lit(1).cast("bigint"), lambda a, x: _times(a, x.cast("bigint")))
 
 
 def _rest(sizes: Column, i: Column) -> Column:
@@ -35,9 +45,12 @@ def _valid_ranges(sizes: Column, invalid: Column | None, limit: int | None) -> C
 
     def prefix_range(p: Column) -> Column:
         start = F.aggregate(
-            F.transform(p, lambda x, i: x * _rest(sizes, i + 1)), F.lit(0).cast("bigint"), lambda a, x: a + x
+            F.transform(p, lambda x, i: _times(_rest(sizes, i + 1), x.cast("bigint"))),
+            F.lit(0).cast("bigint"),
+            lambda a, x: F.least(a + x, F.lit(_MANY)),
         )
-        return F.struct(start.alias("start"), (start + _rest(sizes, F.size(p))).alias("end"))
+        end = F.least(start + _rest(sizes, F.size(p)), F.lit(_MANY))
+        return F.struct(start.alias("start"), end.alias("end"))
 
     def fits(p: Column) -> Column:
         inside = F.zip_with(p, F.slice(sizes, F.lit(1), F.size(p)), lambda x, n: (x >= 0) & (x < n))
@@ -60,6 +73,11 @@ def _valid_ranges(sizes: Column, invalid: Column | None, limit: int | None) -> C
     ranges = F.aggregate(
         bad, first, lambda acc, r: add(acc, r["start"], r["end"]), lambda acc: add(acc, total, total)["out"]
     )
+    # beyond _MANY combinations have no number: nothing that is asked for may lie there
+    found = F.aggregate(ranges, F.lit(0).cast("bigint"), lambda a, r: a + r["count"])
+    short = total >= _MANY if not limit else (total >= _MANY) & (found < limit)
+    error = F.raise_error(F.lit("more option combinations than can be numbered")).cast(piece)
+    ranges = F.when(short, error).otherwise(ranges)
     if limit:
         ranges = F.transform(
             F.filter(ranges, lambda r: r["number"] < limit),
@@ -82,7 +100,9 @@ def variant_grid(
     ``options``. A product without parameters has one variant 0 without
     options; a product whose combinations are all invalid has none. Nothing is
     shuffled, and no row holds a grid: ranges of combination numbers become
-    chunks, chunks become rows, and ``limit`` cuts the ranges."""
+    chunks, chunks become rows, and ``limit`` cuts the ranges. A product of 2^61
+    combinations or more needs a ``limit`` that it can fill before the invalid
+    ones reach that far; else the job fails."""
     used = _used(F.col(sizes))
     bad = None
     if invalid is not None:

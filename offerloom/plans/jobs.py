@@ -112,7 +112,7 @@ def _ruled_cascade(pages: DataFrame, registry: Registry, shop: str) -> DataFrame
 
 
 def scrape_details(
-    requests: DataFrame, pages: DataFrame, registry: Registry | None = None
+    requests: DataFrame, pages: DataFrame, registry: Registry | None = None, store: str | None = None
 ) -> Details:
     """Captured product pages and their requests -> clean offers, rejected
     rows with reasons, and coverage per domain.
@@ -121,6 +121,11 @@ def scrape_details(
     the listing fields per ``request_url``, of which one row counts. The shop is
     the one that was asked, wherever the request ended. The HTML never reaches
     the join: pages are reduced to fields first.
+
+    Each of the three results is a plan of its own that starts at the pages. With
+    ``store``, a new folder in shared storage, the judged rows are written there
+    at once, accepted and rejected ones apart, and the results read them: the
+    pages are then read and parsed a single time.
     """
     registry = registry or default_registry()
     requests = first_per_key(requests, ["request_url"], [])
@@ -134,8 +139,13 @@ def scrape_details(
     cleaned = clean_offer(merged, registry)
     if "variant_group_url" not in cleaned.columns:
         cleaned = cleaned.withColumn("variant_group_url", F.lit(None).cast("string"))
-    ok = F.col("reject_reason").isNull()
-    offers = cleaned.where(ok).drop("reject_reason")
+    cleaned = cleaned.withColumn("accepted", F.col("reject_reason").isNull())
+    if store is not None:
+        cleaned.write.partitionBy("accepted").parquet(store)
+        # the partition column comes last, as in a plan that is not stored
+        cleaned = pages.sparkSession.read.schema(cleaned.schema).parquet(store)
+    ok = F.col("accepted")
+    offers = cleaned.where(ok).drop("reject_reason", "accepted")
     rejected = cleaned.where(~ok).select("request_url", "url", "reject_reason")
     asked = requests.select(F.col("request_url").alias("url"))
     return Details(offers, rejected, coverage(asked, offers))

@@ -1,8 +1,9 @@
 """Messages as rows: one JSON payload per row, ready for any topic writer.
 
-A payload never holds more than ``size`` records. A job that fits in one
-payload yields exactly one message; a larger one yields numbered parts, so a
-job of any size is delivered whole without one task collecting it.
+Every job, of one row or of any number, is numbered parts of at most ``size``
+records. A payload says which part it is and how many there are, so a subscriber
+knows when it has a job whole, and a part that comes twice is told by its key
+(job, part, number of parts). No task collects a job.
 """
 
 from __future__ import annotations
@@ -23,56 +24,64 @@ def to_messages(
     context: Column | None = None,
     ranked: bool = False,
 ) -> DataFrame:
-    """``(job, part, n_rows, payload)`` with at most ``size`` rows a payload,
-    in order of the integer column ``order``, then ``tie``.
+    """``(job, part, n_parts, n_rows, payload)`` with at most ``size`` rows a
+    payload, in order of the integer column ``order``, then ``tie``.
 
-    ``ranked`` says that ``order`` is 1..n per job already, as popularity ranks
-    are; the rows then need no numbering.
+    Rows without an order value come last in their job. ``ranked`` says that
+    ``order`` is 1..n among the others already, as popularity ranks are; they
+    then need no numbering.
     """
-    record = F.struct(*[c for c in rows.columns if c != job])
+    record = F.struct(*[c for c in rows.columns if c != job]).alias("_r")
+    key = F.struct(F.col(job).alias("job")).alias("_j")  # never NULL, although the job may be
+    rows = rows.select(job, key, F.col(order).cast("bigint").alias("_order"), *[F.col(t).alias(f"_t{i}") for i, t in enumerate(tie)], record)
+    ties = [f"_t{i}" for i in range(len(tie))]
+    # those without an order value are dealt by a hash: many of them are not one cut
+    at = F.coalesce("_order", F.lit(2**62) + F.shiftleft(F.pmod(F.xxhash64(*ties), F.lit(2**16)), 8))
     if ranked:
-        numbered = rows.withColumn("_n", F.col(order).cast("bigint"))
+        counts = rows.groupBy("_j").agg(F.count("_order").alias("_known"), F.count("*").alias("_total"))
+        loose = number_rows(rows.where(F.col("_order").isNull()).withColumn("_at", at), ["_j"], "_at", ties, "_n").drop("_at")
+        firm = rows.where(F.col("_order").isNotNull()).withColumn("_n", F.col("_order"))
+        numbered = firm.unionByName(loose).join(counts, "_j")
+        place = F.col("_n") + F.when(F.col("_order").isNull(), F.col("_known")).otherwise(F.lit(0))
+        numbered = numbered.withColumn("_n", place)
     else:
-        # rows without an order value come last, dealt by a hash: many of them are not one cut
-        last = F.lit(2**62) + F.shiftleft(F.pmod(F.xxhash64(*tie), F.lit(2**16)), 8)
-        at = F.coalesce(F.col(order).cast("bigint"), last)
-        numbered = number_rows(rows.withColumn("_at", at), [job], "_at", tie, "_n")
+        numbered = number_rows(rows.withColumn("_at", at), ["_j"], "_at", ties, "_n", total="_total")
     job_context = F.struct(F.col(job).alias("jobId")) if context is None else context
+    parts = numbered.select(
+        job,
+        F.floor((F.col("_n") - 1) / size).alias("part"),
+        F.ceil(F.col("_total") / size).cast("bigint").alias("n_parts"),
+        F.struct(F.col("_n").alias("n"), F.col("_r").alias("r")).alias("_e"),
+    )
     return (
-        numbered.select(
-            job,
-            F.floor((F.col("_n") - 1) / size).alias("part"),
-            F.struct(F.col("_n").alias("n"), record.alias("r")).alias("_e"),
-        )
-        .groupBy(job, "part")
+        parts.groupBy(job, "part", "n_parts")
         .agg(F.sort_array(F.collect_list("_e")).alias("_e"))
         .select(
             job,
             "part",
+            "n_parts",
             F.size("_e").alias("n_rows"),
             F.to_json(
                 F.struct(
                     F.transform("_e", lambda e: e["r"]).alias(field),
                     job_context.alias("jobContext"),
+                    F.col("part"),
+                    F.col("n_parts").alias("nParts"),
                 )
             ).alias("payload"),
         )
     )
 
 
-# A popularity or update payload takes a whole job in the usual case.
-WHOLE_JOB = 10_000
-
-
 def popularity_message(
-    rows: DataFrame, size: int = WHOLE_JOB, job: str = "job_id", ranked: bool = False
+    rows: DataFrame, size: int = 1000, job: str = "job_id", ranked: bool = False
 ) -> DataFrame:
     """Popularity data of a job."""
     return to_messages(rows, "popularity_index", ["url"], size, job, ranked=ranked)
 
 
 def update_message(
-    offers: DataFrame, order: str, tie: list[str], size: int = WHOLE_JOB, job: str = "job_id"
+    offers: DataFrame, order: str, tie: list[str], size: int = 1000, job: str = "job_id"
 ) -> DataFrame:
     """Details of products that were known before; nothing for other jobs."""
     return to_messages(existing(offers), order, tie, size, job, field="productDetails")

@@ -324,6 +324,37 @@ def test_links_of_untidy_markup(spark):
     assert [r.href for r in lk.homepage_links(df).orderBy("pos").collect()] == ["/r", "/p?a=1&b=2", "/o'neil", "/z", "", "/bar"]
 
 
+def test_grids_too_large_to_number(spark):
+    """30^14 combinations, with a limit and invalid prefixes on either side of what can be numbered."""
+    sizes = [30] * 14
+    rows = [(1, sizes, None), (2, sizes, [[0] * 13 + [0], [0] * 13 + [2]]), (3, sizes, [[29] * 14, [5, 6, 7]])]
+    df = spark.createDataFrame(rows, "id int, option_counts array<int>, bad array<array<int>>")
+    got = va.variant_grid(df, invalid="bad", limit=3).orderBy("id", "variant").collect()
+    assert [r.options[-1] for r in got] == [0, 1, 2, 1, 3, 4, 0, 1, 2]
+    assert all(r.options[:-1] == [0] * 13 for r in got)
+    for bad, limit in (([[0]], 3), (None, None)):
+        one = spark.createDataFrame([(sizes, bad)], "option_counts array<int>, bad array<array<int>>")
+        with pytest.raises(Exception, match="more option combinations"):
+            va.variant_grid(one, invalid="bad", limit=limit).collect()
+
+
+def test_messages_of_any_job_carry_their_part_and_count(spark):
+    rows = [("a", i if i % 2 else None, f"u{i}") for i in range(1, 2501)] + [("b", 1, "x"), (None, None, "y")]
+    df = spark.createDataFrame(rows, "job_id string, popularity_index int, url string")
+    # odd places of "a" become 1..1250
+    ranked = df.withColumn("popularity_index", F.expr("CASE WHEN job_id = 'a' THEN (popularity_index + 1) div 2 ELSE popularity_index END").cast("int"))
+    for frame, flag in ((df, False), (ranked, True)):
+        out = sinks.to_messages(frame, "popularity_index", ["url"], 100, ranked=flag).collect()
+        parts = {(r.job_id, r.part): json.loads(r.payload) for r in out}
+        assert sorted(p for j, p in parts if j == "a") == list(range(25)) and all(r.n_rows <= 100 for r in out)
+        for (job, part), payload in parts.items():
+            assert (payload["part"], payload["nParts"]) == (part, 25 if job == "a" else 1)
+        urls = [x["url"] for (j, p) in sorted(k for k in parts if k[0] == "a") for x in parts[j, p]["productListings"]]
+        assert len(set(urls)) == 2500 and urls[:1250] == [f"u{i}" for i in range(1, 2501, 2)]
+    whole = sinks.popularity_message(df.where("job_id = 'a'"), size=10**6).collect()
+    assert [(r.part, r.n_parts, r.n_rows) for r in whole] == [(0, 1, 2500)]
+
+
 def test_variant_grid_never_builds_what_the_limit_cuts(spark):
     df = spark.createDataFrame([([30] * 6, [[0], [1, 2], [7, 7, 7, 7, 7, 7, 7], [99]])], "option_counts array<int>, bad array<array<int>>")
     got = va.variant_grid(df, invalid="bad", limit=3).orderBy("variant").collect()

@@ -102,6 +102,19 @@ def test_rules_and_cascade_share_one_pass(spark):
         assert plan.count("LogicalRDD") - plan.count("[domain#") <= sum(passes)
 
 
+def test_a_stored_job_reads_its_pages_once(spark, tmp_path):
+    jsonld = '<script type="application/ld+json">{"@type":"Product","name":"N","offers":{"price":5,"priceCurrency":"SEK"}}</script>'
+    pages = spark.createDataFrame([(f"https://a.se/{i}", f"https://a.se/{i}", jsonld if i % 2 else "<p>", 200) for i in range(6)], "request_url string, url string, html string, status int")
+    pages = pages.withColumn("fetched_at", F.lit("2024-01-01").cast("timestamp"))
+    requests = spark.createDataFrame([(f"https://a.se/{i}",) for i in range(6)], "request_url string")
+    plain, stored = plans.scrape_details(requests, pages), plans.scrape_details(requests, pages, store=str(tmp_path / "judged"))
+    for name in ("offers", "rejected", "coverage"):
+        a, b = getattr(plain, name), getattr(stored, name)
+        assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+        plan = b._jdf.queryExecution().executedPlan().toString()
+        assert "EvalPython" not in plan and "html" not in plan
+
+
 def test_extractors_with_clashing_columns_are_refused(spark):
     registry = Registry()
     registry.register_extractor("a.se", lambda f: f, "x int")

@@ -170,7 +170,7 @@ def _ranked(spark, sf_dir):
 
 _PAYLOAD = (
     "struct<productListings: array<struct<url: string, popularity_index: bigint>>,"
-    " jobContext: struct<jobId: bigint>>"
+    " jobContext: struct<jobId: bigint>, part: bigint, nParts: bigint>"
 )
 
 
@@ -182,6 +182,8 @@ def _read_back(messages, field="productListings", payload=_PAYLOAD):
         "job_id",
         "part",
         c("p.jobContext.jobId").alias("context_job"),
+        c("p.part").alias("own_part"),
+        c("p.nParts").alias("n_parts"),
         F.size(items).alias("n_rows"),
         F.get(items, 0)["url"].alias("first_url"),
         F.element_at(items, -1)["url"].alias("last_url"),
@@ -191,9 +193,10 @@ def _read_back(messages, field="productListings", payload=_PAYLOAD):
 
 def _messages_sql(size):
     return f"""
-        SELECT run AS job_id, CAST((popularity_index - 1) // {size} AS BIGINT) AS part, run AS context_job, CAST(count(*) AS INTEGER) AS n_rows,
+        SELECT run AS job_id, CAST((popularity_index - 1) // {size} AS BIGINT) AS part, run AS context_job,
+               CAST((popularity_index - 1) // {size} AS BIGINT) AS own_part, CAST(ceil(n / {size}) AS BIGINT) AS n_parts, CAST(count(*) AS INTEGER) AS n_rows,
                arg_min(url, popularity_index) AS first_url, arg_max(url, popularity_index) AS last_url,
-               CAST(max(popularity_index) AS BIGINT) AS last_rank FROM ({RANKED_SQL}) GROUP BY ALL"""
+               CAST(max(popularity_index) AS BIGINT) AS last_rank FROM (SELECT *, count(*) OVER (PARTITION BY run) AS n FROM ({RANKED_SQL})) GROUP BY ALL"""
 
 
 @query("snk2_to_messages", _messages_sql(100))
@@ -205,9 +208,30 @@ def to_messages(spark, sf_dir):
 
 @query("snk3_popularity_message", _messages_sql(10_000))
 def popularity_message(spark, sf_dir):
-    return _read_back(sinks.popularity_message(_ranked(spark, sf_dir), ranked=True))
+    return _read_back(sinks.popularity_message(_ranked(spark, sf_dir), 10_000, ranked=True))
 
 
+# A third of the rows has no order value, and one job holds most of them.
+_LOOSE = "CASE WHEN l_orderkey % 3 = 0 THEN l_orderkey * 8 + l_linenumber END"
+_LOOSE_JOB = "CASE WHEN l_suppkey % 4 = 0 THEN l_suppkey ELSE 1 END"
+
+
+@query(
+    "snk2_rows_without_order",
+    f"""SELECT job_id, CAST(part AS BIGINT) AS part, CAST(ceil(max(n) / 500) AS BIGINT) AS n_parts, CAST(count(*) AS INTEGER) AS n_rows,
+        count(popularity_index) AS n_known FROM (SELECT *, (place - 1) // 500 AS part FROM (
+          SELECT {_LOOSE_JOB} AS job_id, {_LOOSE} AS popularity_index, count(*) OVER (PARTITION BY {_LOOSE_JOB}) AS n,
+                 row_number() OVER (PARTITION BY {_LOOSE_JOB} ORDER BY {_LOOSE} NULLS LAST) AS place FROM lineitem)) GROUP BY job_id, part""",
+)
+def rows_without_order(spark, sf_dir):
+    """Payloads of at most 500 rows, also of the rows that have no order value."""
+    rows = table(spark, sf_dir, "lineitem").selectExpr(
+        f"{_LOOSE_JOB} AS job_id", f"{_LOOSE} AS popularity_index", "l_orderkey || '-' || l_linenumber || '-' || l_partkey AS url"
+    )
+    items = F.from_json("payload", "struct<productListings: array<struct<popularity_index: bigint>>>")["productListings"]
+    known = F.size(F.filter(items, lambda x: x["popularity_index"].isNotNull())).cast("bigint")
+    return sinks.to_messages(rows, "popularity_index", ["url"], 500).select("job_id", "part", "n_parts", "n_rows", known.alias("n_known"))
+
 @query(
     "snk4_update_message",
     f"""SELECT job_id, CAST(0 AS BIGINT) AS part, CAST(count(*) AS INTEGER) AS n_rows, arg_min(url, p_partkey) AS first_url FROM
@@ -217,7 +241,7 @@ def update_message(spark, sf_dir):
     rows = parts(spark, sf_dir).selectExpr(
         "p_size % 5 AS job_id", "url", "p_partkey", "CASE p_size % 3 WHEN 0 THEN 'new' WHEN 1 THEN 'match' END AS matching_type"
     )
-    out = sinks.update_message(rows, "p_partkey", ["url"])
+    out = sinks.update_message(rows, "p_partkey", ["url"], 10_000)
     payload = "struct<productDetails: array<struct<url: string>>>"
     return out.select(
         "job_id", "part", "n_rows",

@@ -204,7 +204,7 @@ def register_extractor(spark, sf_dir):
 # -- whole jobs -----------------------------------------------------------------------------
 
 
-def _job_a(spark, sf_dir):
+def _job_a(spark, sf_dir, store=None):
     """Requests for all parts; pages for nine of ten, some of them gone."""
     pages = product_pages(spark, sf_dir).where("page_id % 10 <> 0").select(
         c("url").alias("request_url"),
@@ -216,7 +216,7 @@ def _job_a(spark, sf_dir):
     requests = parts(spark, sf_dir).select(
         c("url").alias("request_url"), c("p_partkey").alias("popularity_index"), c("p_brand").alias("brand")
     )
-    return plans.scrape_details(requests, pages)
+    return plans.scrape_details(requests, pages, store=store)
 
 
 @query(
@@ -237,6 +237,21 @@ def scrape_details_rejected(spark, sf_dir):
     return _job_a(spark, sf_dir).rejected.select("request_url", "reject_reason")
 
 
+@query(
+    "job_scrape_details_stored",
+    f"""SELECT 'offer' AS kind, count(*) AS n FROM part WHERE {HAS_OFFER} AND p_partkey % 10 > 1
+        UNION ALL SELECT 'rejected', count(*) FROM part WHERE p_partkey % 10 = 1 OR (p_partkey % 10 > 1 AND NOT ({HAS_OFFER}))
+        UNION ALL SELECT 'asked', count(*) FROM part""",
+)
+def scrape_details_stored(spark, sf_dir):
+    """Offers, rejected rows and coverage from one extraction, whose rows are stored."""
+    job = _job_a(spark, sf_dir, scratch_dir(spark, "details"))
+    kinds = job.offers.select(F.lit("offer").alias("kind")).unionByName(job.rejected.select(F.lit("rejected").alias("kind")))
+    counts = kinds.groupBy("kind").agg(F.count("*").alias("n"))
+    asked = job.coverage.agg(F.sum("n_urls").alias("n"))
+    return counts.unionByName(asked.select(F.lit("asked").alias("kind"), "n"))
+
+
 _SHOP = "CASE p_size % 4 WHEN 0 THEN 'norliving.dk' WHEN 1 THEN 'k-rauta.se' WHEN 2 THEN 'own.example' ELSE 'unknown.se' END"
 _ASKED = f"'https://www.' || {_SHOP} || '/p/' || CAST(p_partkey AS STRING)"
 # some requests of a ruled shop end at another shop
