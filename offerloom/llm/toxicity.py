@@ -202,23 +202,24 @@ class Restorer:
         self.kinds: dict[str, str] = {}
         self.runs: dict[str, tuple[str, ...]] = {}
 
-    def spaced(self, tokens: list[str]) -> list[str]:
-        """Runs of short pieces in neighbouring tokens."""
-        kinds = list(map(self.kinds.get, tokens))
-        if None in kinds:
+    def kind(self, token: str) -> str:
+        found = self.kinds.get(token)
+        if found is None:
             if len(self.kinds) >= CACHE:
                 self.kinds.clear()
-            for i, k in enumerate(kinds):
-                if k is None:
-                    kinds[i] = self.kinds[tokens[i]] = _kind(tokens[i])
+            found = self.kinds[token] = _kind(token)
+        return found
+
+    def spaced(self, tokens: list[str]) -> list[tuple[int, str]]:
+        """Runs of short pieces in neighbouring tokens, each with its first token's place."""
         found = []
-        for m in _TOGETHER.finditer("".join(kinds)):
+        for m in _TOGETHER.finditer("".join(map(self.kind, tokens))):
             run = tokens[m.start(1) : m.end(1)]
             if m[1][0] != "A":
                 run[0] = _TRAIL.search(run[0])[0]
             if m[1][-1] != "A":
                 run[-1] = _LEAD.match(run[-1])[0]
-            found.append(" ".join(run))
+            found.append((m.start(1), " ".join(run)))
         return found
 
     def joined(self, run: str) -> tuple[str, ...]:
@@ -239,7 +240,7 @@ class Restorer:
 
     def tokens(self, text: str | None) -> list[str]:
         tokens = (text or "").lower().split()
-        return tokens + [w for run in self.spaced(tokens) for w in self.joined(run)]
+        return tokens + [w for _, run in self.spaced(tokens) for w in self.joined(run)]
 
     def words(self, token: str) -> tuple[str, ...]:
         found = self.cache.get(token)
@@ -325,11 +326,49 @@ def _weights(sample: DataFrame, model: CharacterModel) -> dict[str, float]:
     return {f: w for f, (w, _) in found.items() if f not in covered}
 
 
+def _gate(starts) -> re.Pattern:
+    """Finds the places of a lower-cased text where some reading may have a word with one of the starts.
+
+    A letter of a start is written by itself or by a character that the channel
+    lets stand for it, any number of times, with marks anywhere between (some are
+    separators, others are cut off a token's edge). No letter stands before the word, and none behind a start that is a whole word,
+    as letters never vanish. Matches are empty, so that none hides another.
+    """
+    letters: dict[str, str] = {}
+    for sign, read in LEET.items():
+        for c in read:
+            letters[c] = letters.get(c, "") + sign
+    # as a tree, so that a place is given up at the first character that fits no start
+    tree: dict = {}
+    for start in sorted(starts):
+        at = tree
+        for c in start:
+            at = at.setdefault(c, {})
+        at[""] = {}
+
+    def pattern(node: dict) -> str:
+        longer = []
+        for c, more in node.items():
+            if c == "$":
+                longer.append(r"(?![^\W\d_])")
+            elif c:
+                signs = re.escape(c + letters.get(c, ""))
+                longer.append(f"[{signs}][{signs}\\W_]*{pattern(more)}")
+        # a start that goes on as a longer one needs no look at that one
+        return "" if "" in node else "(?:" + "|".join(longer) + ")"
+
+    signs = "".join(sorted({x for c in tree for x in c + letters.get(c, "")}))
+    if not tree:
+        return re.compile(r"(?!)")
+    return re.compile(rf"(?=[{re.escape(signs)}])(?<![^\W\d_])(?={pattern(tree)})")
+
+
 class Weigher:
     """text -> the regression's inputs."""
 
     def __init__(self, model: CharacterModel, weights: dict[str, float]):
         self.restorer, self.weights = Restorer(model), weights
+        self.gate = _gate(weights)
         self.starts = {f[:3] for f in weights}
         self.cache: dict[str, float] = {}
 
@@ -369,16 +408,49 @@ class Weigher:
             at += len(piece)
         return False
 
-    def inputs(self, text: str | None) -> list[float]:
-        tokens = (text or "").lower().split()
-        held = list(map(self.cache.get, tokens))
-        if None in held:
-            held = [self.weight(t) if w is None else w for t, w in zip(tokens, held)]
-        found = [w for w in held if w]
-        for run in self.restorer.spaced(tokens):
+    def _window(self, tokens: list[str], i: int) -> tuple[int, int]:
+        """The tokens around the i-th that can be in one run of short pieces with it."""
+        kind = self.restorer.kind
+        first, last = i, i + 1
+        while first > 0:
+            first -= 1
+            if kind(tokens[first]) != "A":
+                break
+        while last < len(tokens):
+            last += 1
+            if kind(tokens[last - 1]) != "A":
+                break
+        return first, last
+
+    def found(self, text: str) -> tuple[list[float], int]:
+        """Weights that are not zero, of tokens and of runs of tokens, and the number of tokens.
+
+        Only what the gate finds is looked at: no other token or run weighs.
+        """
+        tokens = text.lower().split()
+        line = " ".join(tokens)
+        weights, seen, runs = [], -1, set()
+        i = at = done = 0
+        for m in self.gate.finditer(line):
+            start = m.start()
+            i, at = i + line.count(" ", at, start), start
+            if i > seen:  # a token counts once
+                seen = i
+                if w := self.weight(tokens[i]):
+                    weights.append(w)
+            # words that white space cuts into short pieces
+            if i >= done:
+                first, done = self._window(tokens, i)
+                runs.update((first + k, run) for k, run in self.restorer.spaced(tokens[first:done]))
+                done = max(done - 1, i + 1)
+        for _, run in sorted(runs):
             if self._can_weigh(run):
-                found += filter(None, (self._most((w,)) for w in self.restorer.joined(run)))
-        k, n = sum(found), len(tokens)
+                weights += filter(None, (self._most((w,)) for w in self.restorer.joined(run)))
+        return weights, len(tokens)
+
+    def inputs(self, text: str | None) -> list[float]:
+        found, n = self.found(text or "")
+        k = sum(found)
         return [1.0, math.log1p(k), math.log1p(100 * k / max(n, 1)), float(len(found) >= 2), math.log1p(n)]
 
 

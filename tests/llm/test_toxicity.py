@@ -1,11 +1,13 @@
 """Toxicity: the decoder on known obfuscation, held-out accuracy, and the rules for odd rows."""
 
 import os
+import random
+import re
 import zlib
 
 import pytest
 
-from offerloom.llm.toxicity import CharacterModel, Restorer, Weigher, _character_counts, _token_words, _sample, drop_toxic, score_toxicity
+from offerloom.llm.toxicity import _readings, CharacterModel, Restorer, Weigher, _character_counts, _token_words, _sample, drop_toxic, score_toxicity
 
 SF = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
 BAD, GOOD = ["wretched", "villain", "scoundrel"], ["garden", "meadow", "river", "sunlight", "harvest", "the", "of", "and"]
@@ -96,10 +98,60 @@ def test_every_separator_and_cut_of_the_channel_is_decoded(weigher):
     # the short cut for letters leaves out nothing that a full decoding finds
     full = Restorer(model)
     for text in [*noisy, "the and of a in", "ri ver", "do n't of the"]:
-        found = [w for run in full.spaced(text.split()) for w in full.joined(run)]
+        runs = [run for _, run in full.spaced(text.split())]
+        found = [w for run in runs for w in full.joined(run)]
         if any(weigher._most((w,)) for w in found):
-            assert all(weigher._can_weigh(r) for r in full.spaced(text.split()))
-
+            assert all(weigher._can_weigh(r) for r in runs)
+
+
+def everything(weigher, text):
+    """Weights of all tokens and all runs, without the gate."""
+    tokens = text.lower().split()
+    found = [weigher._most(_token_words(t, weigher.restorer.model)) for t in tokens]
+    found += [weigher._most((w,)) for _, run in weigher.restorer.spaced(tokens) for w in weigher.restorer.joined(run)]
+    return sorted(w for w in found if w)
+
+
+def test_gate_hides_nothing(weigher):
+    """Random noise of the channel's own characters around the words that weigh."""
+    rng = random.Random(11)
+    signs = list("abcdefilnorstuvw0134!|@$ .,-_*'~/&#%\n  ")
+    words = ["villain", "scoundrel", "wretched", "v1lla1n", "vi ll ai n", "sc0undrel", "w-r-e-t", "vil&&& lain", "ViLLain!!", "vvil", "(vil", "1vil"]
+    hits = 0
+    for _ in range(1500):
+        text = "".join(rng.choice(words) if rng.random() < 0.15 else rng.choice(signs) for _ in range(rng.randint(1, 40)))
+        found, n = weigher.found(text)
+        assert sorted(found) == everything(weigher, text), text
+        assert n == len(text.split())
+        hits += bool(found)
+    assert hits > 500
+    assert Weigher(weigher.restorer.model, {}).found("the villain") == ([], 2)
+
+
+def readings(token):
+    """All readings of a lattice, with the channel's cost, by enumeration."""
+    out = [("", 0.0)]
+    for m in re.finditer(r"(.)\1*", token + " ", re.S):
+        out = [(a + b, s + c) for a, s in out for b, c in _readings(m[1], len(m[0]))]
+    return out
+
+
+def likelihood(model, text):
+    score, state = 0.0, "  "
+    for c in text:
+        if c == " " and state[1] == " ":
+            continue
+        score += model.log(state + c)
+        state = "  " if c == " " else state[1] + c
+    return score
+
+
+def test_decoder_finds_the_best_of_all_readings(tables):
+    model = CharacterModel(_character_counts(tables[0]))
+    for token in ("v1ll", "w-r3t", "g@rd3n", "r.i v", "s((0un", "aa11!", "v!!l", "1", "the", "--", "o n"):
+        best = max(s + likelihood(model, t) for t, s in readings(token))
+        got = model.decode(token)
+        assert any(abs(s + likelihood(model, t) - best) < 1e-9 and t.strip() == got for t, s in readings(token)), token
 
 def test_sample_of_repeated_ids_is_bounded(spark, documents):
     picked = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
