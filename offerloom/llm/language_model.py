@@ -8,7 +8,9 @@ plus the class's bias, is that class's log weight. Within a shared class a
 token has the smoothed share of its corpus count, and one outcome stands for
 all unseen tokens, so that the probabilities of all outcomes add up to one.
 
-Counting covers all training rows. Training is data-parallel: every task takes
+Counting covers all training rows. Each text is then tokenised once more and
+stored as class ids, from which the model is trained and the text is scored.
+Training is data-parallel: every task takes
 noise-contrastive gradient steps over its own documents, and the parameters'
 mean, weighted by tokens, is a grouped aggregation. Scoring normalises over all
 classes by matrix products of whole blocks of contexts. Counts of tokens
@@ -20,6 +22,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -41,14 +44,17 @@ BATCH = 1024
 NOISE = 64
 RATE = 0.08
 SEED = 17
-#: Entries of a worker's counters and token blocks.
+#: Entries of a worker's counters, token table and token blocks.
 CACHE = 200_000
 
 
-def tokens_of(text: str | None) -> list[str]:
-    """Words between ASCII white space, A-Z lower-cased."""
-    raw = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    return [w.decode("utf-8", "surrogatepass") for w in raw]
+def tokens_of(text: str | None) -> list[bytes]:
+    """Words between ASCII white space, A-Z lower-cased, in UTF-8; the end is not among them."""
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+def _text(token: bytes) -> str:
+    return token.decode("utf-8", "surrogatepass")
 
 
 @dataclass
@@ -88,13 +94,13 @@ def _counts(docs: DataFrame) -> DataFrame:
         for frame in frames:
             for text in frame["text"]:
                 held.update(tokens_of(text))
-                held[END] += 1
+                held[END.encode()] += 1
                 if len(held) >= CACHE:
                     yield rows()
         yield rows()
 
-    counts = docs.select("text").mapInPandas(run, "token string, n long")
-    return counts.groupBy("token").agg(F.sum("n").alias("n"))
+    counts = docs.select("text").mapInPandas(run, "token binary, n long")
+    return counts.groupBy(F.col("token").cast("string").alias("token")).agg(F.sum("n").alias("n"))
 
 
 def _classes(counts: DataFrame) -> Classes:
@@ -162,34 +168,62 @@ class LogBilinear:
 
         def step(a, g, k):
             kept[k] += g * g
-            a -= RATE * g / np.sqrt(kept[k])
-
-        width = np.arange(self.target.shape[1])
-
-        def summed(rows, ids, values):
-            places = (ids[:, None] * len(width) + width).ravel()
-            return np.bincount(places, weights=values.ravel(), minlength=rows.size).reshape(rows.shape).astype(np.float32)
+            g *= RATE
+            g /= np.sqrt(kept[k])
+            a -= g
+
+        size, n_contexts, width = len(self.target), len(self.context), self.target.shape[1]
+        rows = 2 * n_contexts + size
+        # one step's large arrays, used again and again
+        places = np.empty((3 * BATCH + NOISE, width), np.int64)
+        values = np.empty((3 * BATCH + NOISE, width))
+        push = np.empty((BATCH, width), np.float32)
+        wrong = np.empty((BATCH, NOISE), np.float32)
+        column = np.arange(width)
 
         def logistic(x):
-            return (np.tanh(x / 2) + 1) / 2
-
+            """In place."""
+            x *= 0.5
+            np.tanh(x, out=x)
+            x += 1
+            x *= 0.5
+            return x
+
+        # where a class's sums begin: as the context before, as the one before that, as the target
+        starts = [x.astype(np.int64) * width + n * width for x, n in ((before1, 0), (before2, n_contexts), (target, 2 * n_contexts))]
         for at in range(0, len(target), BATCH):
             i, j, t = (x[at : at + BATCH] for x in (before2, before1, target))
-            drawn = np.minimum(np.searchsorted(edges, random.random(NOISE)), len(noise) - 1)
-            one, two = self.context[j], self.context[i]
-            h = one @ self.first + two @ self.second
-            true = np.einsum("bd,bd->b", h, self.target[t]) + self.bias[t] - log_noise[t]
-            false = h @ self.target[drawn].T + self.bias[drawn] - log_noise[drawn]
-            up = (logistic(true) - 1) / len(t)
-            down = logistic(false) / len(t)
-            gh = up[:, None] * self.target[t] + down @ self.target[drawn]
-            gt = summed(self.target, t, up[:, None] * h)
-            np.add.at(gt, drawn, down.T @ h)
-            gb = np.bincount(t, weights=up, minlength=len(self.bias)).astype(np.float32)
-            np.add.at(gb, drawn, down.sum(axis=0))
-            gc = summed(self.context, np.concatenate((j, i)), np.concatenate((gh @ self.first.T, gh @ self.second.T)))
-            step(self.first, one.T @ gh, 3)
-            step(self.second, two.T @ gh, 4)
+            n = len(t)
+            drawn = np.minimum(np.searchsorted(edges, random.random(NOISE)), size - 1)
+            h = (self.context @ self.first)[j]
+            h += (self.context @ self.second)[i]
+            own, others = self.target[t], self.target[drawn]
+            up = logistic(np.einsum("bd,bd->b", h, own) + (self.bias[t] - log_noise[t]))
+            up -= 1
+            up /= n
+            down = wrong[:n]
+            np.matmul(h, others.T, out=down)
+            down += self.bias[drawn] - log_noise[drawn]
+            logistic(down)
+            down /= n
+            # gradients of predictions, added up per context class before they meet the matrices
+            gh, v, p = push[:n], values[: 3 * n + NOISE], places[: 3 * n + NOISE]
+            np.matmul(down, others, out=gh)
+            own *= up[:, None]
+            gh += own
+            v[:n] = v[n : 2 * n] = gh
+            np.multiply(h, up[:, None], out=v[2 * n : 3 * n])
+            v[3 * n :] = down.T @ h
+            for k in range(3):
+                np.add(starts[k][at : at + n, None], column, out=p[k * n : k * n + n])
+            np.add((drawn * width + 2 * n_contexts * width)[:, None], column, out=p[3 * n :])
+            sums = np.bincount(p.ravel(), weights=v.ravel(), minlength=rows * width).reshape(rows, width).astype(np.float32)
+            by_first, by_second, gt = np.split(sums, [n_contexts, 2 * n_contexts])
+            gb = np.bincount(np.concatenate((t, drawn)), weights=np.concatenate((up, down.sum(axis=0))), minlength=size)
+            gc = by_first @ self.first.T
+            gc += by_second @ self.second.T
+            step(self.first, self.context.T @ by_first, 3)
+            step(self.second, self.context.T @ by_second, 4)
             step(self.context, gc, 0)
             step(self.target, gt, 1)
             step(self.bias, gb, 2)
@@ -232,43 +266,103 @@ class Scorer:
         return (own - self.norm[before2, before1]).astype(np.float64)
 
 
-def _sequences(classes: Classes, texts) -> Iterator[tuple]:
-    """Blocks of texts as (sizes, before2, before1, target, tokens)."""
-    start = classes.size
-    place: dict[str, int] = {}
-    sizes, before2, before1, target, words = [], [], [], [], []
+def _sequences(start: int, rows) -> Iterator[tuple]:
+    """Blocks of class arrays, one per text, as (sizes, before2, before1, target)."""
+    held: list[np.ndarray] = []
+    size = 0
 
     def block():
-        arrays = [np.concatenate(x).astype(np.int32) for x in (before2, before1, target)]
-        out = (list(sizes), *arrays, list(words))
-        for x in (sizes, before2, before1, target, words):
-            x.clear()
-        return out
-
-    held = 0
-    for text in texts:
-        own = tokens_of(text)
-        own.append(END)
-        if len(place) > CACHE:
-            place.clear()
-        for w in set(own):
-            if w not in place:
-                place[w] = classes.of(w)
-        k = np.array([start, start] + [place[w] for w in own], dtype=np.int32)
-        sizes.append(len(own))
-        before2.append(k[:-2])
-        before1.append(k[1:-1])
-        target.append(k[2:])
-        words.append(own)
-        held += len(own)
-        if held >= CACHE:
+        sizes = np.array([len(k) for k in held])
+        # two classes from before the text, then its own, for all texts in a row
+        flat = np.concatenate([x for k in held for x in (before, k)])
+        ends = np.cumsum(sizes + 2)
+        own = np.ones(len(flat), bool)
+        own[ends - sizes - 2] = own[ends - sizes - 1] = False
+        at = np.flatnonzero(own)
+        held.clear()
+        return sizes, flat[at - 2], flat[at - 1], flat[at]
+
+    before = np.array([start, start], np.int32)
+    for k in rows:
+        held.append(k)
+        size += len(k)
+        if size >= CACHE:
             yield block()
-            held = 0
-    if sizes:
+            size = 0
+    if held:
         yield block()
 
 
-def _train(docs: DataFrame, classes: Classes, rounds: int) -> LogBilinear:
+class _Tokens:
+    """What a worker knows of tokens: a row of numbers each, looked up once per token of a text."""
+
+    def __init__(self, classes: Classes):
+        self.of, known = classes.of, classes.counts
+        self.held = {t.encode("utf-8", "surrogatepass"): i for i, t in enumerate(known)}
+        self.places = dict(self.held)
+        self.room = len(known) + CACHE + 1
+        # with all counts at hand, a token without one is unseen; else its count comes from a join
+        unseen = np.log10(0.5) if len(known) == classes.distinct else 0.0
+
+        def column(own, other, dtype=float) -> np.ndarray:
+            return np.concatenate((np.array(list(own), dtype), np.full(CACHE + 1, other, dtype)))
+
+        logs = np.log10(np.array(list(known.values()), float) + 0.5)
+        self.kind = column(map(classes.of, known), 0, np.int32)
+        self.log = column(logs, unseen)
+        self.shared = column((0.0 if t in classes.own else x for t, x in zip(known, logs)), unseen)
+        self.seen = column([True] * len(known), False, bool)
+        self.open = column([False] * len(known), len(known) != classes.distinct, bool)
+
+    def _grow(self, more: int) -> None:
+        """Room for one text of more different tokens than a worker remembers."""
+        self.room += more
+        for name in ("kind", "log", "shared", "seen", "open"):
+            old = getattr(self, name)
+            setattr(self, name, np.concatenate((old, np.full(more, old[-1], old.dtype))))
+
+    def row(self, text: str | None) -> tuple:
+        own = tokens_of(text)
+        own.append(END.encode())
+        fresh = set(own).difference(self.places)
+        if len(self.places) + len(fresh) >= self.room:
+            self.places = dict(self.held)
+            fresh = set(own).difference(self.places)
+            self._grow(max(0, len(self.places) + len(fresh) + 1 - self.room))
+        if fresh:
+            first = len(self.places)
+            self.places.update(zip(fresh, range(first, first + len(fresh))))
+            self.kind[first : first + len(fresh)] = [self.of(_text(t)) for t in fresh]
+        at = np.fromiter(map(self.places.__getitem__, own), np.int32, len(own))
+        wanted = self.open[at]
+        rest = Counter(compress(own, wanted.tolist())) if wanted.any() else {}
+        sums = int(self.seen[at].sum()), float(self.log[at].sum()), float(self.shared[at].sum())
+        return len(own), *sums, _text(b" ".join(rest)), np.fromiter(rest.values(), np.int64, len(rest)), self.kind[at]
+
+
+def _encoded(docs: DataFrame, classes: Classes) -> DataFrame:
+    """Every text, tokenised once: its class ids, and its sums over the tokens whose counts are at hand.
+
+    ``rest`` holds the other tokens, a blank between two, and ``times`` how often
+    each occurs; their counts come from a join.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table = _Tokens(classes)
+        names = ["n_tokens", "n_known", "base", "inside", "rest", "times", "ids"]
+        for frame in frames:
+            rows = [table.row(text) for text in frame.pop("text")]
+            yield pd.concat([frame.reset_index(drop=True), pd.DataFrame(rows, columns=names)], axis=1)
+
+    schema = (
+        "doc_id long, held_out boolean, n_tokens long, n_known long, base double, inside double, "
+        "rest string, times array<long>, ids array<int>"
+    )
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (crc_mod("doc_id", 5) == 1).alias("held_out"), "text")
+    return stored(rows.mapInPandas(run, schema).withColumn("uid", F.monotonically_increasing_id()), "encoded")
+
+
+def _train(encoded: DataFrame, classes: Classes, rounds: int) -> LogBilinear:
     model = LogBilinear.start(classes)
     noise = (classes.totals + 0.5) / (classes.totals + 0.5).sum()
     names = [f"v{i}" for i in range(WIDTH + 1)]
@@ -282,7 +376,7 @@ def _train(docs: DataFrame, classes: Classes, rounds: int) -> LogBilinear:
             random = np.random.default_rng([SEED, k, context.partitionId() if context else 0])
             own = LogBilinear.of_rows(now.rows(), classes.size)
             seen = 0
-            for _, two, one, target, _ in _sequences(classes, (t for frame in frames for t in frame["text"])):
+            for _, two, one, target in _sequences(classes.size, (k for frame in frames for k in frame["ids"])):
                 order = random.permutation(len(target))
                 own.train(two[order], one[order], target[order], noise, random)
                 seen += len(target)
@@ -291,7 +385,7 @@ def _train(docs: DataFrame, classes: Classes, rounds: int) -> LogBilinear:
                 yield out.assign(row=np.arange(len(out)), weight=float(seen))
 
         schema = ", ".join(f"{n} double" for n in names) + ", row long, weight double"
-        parts = docs.select("text").mapInPandas(run, schema).groupBy("row")
+        parts = encoded.where(~F.col("held_out")).select("ids").mapInPandas(run, schema).groupBy("row")
         mean = parts.agg(*[(F.sum(n) / F.sum("weight")).alias(n) for n in names]).orderBy("row").toPandas()
         if len(mean):
             model = LogBilinear.of_rows(mean[names].to_numpy(), classes.size)
@@ -310,7 +404,8 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     train = short_batches(docs).where(crc_mod("doc_id", 5) != 1).select("text")
     counts = stored(_counts(train), "counts")
     classes = _classes(counts)
-    model = _train(train, classes, rounds)
+    encoded = _encoded(docs, classes)
+    model = _train(encoded, classes, rounds)
     norm = _all_normalisers(docs.sparkSession, model)
     mass = float(np.log10(classes.tokens + 0.5 * (classes.distinct + 1)))
     ten = float(np.log(10))
@@ -318,40 +413,19 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(model, norm)
         inner = np.array([0.0 if k < len(classes.own) else classes.inner(k) for k in range(classes.size)]) / ten
-        known = {t: float(np.log10(n + 0.5)) for t, n in classes.counts.items()}
-        whole = len(classes.counts) == classes.distinct  # then a token without a count is unseen
-        unseen = float(np.log10(0.5))
         for frame in frames:
-            done = 0
-            for sizes, two, one, target, words in _sequences(classes, frame["text"]):
+            sums = [np.zeros(0)]
+            for sizes, two, one, target in _sequences(classes.size, frame.pop("ids")):
                 logs = scorer.log_probabilities(two, one, target) / ten - inner[target]
-                ends = np.cumsum(sizes)
-                rows = []
-                for size, stop, own in zip(sizes, ends, words):
-                    base = held = 0.0
-                    n_known, rest = 0, []
-                    for w, n in Counter(own).items():
-                        c = known.get(w)
-                        if c is None and not whole:
-                            rest.append((w, n))
-                            continue
-                        n_known += n if c is not None else 0
-                        c = unseen if c is None else c
-                        base += n * c
-                        if w not in classes.own:
-                            held += n * c
-                    rows.append((size, n_known, base - size * mass, logs[stop - size : stop].sum() + held, rest))
-                part = frame.iloc[done : done + len(sizes)][["doc_id", "held_out"]].reset_index(drop=True)
-                done += len(sizes)
-                more = pd.DataFrame(rows, columns=["n_tokens", "n_known", "base_score", "score", "rest"])
-                yield pd.concat([part, more], axis=1)
-
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, rest array<struct<token:string,n:long>>"
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), (crc_mod("doc_id", 5) == 1).alias("held_out"), "text"
-    ).mapInPandas(run, schema)
-    rows = stored(rows.withColumn("uid", F.monotonically_increasing_id()), "scores")
-    rare = rows.select("uid", F.inline("rest")).join(counts.withColumnRenamed("n", "c"), "token", "left")
+                sums.append(np.add.reduceat(logs, np.cumsum(sizes) - sizes))  # no text is without its end
+            yield frame.assign(score=np.concatenate(sums))
+
+    names = ["uid", "doc_id", "held_out", "n_tokens", "n_known", "base", "inside"]
+    schema = "uid long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, inside double, score double"
+    rows = encoded.select(*names, "ids").mapInPandas(run, schema)
+    rows = rows.withColumn("base_score", F.col("base") - F.col("n_tokens") * F.lit(mass)).withColumn("score", F.col("score") + F.col("inside"))
+    rest = F.arrays_zip(F.split("rest", " ").alias("token"), F.col("times").alias("n"))
+    rare = encoded.where(F.size("times") > 0).select("uid", F.inline(rest)).join(counts.withColumnRenamed("n", "c"), "token", "left")
     c = F.coalesce("c", F.lit(0))
     log = F.col("n") * F.log10(c + F.lit(0.5))
     sums = rare.groupBy("uid").agg(

@@ -69,6 +69,13 @@ def test_probabilities_of_all_outcomes_add_up(spark):
         assert abs(share + 0.5 / np.exp(classes.inner(k)) - 1) < 1e-9
 
 
+def test_a_text_of_more_tokens_than_a_worker_remembers(spark, documents, monkeypatch):
+    monkeypatch.setattr(lm, "CACHE", 5)
+    monkeypatch.setattr(lm, "KNOWN", 0.05)
+    rows = [(i, " ".join(f"w{j % (3 + 7 * i)}" for j in range(40))) for i in range(12)] + [(20, "the " * 50)]
+    assert found(lm.score_texts(documents(rows))) == brute(rows)
+
+
 def test_nulls_repeats_and_empty(spark, documents):
     rows = [(1, None), (2, ""), (2, ""), (None, "A b\ta"), (4, "a  B"), (5, "é É x"), (7, "z " * 5000)]
     assert found(lm.score_texts(documents(rows))) == brute(rows)
