@@ -38,3 +38,24 @@ def test_each_stage_on_what_its_predecessor_kept(spark):
 def test_stages():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "simhash", "decontamination", "secrets", "packing"]
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="tables not present")
+@pytest.mark.parametrize("empty", [True, False])
+def test_odd_rows_pass_through_all_stages(spark, empty):
+    """NULL in any column, empty and long texts, repeated rows and ids, and no rows at all."""
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    words = "the meadow and the river of a garden in the harvest "
+    rows = [(1, None, None, None, None), (None, "a text", "en", "s", 6), (2, "", "en", "s", 0), (3, words * 3000, "en", "s", 1)]
+    rows += [(4, words + "alone", "en", "s", 9)] * 3 + [(4, "another text of the same id", None, "t", 1)]
+    docs = spark.createDataFrame([] if empty else rows, schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stored(stage(spark, docs, SF), name)
+        assert after.dtypes == docs.dtypes and after.exceptAll(docs).count() == 0, name
+        docs = after
+    kept = docs.collect()
+    if not empty:  # exact copies are one document; nothing else is like another
+        assert {r.text for r in kept} >= {words * 3000, words + "alone", "a text", "another text of the same id"}
+        assert sum(r.text == words + "alone" for r in kept) == 1
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert (pieces.count() == 0) == empty and pieces.count() >= len(kept)
