@@ -260,9 +260,14 @@ def menu_categories(pages: DataFrame, html: str = "html", url: str = "url") -> D
     )
 
 
-def by_domain(requests: DataFrame, url: str = "url", spread: int = 16) -> DataFrame:
-    """Requests laid out by domain. A domain is spread over up to ``spread``
-    partitions, so a dominant one does not end up in a single task."""
-    return requests.withColumn("domain", domain_of(F.col(url))).repartition(
-        F.col("domain"), F.pmod(F.xxhash64(F.col(url)), F.lit(spread))
-    )
+def by_domain(requests: DataFrame, url: str = "url", rows: int = 100_000) -> DataFrame:
+    """Requests laid out by domain. Domains are counted first, and one with more
+    than ``rows`` requests is dealt by its URLs over as many parts as it needs, so
+    a dominant domain has as many as it has work. Requests without a domain are
+    dealt like one."""
+    named = requests.withColumn("domain", domain_of(F.col(url)))
+    key = F.struct("domain")  # never NULL, although the domain may be
+    counts = named.groupBy(key.alias("_d")).agg(F.ceil(F.count("*") / F.lit(rows)).alias("_parts"))
+    dealt = named.withColumn("_d", key).join(counts, "_d")
+    dealt = dealt.withColumn("_part", F.pmod(F.xxhash64(F.col(url)), F.col("_parts")))
+    return dealt.repartition("domain", "_part").drop("_d", "_parts", "_part")

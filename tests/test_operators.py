@@ -324,6 +324,24 @@ def test_links_of_untidy_markup(spark):
     assert [r.href for r in lk.homepage_links(df).orderBy("pos").collect()] == ["/r", "/p?a=1&b=2", "/o'neil", "/z", "", "/bar"]
 
 
+def test_a_large_domain_gets_as_many_parts_as_it_needs(spark):
+    rows = [(f"https://big.se/{i}",) for i in range(4000)] + [(f"https://d{i}.se/",) for i in range(20)] + [(None,), ("x",)]
+    out = lk.by_domain(spark.createDataFrame(rows, "url string").repartition(5), rows=100)
+    assert out.columns == ["url", "domain"] and out.count() == len(rows)
+    with_conf = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        laid = lk.by_domain(spark.createDataFrame(rows, "url string"), rows=100).withColumn("p", F.spark_partition_id())
+        parts = laid.where("domain = 'big.se'").groupBy("p").count().collect()
+        assert len(parts) >= 8 and max(r["count"] for r in parts) <= 1500
+        small = laid.where("domain <> 'big.se'").groupBy("domain").agg(F.count_distinct("p").alias("n")).collect()
+        assert {r.n for r in small} == {1}
+    finally:
+        for k, v in with_conf.items():
+            spark.conf.set(k, v)
+
+
 def test_grids_too_large_to_number(spark):
     """30^14 combinations, with a limit and invalid prefixes on either side of what can be numbered."""
     sizes = [30] * 14
