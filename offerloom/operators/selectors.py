@@ -190,9 +190,16 @@ def select(dom: Column, path: Column, start: Column | None = None) -> Column:
     """Nodes that a compiled selector finds below ``start``, in document order."""
     begin = page_place() if start is None else start
 
+    def reach(places: Column, axis: Column) -> Column:
+        """The nodes that a step can arrive at: what is below the places, if it goes down."""
+        first = F.array_min(F.transform(places, lambda c: c["pos"]))
+        end = F.array_max(F.transform(places, lambda c: c["last"]))
+        below = F.slice(dom["nodes"], first + 2, F.least(end, F.size(dom["nodes"]) - 1) - first)
+        return F.when(axis.isin(" ", ">"), below).otherwise(dom["nodes"])
+
     def step(places: Column, s: Column) -> Column:
         found = F.filter(
-            dom["nodes"],
+            reach(places, s["axis"]),
             lambda n: _all(dom, n, s["tests"])
             & F.exists(places, lambda c: _related(s["axis"], c, n))
             & F.forall(
@@ -207,7 +214,8 @@ def select(dom: Column, path: Column, start: Column | None = None) -> Column:
                 != i["no"],
             ),
         )
-        return F.transform(found, place)
+        # where a step finds nothing, the ones behind it look for nothing
+        return F.when(F.size(places) == 0, places).otherwise(F.transform(found, place))
 
     places = F.aggregate(path, F.array(begin).cast(f"array<{PLACE}>"), step)
     return F.transform(F.filter(places, lambda p: p["pos"] >= 0), lambda p: F.get(dom["nodes"], p["pos"]))
