@@ -4,7 +4,7 @@ import time
 
 import pytest
 
-from offerloom.operators import links as lk
+from offerloom.operators import anchors, links as lk
 from offerloom.operators.anchors import anchors_of_text
 
 
@@ -72,3 +72,15 @@ def test_rows_in_order_without_a_shuffle(spark):
     for frame in (found, lk.links(df, [("^/[a-z]", "X")], drop_repeats=True)):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and "Window" not in plan and plan.count("EvalPython") == 1
+
+
+def test_ordinary_targets_are_read_without_walking_attributes(monkeypatch):
+    monkeypatch.setattr(anchors, "_href", None)
+    html = """<nav><a href="/n">n</a></nav><script>x = "<a href='/no'>"</SCRIPT><STYLE/><a href="/no"></style >
+      <a class="c" data-x="a > b" href="/p">p</a><a href="">e</a>"""
+    assert anchors_of_text(html) == (["/n", "/p", ""], [True, False, False])
+
+
+def test_raw_text_ends_at_its_own_end_tag():
+    html = '<textarea><a href="/1"></title></textareas></TextArea x><a href="/2"><title/><a href="/3"></title><scripts><a href="/4"><xmp><a href="/5">'
+    assert anchors_of_text(html)[0] == ["/2", "/4"]
