@@ -12,6 +12,10 @@ _SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
 _SAFE = r"[\x21\x23-\x3B\x3D\x3F-\x5B\x5D-\x5F\x61-\x7A\x7C\x7E]"
 _CLEAN = rf"^https?://[a-z0-9.\-]+/{_SAFE}*\z"
 _CLEAN_ROOTED = rf"^/(?!/){_SAFE}*\z"
+_CLEAN_HOSTED = rf"^//[a-z0-9.\-]+/{_SAFE}*\z"
+_CLEAN_BESIDE = rf"^[a-zA-Z0-9_~\-]+(?:\.[a-zA-Z0-9_~\-]+)*(?:[/?#]{_SAFE}*)?\z"
+_CLEAN_ABOVE = rf"^\.\./[a-zA-Z0-9_~\-]+(?:/[a-zA-Z0-9_~\-]+)*\z"
+_DEEP = r"^https?://[^/?#]+(?:/[^/?#]+)+/[^/?#]*(?:[?#]|\z)"
 _CLEAN_ORIGIN = r"^https?://[a-z0-9.\-]+(?:[/?#]|\z)"
 # Characters a browser escapes when it writes a URL out.
 _UNSAFE = r"\x00-\x20\"<>`{}\x7F-\uFFFF\x{10000}-\x{10FFFF}"
@@ -111,7 +115,7 @@ def normalise_url(url: Column, base: Column | None = None) -> Column:
             let(origin_of(base), lambda origin: _joined(u, base, origin))
         )
 
-    # most links need no work beyond one or two pattern tests
+    # most links need no work beyond a few pattern tests
     no_dots = ~F.contains(url, F.lit("/."))
     quick = F.when(no_dots & url.rlike(_CLEAN), url)
     if base is not None:
@@ -119,6 +123,19 @@ def normalise_url(url: Column, base: Column | None = None) -> Column:
             no_dots & url.rlike(_CLEAN_ROOTED) & base.rlike(_CLEAN_ORIGIN),
             F.concat(F.regexp_extract(base, r"^https?://[^/?#]+", 0), url),
         )
+        quick = quick.when(
+            no_dots & url.rlike(_CLEAN_HOSTED) & base.rlike(_CLEAN_ORIGIN), F.concat(F.substring_index(base, "//", 1), url)
+        )
+        # a name, or one folder up, from a page whose path is clean and at least that deep
+        clean_base = base.rlike(_CLEAN) & ~F.contains(base, F.lit("/.")) & ~F.contains(base, F.lit("//."))
+        quick = quick.when(
+            no_dots & url.rlike(_CLEAN_BESIDE) & clean_base,
+            F.concat(F.regexp_extract(base, r"^https?://[^?#]*/(?=[^/?#]*(?:[?#]|\z))", 0), url),
+        )
+        quick = quick.when(
+            url.rlike(_CLEAN_ABOVE) & clean_base & base.rlike(_DEEP),
+            F.concat(F.regexp_extract(base, r"^(https?://[^?#]*/)[^/?#]*/[^/?#]*(?:[?#]|\z)", 1), F.substring(url, 4, 2**31 - 1)),
+        )
     return quick.otherwise(let(let(trimmed, absolute), _rewrite))
 
 

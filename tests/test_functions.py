@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from offerloom import functions as fn
+from offerloom.functions import urls
 
 c = F.col
 
@@ -192,3 +193,37 @@ def test_falsy(value):
     assert value(fn.falsy_to_null(c("s"), T.LongType()), s=0) is None
     assert value(fn.falsy_to_null(c("s") == 1, T.BooleanType()), s=2) is None
     assert value(fn.falsy_to_null(c("s"), T.ArrayType(T.StringType())), s=[]) == []
+
+
+BASE = "https://shop.example.se/a/b/c?d=1"
+PLAIN_RELATIVE = {
+    "//cdn.example.se/s/1": "https://cdn.example.se/s/1",
+    "../p/1": "https://shop.example.se/a/p/1",
+    "x.html?a=b/c": "https://shop.example.se/a/b/x.html?a=b/c",
+    "p/2#top": "https://shop.example.se/a/b/p/2#top",
+}
+
+
+@pytest.mark.parametrize("url", PLAIN_RELATIVE)
+def test_plain_relative_forms_are_resolved_without_rewriting(value, monkeypatch, url):
+    monkeypatch.setattr(urls, "_rewrite", lambda u: F.lit("rewritten"))
+    assert value(urls.normalise_url(F.col("u"), F.col("b")), u=url, b=BASE) == PLAIN_RELATIVE[url]
+
+
+@pytest.mark.parametrize(
+    "url, base, expected",
+    [
+        ("../p", "https://a.se/x", "https://a.se/p"),
+        ("../p", "https://a.se//x/", "https://a.se//p"),
+        ("../../p", BASE, "https://shop.example.se/p"),
+        ("x:y", BASE, "x:y"),
+        ("a.b:y", BASE, "a.b:y"),
+        ("//A.se:443/x", BASE, "https://a.se/x"),
+        ("x/../y", BASE, "https://shop.example.se/a/b/y"),
+        ("p", "https://a.se", "https://a.se/p"),
+        ("p", "https://a.se?q=/z/", "https://a.se/p"),
+        ("p", "/x", None),
+    ],
+)
+def test_other_relative_forms(value, url, base, expected):
+    assert value(urls.normalise_url(F.col("u"), F.col("b")), u=url, b=base) == expected
