@@ -49,3 +49,17 @@ def test_steps_go_on_from_all_places(spark, selector, texts):
     dom = page.select(el.page_dom(F.col("h")).alias("d"))
     found = F.transform(select_text(F.col("d"), selector), lambda n: el.text_of(F.col("d"), n))
     assert dom.select(found).first()[0] == texts
+
+
+def test_category_pages_are_dealt_once_over_a_stated_number_of_tasks(spark, tmp_path):
+    from workload.shops import category_pages
+
+    columns = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double, l_discount double"
+    lines = [(1, 7, 3, 2, 1.0, 0.0), (1, 5, 3, 1, 1.0, 0.0), (2, 5, 3, 1, 1.0, 0.0), (None, 5, None, 1, 1.0, 0.0), (1, None, 3, 3, 1.0, 0.0)]
+    spark.createDataFrame(lines, columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    pages = category_pages(spark, str(tmp_path))
+    rows = {(r["run"], r["page_number"]): r["html"] for r in pages.collect() if r["html"] is not None}
+    assert sorted(rows) == [(3, 1), (3, 2)]
+    assert [p.split('"')[0] for p in rows[3, 1].split("/p/")[1:]] == ["5", "7"]
+    plan = pages._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange ") == plan.count("REPARTITION_BY_NUM") == 1

@@ -186,21 +186,26 @@ _CATEGORY = "'https://www.gardenstore.se/c/' || CAST(l_suppkey AS STRING)"
 def category_pages(spark, sf_dir):
     """``run, page_number, url, html``: an order is a page of a supplier's
     category, a line is a card, and every page has one card without a link."""
-    card = F.concat(
-        F.lit('<li class="item product-item"><strong class="product-item-name"> <a href="/p/'), c("l_partkey").cast("string"),
-        F.lit('">Part '), c("l_partkey").cast("string"), F.lit("</a></strong></li>"),
-    )
-    lines = numbered_lines(spark, sf_dir)
-    pages = lines.groupBy("l_suppkey", "l_orderkey").agg(
-        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", card.alias("card")))).alias("cards")  # a few lines per order
+    # narrow rows, heavy work behind them: as many tasks as the session shuffles into. Dealt
+    # before the grouping, which needs no other shuffle; behind it, the optimizer would drop
+    # the step and merge partitions until there are no more than cores.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = numbered_lines(spark, sf_dir).select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey")
+    pages = lines.repartition(tasks, "l_suppkey", "l_orderkey").groupBy("l_suppkey", "l_orderkey").agg(
+        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("cards")  # a few lines per order
     )
+
+    def card(x):
+        return F.concat(
+            F.lit('<li class="item product-item"><strong class="product-item-name"> <a href="/p/'), x["l_partkey"].cast("string"),
+            F.lit('">Part '), x["l_partkey"].cast("string"), F.lit("</a></strong></li>"),
+        )
+
     head = F.concat(
         F.lit('<div class="breadcrumbs"><ul><li><a href="/">Home</a></li><li><a href="/c/">All</a></li><li><strong>Supplier '),
         c("l_suppkey").cast("string"), F.lit('</strong></li></ul></div><ol><li class="product-item">ad</li>'),
     )
-    body = F.array_join(F.transform("cards", lambda x: x["card"]), "")
-    # narrow rows, heavy work behind them: as many tasks as the session shuffles into
-    pages = pages.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "l_suppkey", "l_orderkey")
+    body = F.array_join(F.transform("cards", card), "")
     return pages.select(
         c("l_suppkey").alias("run"),
         c("l_orderkey").alias("page_number"),
