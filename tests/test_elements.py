@@ -40,6 +40,17 @@ def test_ordinary_markup_needs_no_parser(monkeypatch):
     assert rows_of([html]) == [expected]
 
 
+def test_nodes_leave_the_worker_chunk_by_chunk(spark, monkeypatch):
+    monkeypatch.setattr(el, "CHUNK", 100)
+    html = [None, "<p>0</p>", "", "<b>" * 80, *(f"<i>{k}</i>" for k in range(40)), None]
+    sent = [*el._dom_batches(iter([pa.array([], pa.string()), pa.array(html, pa.string())]))]
+    assert len(sent) > 4 and max(map(len, sent)) < 15
+    assert pa.concat_arrays(sent).to_pylist() == el._dom_batch(pa.array(html, pa.string())).to_pylist()
+    pages = spark.createDataFrame([*enumerate(html)], "k int, h string").coalesce(1).select("k", "h", el.page_dom(F.col("h")).alias("d"))
+    rows = {r["k"]: r["d"] for r in pages.collect()}
+    assert [rows[k]["text"] for k in range(len(html))] == [(el.dom_of_text(h) or {"text": None})["text"] for h in html]
+
+
 @pytest.mark.parametrize(
     "selector, texts",
     [("b ~ i", ["2", "4"]), ("b + i", ["2", "4"]), ("u b", ["3"]), ("i ..", ["1234", "34"]), ("s u > b ~ i", ["4"]), ("q b", []), ("q ~ b", []), ("q ..", [])],
