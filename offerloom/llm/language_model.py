@@ -19,13 +19,13 @@ outside the most frequent ones come from a join on the token.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import compress
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,17 +44,34 @@ BATCH = 1024
 NOISE = 64
 RATE = 0.08
 SEED = 17
-#: Entries of a worker's counters, token table and token blocks.
+#: Tokens of a block that training and scoring take at a time.
 CACHE = 200_000
+#: Bytes of text that are tokenised at a time, and of tokens that a worker holds until it counts them.
+PIECE = 4_000_000
+HELD = 40_000_000
 
 
-def tokens_of(text: str | None) -> list[bytes]:
-    """Words between ASCII white space, A-Z lower-cased, in UTF-8; the end is not among them."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def tokens_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words between ASCII white space, A-Z lower-cased, of all texts in a row, and how many each has.
+
+    A text's end is not among them; a NULL text has no words.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    words = lists.flatten()
+    real = pc.greater(pc.binary_length(words), 0)  # around the words there are empty ones
+    before = np.concatenate(([0], np.cumsum(real.to_numpy(zero_copy_only=False))))
+    offsets = lists.offsets.to_numpy()
+    return words.filter(real), np.diff(before[offsets - offsets[0]])
 
 
-def _text(token: bytes) -> str:
-    return token.decode("utf-8", "surrogatepass")
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch's rows, in pieces of about PIECE bytes of text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
+    piece = np.cumsum(sizes, dtype=np.int64) // PIECE
+    edges = np.flatnonzero(np.diff(piece)) + 1
+    for at, end in zip([0, *edges], [*edges, len(sizes)]):
+        if end > at:
+            yield batch.slice(at, end - at)
 
 
 @dataclass
@@ -83,23 +100,25 @@ class Classes:
 
 
 def _counts(docs: DataFrame) -> DataFrame:
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: Counter = Counter()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Array] = []
+        ends = 0
 
-        def rows() -> pd.DataFrame:
-            out = pd.DataFrame({"token": pd.Series(list(held), dtype=object), "n": np.fromiter(held.values(), np.int64)})
+        def rows() -> pa.RecordBatch:
+            found = pc.value_counts(pa.chunked_array(held, pa.string()))
             held.clear()
-            return out
+            return pa.RecordBatch.from_arrays([found.field(0).cast(pa.binary()), found.field(1)], ["token", "n"])
 
-        for frame in frames:
-            for text in frame["text"]:
-                held.update(tokens_of(text))
-                held[END.encode()] += 1
-                if len(held) >= CACHE:
+        for batch in batches:
+            ends += batch.num_rows
+            for piece in _pieces(batch):
+                held.append(tokens_of(piece.column("text"))[0])
+                if sum(words.nbytes for words in held) >= HELD:
                     yield rows()
         yield rows()
+        yield pa.RecordBatch.from_arrays([pa.array([END.encode()], pa.binary()), pa.array([ends], pa.int64())], ["token", "n"])
 
-    counts = docs.select("text").mapInPandas(run, "token binary, n long")
+    counts = docs.select("text").mapInArrow(run, "token binary, n long").where("n > 0")
     return counts.groupBy(F.col("token").cast("string").alias("token")).agg(F.sum("n").alias("n"))
 
 
@@ -162,71 +181,79 @@ class LogBilinear:
 
     def train(self, before2, before1, target, noise: np.ndarray, random) -> None:
         """One pass of noise-contrastive steps, Adagrad, over aligned class arrays."""
+        size, (n_contexts, width) = len(self.target), self.context.shape
         log_noise = np.log(noise * NOISE).astype(np.float32)
         edges = np.cumsum(noise)
-        kept = [np.full_like(a, 1e-3) for a in (self.context, self.target, self.bias, self.first, self.second)]
-
-        def step(a, g, k):
-            kept[k] += g * g
+        # class vectors with their biases, and the matrices of both places, are a matrix each;
+        # zeros that stay zeros make the rows of the first a length that products are fast at
+        wide = width // 4 * 4 + 4
+        context, outcome = self.context, np.zeros((size, wide), np.float32)
+        outcome[:, :width], outcome[:, width] = self.target, self.bias
+        both = np.concatenate((self.first, self.second), axis=1)
+        states = [(a, np.full_like(a, 1e-3), np.empty_like(a)) for a in (context, outcome, both)]
+
+        def step(k, g):
+            a, kept, root = states[k]
+            kept += np.multiply(g, g, out=root)
+            np.sqrt(kept, out=root)
             g *= RATE
-            g /= np.sqrt(kept[k])
+            g /= root
             a -= g
 
-        size, n_contexts, width = len(self.target), len(self.context), self.target.shape[1]
-        rows = 2 * n_contexts + size
         # one step's large arrays, used again and again
-        places = np.empty((3 * BATCH + NOISE, width), np.int64)
-        values = np.empty((3 * BATCH + NOISE, width))
-        push = np.empty((BATCH, width), np.float32)
+        h, own = np.zeros((2, BATCH, wide), np.float32)
+        h[:, width] = 1
+        before = np.empty((BATCH, width), np.float32)
         wrong = np.empty((BATCH, NOISE), np.float32)
-        column = np.arange(width)
-
-        def logistic(x):
-            """In place."""
-            x *= 0.5
-            np.tanh(x, out=x)
-            x += 1
-            x *= 0.5
-            return x
-
-        # where a class's sums begin: as the context before, as the one before that, as the target
-        starts = [x.astype(np.int64) * width + n * width for x, n in ((before1, 0), (before2, n_contexts), (target, 2 * n_contexts))]
+        push, push_places = np.empty((2, BATCH, width)), np.empty((2, BATCH, width), np.int64)
+        pull, pull_places = np.empty((BATCH + NOISE, wide)), np.empty((BATCH + NOISE, wide), np.int64)
+        # where a class's sums lie: as the context before, as the one before that, as the outcome
+        first_cells = np.arange(n_contexts)[:, None] * (2 * width) + np.arange(width)
+        second_cells = first_cells + width
+        outcome_cells = np.arange(size * wide).reshape(size, wide)
+
+        def take(a, rows, out):
+            return np.take(a, rows, axis=0, out=out, mode="clip")
+
         for at in range(0, len(target), BATCH):
             i, j, t = (x[at : at + BATCH] for x in (before2, before1, target))
             n = len(t)
+            if n < BATCH:
+                h, own, before, wrong, pull, pull_places = h[:n], own[:n], before[:n], wrong[:n], pull[: n + NOISE], pull_places[: n + NOISE]
+                push, push_places = np.empty((2, n, width)), np.empty((2, n, width), np.int64)
             drawn = np.minimum(np.searchsorted(edges, random.random(NOISE)), size - 1)
-            h = (self.context @ self.first)[j]
-            h += (self.context @ self.second)[i]
-            own, others = self.target[t], self.target[drawn]
-            up = logistic(np.einsum("bd,bd->b", h, own) + (self.bias[t] - log_noise[t]))
+            np.add(take(context @ both[:, :width], j, before), (context @ both[:, width:])[i], out=h[:, :width])
+            take(outcome, t, own)
+            # a logistic function is half of one plus the tanh of the half
+            up = np.tanh((np.einsum("bd,bd->b", h, own) - log_noise[t]) * 0.5)
             up -= 1
-            up /= n
-            down = wrong[:n]
-            np.matmul(h, others.T, out=down)
-            down += self.bias[drawn] - log_noise[drawn]
-            logistic(down)
-            down /= n
+            up *= 0.5 / n
+            others = outcome[drawn]
+            others[:, width] -= log_noise[drawn]
+            others *= 0.5
+            down = np.matmul(h, others.T, out=wrong)
+            np.tanh(down, out=down)
+            down += 1
             # gradients of predictions, added up per context class before they meet the matrices
-            gh, v, p = push[:n], values[: 3 * n + NOISE], places[: 3 * n + NOISE]
-            np.matmul(down, others, out=gh)
+            gh = np.matmul(down, others[:, :width] / n, out=before)
             own *= up[:, None]
-            gh += own
-            v[:n] = v[n : 2 * n] = gh
-            np.multiply(h, up[:, None], out=v[2 * n : 3 * n])
-            v[3 * n :] = down.T @ h
-            for k in range(3):
-                np.add(starts[k][at : at + n, None], column, out=p[k * n : k * n + n])
-            np.add((drawn * width + 2 * n_contexts * width)[:, None], column, out=p[3 * n :])
-            sums = np.bincount(p.ravel(), weights=v.ravel(), minlength=rows * width).reshape(rows, width).astype(np.float32)
-            by_first, by_second, gt = np.split(sums, [n_contexts, 2 * n_contexts])
-            gb = np.bincount(np.concatenate((t, drawn)), weights=np.concatenate((up, down.sum(axis=0))), minlength=size)
-            gc = by_first @ self.first.T
-            gc += by_second @ self.second.T
-            step(self.first, self.context.T @ by_first, 3)
-            step(self.second, self.context.T @ by_second, 4)
-            step(self.context, gc, 0)
-            step(self.target, gt, 1)
-            step(self.bias, gb, 2)
+            gh += own[:, :width]
+            push[:] = gh
+            take(first_cells, j, push_places[0])
+            take(second_cells, i, push_places[1])
+            by_place = np.bincount(push_places.ravel(), weights=push.ravel(), minlength=n_contexts * 2 * width)
+            by_place = by_place.reshape(n_contexts, 2 * width).astype(np.float32)
+            np.multiply(h, up[:, None], out=pull[:n])
+            np.multiply(down.T @ h, 0.5 / n, out=pull[n:])
+            take(outcome_cells, t, pull_places[:n])
+            take(outcome_cells, drawn, pull_places[n:])
+            gt = np.bincount(pull_places.ravel(), weights=pull.ravel(), minlength=size * wide)
+            gc = by_place @ both.T
+            step(2, context.T @ by_place)
+            step(0, gc)
+            step(1, gt.reshape(size, wide).astype(np.float32))
+        for name, a in (("target", outcome[:, :width]), ("bias", outcome[:, width]), ("first", both[:, :width]), ("second", both[:, width:])):
+            setattr(self, name, np.ascontiguousarray(a))
 
 
 def normalisers(model: LogBilinear, before2: np.ndarray) -> np.ndarray:
@@ -294,50 +321,63 @@ def _sequences(start: int, rows) -> Iterator[tuple]:
 
 
 class _Tokens:
-    """What a worker knows of tokens: a row of numbers each, looked up once per token of a text."""
+    """What a worker knows of tokens: a row of numbers each, looked up once per different token of a piece of texts."""
 
     def __init__(self, classes: Classes):
-        self.of, known = classes.of, classes.counts
-        self.held = {t.encode("utf-8", "surrogatepass"): i for i, t in enumerate(known)}
-        self.places = dict(self.held)
-        self.room = len(known) + CACHE + 1
+        known, self.end = classes.counts, classes.of(END)
+        self.tokens = pa.array(list(known), pa.string())
+        self.starts = pa.array(list(classes.shared), pa.string())
+        # the last class is that of tokens without a start of their own
+        self.start_kinds = np.array([*classes.shared.values(), len(classes.own)], np.int32)
         # with all counts at hand, a token without one is unseen; else its count comes from a join
-        unseen = np.log10(0.5) if len(known) == classes.distinct else 0.0
-
-        def column(own, other, dtype=float) -> np.ndarray:
-            return np.concatenate((np.array(list(own), dtype), np.full(CACHE + 1, other, dtype)))
-
+        complete = len(known) == classes.distinct
+        unseen = np.log10(0.5) if complete else 0.0
         logs = np.log10(np.array(list(known.values()), float) + 0.5)
-        self.kind = column(map(classes.of, known), 0, np.int32)
-        self.log = column(logs, unseen)
-        self.shared = column((0.0 if t in classes.own else x for t, x in zip(known, logs)), unseen)
-        self.seen = column([True] * len(known), False, bool)
-        self.open = column([False] * len(known), len(known) != classes.distinct, bool)
-
-    def _grow(self, more: int) -> None:
-        """Room for one text of more different tokens than a worker remembers."""
-        self.room += more
-        for name in ("kind", "log", "shared", "seen", "open"):
-            old = getattr(self, name)
-            setattr(self, name, np.concatenate((old, np.full(more, old[-1], old.dtype))))
-
-    def row(self, text: str | None) -> tuple:
-        own = tokens_of(text)
-        own.append(END.encode())
-        fresh = set(own).difference(self.places)
-        if len(self.places) + len(fresh) >= self.room:
-            self.places = dict(self.held)
-            fresh = set(own).difference(self.places)
-            self._grow(max(0, len(self.places) + len(fresh) + 1 - self.room))
-        if fresh:
-            first = len(self.places)
-            self.places.update(zip(fresh, range(first, first + len(fresh))))
-            self.kind[first : first + len(fresh)] = [self.of(_text(t)) for t in fresh]
-        at = np.fromiter(map(self.places.__getitem__, own), np.int32, len(own))
-        wanted = self.open[at]
-        rest = Counter(compress(own, wanted.tolist())) if wanted.any() else {}
-        sums = int(self.seen[at].sum()), float(self.log[at].sum()), float(self.shared[at].sum())
-        return len(own), *sums, _text(b" ".join(rest)), np.fromiter(rest.values(), np.int64, len(rest)), self.kind[at]
+        self.kind = np.array([*map(classes.of, known), 0], np.int32)
+        self.log = np.array([*logs, unseen])
+        self.shared = np.array([*(0.0 if t in classes.own else x for t, x in zip(known, logs)), unseen])
+        self.seen = np.array([True] * len(known) + [False])
+        self.open = np.array([False] * len(known) + [not complete])
+
+    def columns(self, texts: pa.Array) -> list[pa.Array]:
+        """n_tokens, n_known, base, inside, rest, times and ids of every text."""
+        words, sizes = tokens_of(texts)
+        coded = words.dictionary_encode()
+        different = pa.concat_arrays([coded.dictionary, pa.array([END])])
+        end = len(different) - 1
+        # every text's tokens, with its end behind them
+        sizes = sizes + 1
+        ends = np.cumsum(sizes)
+        own = np.full(ends[-1], end, np.int64)
+        inner = np.ones(len(own), bool)
+        inner[ends - 1] = False
+        own[inner] = coded.indices.to_numpy()
+        rows = _places(different, self.tokens)
+        kinds = self.kind[rows]
+        rare = np.flatnonzero(rows == len(self.tokens))
+        starts = pc.utf8_slice_codeunits(different.take(pa.array(rare)), 0, 2)
+        kinds[rare] = self.start_kinds[_places(starts, self.starts)]
+        kinds[end] = self.end
+
+        def sums(column: np.ndarray) -> pa.Array:
+            return pa.array(np.add.reduceat(column[rows][own], ends - sizes, dtype=column.dtype if column.dtype != bool else np.int64))
+
+        # the tokens whose counts are not at hand: text by text, how often each occurs
+        at = np.flatnonzero(self.open[rows][own])
+        text = np.repeat(np.arange(len(sizes)), sizes)[at]
+        pairs, times = np.unique(text * len(different) + own[at], return_counts=True)
+        cuts = pa.array(np.searchsorted(pairs, np.arange(len(sizes) + 1) * len(different)), pa.int32())
+        rest = pa.ListArray.from_arrays(cuts, different.take(pa.array(pairs % len(different))))
+        return [
+            pa.array(sizes), sums(self.seen), sums(self.log), sums(self.shared), pc.binary_join(rest, " "),
+            pa.ListArray.from_arrays(cuts, pa.array(times, pa.int64())),
+            pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(kinds[own])),
+        ]
+
+
+def _places(values: pa.Array, among: pa.Array) -> np.ndarray:
+    """Where each value stands among others; their number, if it does not."""
+    return pc.fill_null(pc.index_in(values, value_set=among), len(among)).to_numpy()
 
 
 def _encoded(docs: DataFrame, classes: Classes) -> DataFrame:
@@ -347,19 +387,19 @@ def _encoded(docs: DataFrame, classes: Classes) -> DataFrame:
     each occurs; their counts come from a join.
     """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _Tokens(classes)
-        names = ["n_tokens", "n_known", "base", "inside", "rest", "times", "ids"]
-        for frame in frames:
-            rows = [table.row(text) for text in frame.pop("text")]
-            yield pd.concat([frame.reset_index(drop=True), pd.DataFrame(rows, columns=names)], axis=1)
+        names = ["doc_id", "held_out", "n_tokens", "n_known", "base", "inside", "rest", "times", "ids"]
+        for batch in batches:
+            for piece in _pieces(batch):
+                yield pa.RecordBatch.from_arrays([*piece.columns[:2], *table.columns(piece.column("text"))], names)
 
     schema = (
         "doc_id long, held_out boolean, n_tokens long, n_known long, base double, inside double, "
         "rest string, times array<long>, ids array<int>"
     )
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (crc_mod("doc_id", 5) == 1).alias("held_out"), "text")
-    return stored(rows.mapInPandas(run, schema).withColumn("uid", F.monotonically_increasing_id()), "encoded")
+    return stored(rows.mapInArrow(run, schema).withColumn("uid", F.monotonically_increasing_id()), "encoded")
 
 
 def _train(encoded: DataFrame, classes: Classes, rounds: int) -> LogBilinear:

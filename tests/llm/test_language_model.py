@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from offerloom.llm import language_model as lm
@@ -83,3 +84,65 @@ def test_nulls_repeats_and_empty(spark, documents):
     alone = [(i, "w") for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
     got = lm.score_texts(documents(alone))
     assert found(got) == brute(alone)
+
+
+def test_words_of_all_texts_in_a_row(monkeypatch):
+    texts = [None, " A\x1cb C\x85d\x0be\x0cf\rg ", "", "\u2003 É\u00a0é\tZ\x00", "   ", "\n", "x"] * 3
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    expected = [(t or "").encode().lower().split() for t in texts]
+    for size in (1, 7, 1000):
+        monkeypatch.setattr(lm, "PIECE", size)
+        found = [lm.tokens_of(piece.column("text")) for piece in lm._pieces(batch)]
+        assert [w.encode() for words, _ in found for w in words.to_pylist()] == [w for own in expected for w in own]
+        assert [n for _, sizes in found for n in sizes] == [len(own) for own in expected]
+
+
+def test_a_worker_looks_up_all_tokens_of_a_piece():
+    counts = {"the": 50, "a": 20, lm.END: 9, "zz": 5}
+    classes = lm.Classes({lm.END: 0, "the": 1, "a": 2}, {"zz": 4, "é1": 5}, counts, np.ones(6), np.ones(6), 100, 30)
+    texts = ["the zz zz1 É1x", None, "a q q zzz A", ""]
+    rows = list(zip(*(c.to_pylist() for c in lm._Tokens(classes).columns(pa.array(texts)))))
+    log = lambda *n: sum(np.log10(x + 0.5) for x in n)
+    assert [r[:2] + (dict(zip(r[4].split(" "), r[5])), r[6]) for r in rows] == [
+        (5, 3, {"zz1": 1, "É1x": 1}, [1, 4, 4, 3, 0]),
+        (1, 1, {}, [0]),
+        (6, 3, {"q": 2, "zzz": 1}, [2, 3, 3, 4, 2, 0]),
+        (1, 1, {}, [0]),
+    ]
+    assert np.allclose([r[2] for r in rows], [log(50, 5, 9), log(9), log(20, 20, 9), log(9)])
+    assert np.allclose([r[3] for r in rows], [log(5), 0, 0, 0])
+
+
+def test_training_takes_the_plain_gradient_steps(monkeypatch):
+    monkeypatch.setattr(lm, "BATCH", 8)
+    monkeypatch.setattr(lm, "NOISE", 5)
+    size, n = 6, 21  # the last step is a short one
+    classes = lm.Classes({str(k): k for k in range(size)}, {}, {}, np.arange(1.0, 7.0), np.zeros(size), 21, size)
+    noise = (classes.totals + 0.5) / (classes.totals + 0.5).sum()
+    r = np.random.default_rng(2)
+    two, one, target = (r.integers(0, m, n).astype(np.int32) for m in (size + 1, size + 1, size))
+    model = lm.LogBilinear.start(classes)
+    names = ("context", "target", "bias", "first", "second")
+    p = {k: getattr(model, k).astype(float) for k in names}
+    model.train(two, one, target, noise, np.random.default_rng(9))
+    drawn, kept = np.random.default_rng(9), {k: np.full_like(v, 1e-3) for k, v in p.items()}
+    for at in range(0, n, lm.BATCH):
+        rows = range(at, min(at + lm.BATCH, n))
+        others = np.minimum(np.searchsorted(np.cumsum(noise), drawn.random(lm.NOISE)), size - 1)
+        g = {k: np.zeros_like(v) for k, v in p.items()}
+        for i, j, t in ((two[x], one[x], target[x]) for x in rows):
+            h = p["context"][j] @ p["first"] + p["context"][i] @ p["second"]
+            gh = np.zeros_like(h)
+            for k, real in [(t, 1), *((k, 0) for k in others)]:
+                e = (1 / (1 + np.exp(-(h @ p["target"][k] + p["bias"][k] - np.log(noise[k] * lm.NOISE)))) - real) / len(rows)
+                gh += e * p["target"][k]
+                g["target"][k] += e * h
+                g["bias"][k] += e
+            for name, c in (("first", j), ("second", i)):
+                g[name] += np.outer(p["context"][c], gh)
+                g["context"][c] += p[name] @ gh
+        for k in names:
+            kept[k] += g[k] ** 2
+            p[k] -= lm.RATE * g[k] / np.sqrt(kept[k])
+    for k in names:
+        assert np.allclose(getattr(model, k), p[k], atol=2e-4), k
