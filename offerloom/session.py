@@ -44,14 +44,16 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def spread(df: DataFrame, columns: list[str] | None = None, waves: int = 1) -> DataFrame:
     """Use all cores for work that is heavy per row.
 
     A small file gives few input splits; only then the narrow rows are
     redistributed before the heavy step. With as many splits as cores, which
-    is any large input, the plan is left alone.
+    is any large input, the plan is left alone. ``waves`` asks for that many
+    tasks per core, where the work behind each row is so heavy that one task
+    per core would run for long.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    tasks = df.sparkSession.sparkContext.defaultParallelism * waves
+    if df.rdd.getNumPartitions() >= tasks:
         return df
-    return df.repartition(cores, *(columns or []))
+    return df.repartition(tasks, *(columns or []))

@@ -138,3 +138,14 @@ def test_malformed_html_never_fails():
             assert 0 <= n["begin"] <= n["finish"] <= len(dom["text"])
     dom = el.dom_of_text("<p>a<![CDATA[x]]>b<![foo bar>c</p>")
     assert dom["text"] == "abc"
+
+
+def test_parts_are_dealt_over_several_tasks_per_core(spark, tmp_path):
+    from workload.views import spec_pages
+
+    columns = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    rows = [(k, "a b", "B", "T", k, 1.5) for k in (1, 2, 2, 7)] + [(None, None, None, None, None, None)]
+    spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/part.parquet")
+    pages = spec_pages(spark, str(tmp_path))
+    assert pages.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+    assert sorted((r["page_id"] or 0, r["html"] is None) for r in pages.collect()) == [(0, True), (1, False), (2, False), (2, False), (7, False)]

@@ -37,8 +37,10 @@ AVAILABILITY_SNAKE = (
 
 
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts with the URL, domain, currency and codes of their shop page."""
-    return spread(table(spark, sf_dir, "part")).selectExpr(
+    """Parts with the URL, domain, currency and codes of their shop page.
+
+    A part is a few bytes in its file and a whole page behind it."""
+    return spread(table(spark, sf_dir, "part"), waves=4).selectExpr(
         "*",
         f"{URL} AS url",
         f"{DOMAIN} AS domain",
