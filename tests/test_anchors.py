@@ -2,6 +2,7 @@
 
 import time
 
+import duckdb
 import pytest
 
 from offerloom.operators import anchors, links as lk
@@ -84,3 +85,26 @@ def test_ordinary_targets_are_read_without_walking_attributes(monkeypatch):
 def test_raw_text_ends_at_its_own_end_tag():
     html = '<textarea><a href="/1"></title></textareas></TextArea x><a href="/2"><title/><a href="/3"></title><scripts><a href="/4"><xmp><a href="/5">'
     assert anchors_of_text(html)[0] == ["/2", "/4"]
+
+
+def test_links_per_domain_counts_repeated_links(spark, tmp_path):
+    """A link right behind one with the same target is a link like others, and so are pages that come twice."""
+    from compare import compare
+    from workload.queries import ORACLES, QUERIES
+
+    def page(*hrefs):
+        return "".join(f'<a href="{h}">x</a>' for h in hrefs)
+
+    rows = [
+        (1, "https://www.a.se/c/", page("/p/1", "/p/1", "/p/2", "/p/1")),
+        (1, "https://www.a.se/c/", page("/p/1", "/p/1", "/p/2", "/p/1")),
+        (2, "https://b.se/c/", page("/q", "/q", "/q")),
+        (None, "https://b.se/d/", page("/q", "/r")),
+    ]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    name = "links_per_domain"
+    assert compare(spark, con, name, QUERIES[name], ORACLES[name], str(tmp_path)) == ""
+    found = {r.domain: (r.n_links, r.n_distinct) for r in QUERIES[name](spark, str(tmp_path)).collect()}
+    assert found == {"a.se": (8, 2), "b.se": (5, 2)}
