@@ -12,7 +12,8 @@ from offerloom.functions.urls import (
 )
 from offerloom.operators.elements import attr, has_class, page_dom, text_of
 from offerloom.functions.prices import parse_price_safe
-from offerloom.operators.fields import CRUMBS, record_crumbs, record_rows, rule_fields, rule_records
+from offerloom.operators.fields import CRUMBS, record_crumbs, record_rows
+from offerloom.operators.page_rules import page_rules
 from offerloom.operators.ranking import first_per_key, number_rows
 
 
@@ -80,18 +81,17 @@ def rule_listings(
     given); pages of other shops give no rows.
     """
     keep = [c for c in pages.columns if c not in (html, url)]
-    dom, records = F.col("_dom"), F.col("_records")
-    rules = registry.rules_frame(pages.sparkSession, cards=True)
-    rules = rules.select(F.col("domain").alias("_domain"), F.col("rules").alias("_rules"), F.col("records").alias("_lists"))
+    records = F.col("_records")
+    rules = registry.rule_rows(cards=True)
     found = (
         pages.withColumn("_domain", domain_of(F.col(shop or url)))
-        .join(rules, "_domain")
-        .select(*keep, F.col(url).alias("category_url"), "_rules", "_lists", page_dom(F.col(html)).alias("_dom"))
+        .where(F.col("_domain").isin(*rules))
+        .select(*keep, F.col(url).alias("category_url"), page_rules(F.col(html), F.col("_domain"), rules).alias("_found"))
         .select(
             *keep,
             "category_url",
-            F.try_element_at(rule_fields(dom, F.col("_rules")), F.lit("category")).alias("_name"),
-            rule_records(dom, F.col("_lists")).alias("_records"),
+            F.try_element_at("_found.fields", F.lit("category")).alias("_name"),
+            F.col("_found.records").alias("_records"),
         )
     )
     own = F.array(F.struct(F.col("_name").alias("name"), strip_query(F.col("category_url")).alias("url"))).cast(CRUMBS)

@@ -147,14 +147,20 @@ class Registry:
             if p.disabled_strategies
         }
 
-    def rules_frame(self, spark: SparkSession, cards: bool = False) -> DataFrame:
-        """``(domain, rules, records)`` of product pages, or of category pages,
-        with one row per domain that has any; of the size of the profiles held here."""
-        rows = []
+    def rule_rows(self, cards: bool = False) -> dict[str, tuple[list[tuple], list[tuple]]]:
+        """Rows of the rules and of the records of product pages, or of category
+        pages, per domain that has any."""
+        found = {}
         for p in self.profiles.values():
             rules, records = (p.card_rules, p.card_records) if cards else (p.rules, p.records)
             if rules or records:
-                rows.append((p.domain, [r.row() for r in rules], [r.row() for r in records]))
+                found[p.domain] = [r.row() for r in rules], [r.row() for r in records]
+        return found
+
+    def rules_frame(self, spark: SparkSession, cards: bool = False) -> DataFrame:
+        """``(domain, rules, records)`` of product pages, or of category pages,
+        with one row per domain that has any; of the size of the profiles held here."""
+        rows = [(domain, *both) for domain, both in self.rule_rows(cards).items()]
         schema = f"domain: string, rules: array<{RULE_TYPE}>, records: array<{RECORD_TYPE}>"
         # as large as the Python code that states it, whatever the pages
         return F.broadcast(spark.createDataFrame(rows, schema))
